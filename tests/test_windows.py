@@ -1,0 +1,236 @@
+import random
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from tests import brute
+from tests.data import (
+    DELAY,
+    LAG,
+    OUT_OF_ORDER,
+    OUT_OF_ORDER_WATERMARKS,
+    OUT_OF_ORDER_WINDOWS,
+    PAIRS,
+    SENSORS,
+    SIZE,
+    TRIPLES,
+    UNBOUNDED,
+    WITH_LATE,
+    WITH_LATE_WATERMARKS,
+    WITH_LATE_WINDOWS,
+)
+from tidemark.operators import windows
+from tidemark.operators.late import (
+    late_correction,
+    late_report,
+    late_rows,
+    late_split,
+    on_time_windows,
+    open_windows,
+    window_emission,
+    window_facts,
+)
+from tidemark.operators.watermark import watermark_trace, with_event_time
+from tidemark.sources.tables import from_rows
+
+
+def timed(spark, rows):
+    return from_rows(spark, rows, TRIPLES)
+
+
+def shuffled_rows(n=500, seed=5):
+    """Rows far out of order, a third of them in one window, arriving under mixed keys."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        ts = 40_000 if rng.random() < 0.34 else max(0, i * 200 - rng.randrange(9000))
+        rows.append((f"k{rng.randrange(4)}", rng.randrange(100), ts + rng.randrange(1000)))
+    return rows
+
+
+def test_arrival_windows(spark):
+    df = from_rows(spark, SENSORS, PAIRS).withColumn("arrival", F.col("seq") * 1000)
+    out = windows.tumbling_sum(df, ["key"], "arrival", 5000, "value").collect()
+    assert {(r["key"], r["window_start"], r["value"]) for r in out} == {
+        ("sensor_1", 0, 37), ("sensor_2", 0, 55), ("sensor_2", 5000, 35), ("sensor_1", 5000, 11),
+    }
+
+
+def test_windows_before_the_epoch(spark):
+    out = windows.with_window(timed(spark, [("k", 1, -1), ("k", 1, -2000), ("k", 1, 0)]), "ts_ms", SIZE)
+    assert [(r["window_start"], r["window_end"]) for r in out.orderBy("seq").collect()] == [
+        (-2000, 0), (-2000, 0), (0, 2000),
+    ]
+
+
+def test_built_in_and_arithmetic_windows_agree(spark):
+    df = with_event_time(timed(spark, OUT_OF_ORDER), "ts_ms", DELAY)
+    built_in = windows.tumble(df, "ts", "2 seconds", ["key"], {"value": F.sum("value")})
+    built_in = built_in.select("key", F.unix_millis("window_start").alias("window_start"), "value")
+    assert set(map(tuple, built_in.collect())) == set(
+        map(tuple, windows.tumbling_sum(df, ["key"], "ts_ms", SIZE, "value").collect())
+    )
+
+
+def test_reduce_keeps_time_of_first_arrival(spark):
+    out = windows.tumbling_reduce(timed(spark, OUT_OF_ORDER), ["key"], "ts_ms", ["seq"], SIZE, "value")
+    got = {(r["key"], r["window_start"], r["value"], r["ts_ms"]) for r in out.collect()}
+    assert got == {w[:4] for w in OUT_OF_ORDER_WINDOWS}
+
+
+@pytest.mark.parametrize("target_rows", [1_000_000, 20])
+def test_reduce_function_per_window(spark, target_rows):
+    rows = shuffled_rows()
+    df = timed(spark, rows)
+    built_in = windows.tumbling_reduce(df, ["key"], "ts_ms", ["seq"], SIZE, "value")
+    folded = windows.tumbling_fold(
+        df, ["key"], "ts_ms", ["seq"], SIZE, ["value", "ts_ms"], lambda a, b: (a[0] + b[0], a[1]), target_rows
+    )
+    columns = ["key", "window_start", "value", "ts_ms"]
+    assert sorted(map(tuple, folded.select(columns).collect())) == sorted(
+        map(tuple, built_in.select(columns).collect())
+    )
+
+
+def test_count_and_mean(spark):
+    out = windows.tumbling_mean(timed(spark, OUT_OF_ORDER), ["key"], "ts_ms", SIZE, "value")
+    got = {(r["key"], r["window_start"]): (r["n"], r["mean"]) for r in out.collect()}
+    assert got["key1", 0] == (2, 20) and got["key2", 0] == (1, 5)
+
+
+@pytest.mark.parametrize(
+    "rows, expected", [(OUT_OF_ORDER, OUT_OF_ORDER_WATERMARKS), (WITH_LATE, WITH_LATE_WATERMARKS)]
+)
+@pytest.mark.parametrize("target_rows", [1_000_000, 2])
+def test_watermark_each_row_meets(spark, rows, expected, target_rows):
+    out = watermark_trace(timed(spark, rows), "ts_ms", ["seq"], DELAY, target_rows).orderBy("seq")
+    assert [r["watermark"] for r in out.collect()] == expected
+
+
+def test_timestamp_assigned_from_milliseconds(spark):
+    out = with_event_time(timed(spark, [("k", 1, 1500)]), "ts_ms")
+    assert out.select(F.unix_millis("ts")).first()[0] == 1500
+    assert out.schema["ts"].dataType.simpleString() == "timestamp"
+
+
+def split_result(spark, rows, **options):
+    split = late_split(timed(spark, rows), "ts_ms", ["seq"], SIZE, DELAY, **options)
+    late = [r["seq"] for r in late_rows(split).orderBy("seq").collect()]
+    main = on_time_windows(split, ["key"], value=F.sum("value"), ts_ms=F.min_by("ts_ms", "seq")).collect()
+    return late, {(r["key"], r["window_start"]): (r["value"], r["ts_ms"]) for r in main}
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_windows": 0}, {"broadcast_windows": 0, "target_rows": 1}])
+def test_late_fixture(spark, options):
+    late, main = split_result(spark, WITH_LATE, **options)
+    assert late == [4]
+    assert main == {(k, s): (v, t) for k, s, v, t, _ in WITH_LATE_WINDOWS}
+
+
+def test_out_of_order_within_the_bound_is_not_late(spark):
+    late, main = split_result(spark, OUT_OF_ORDER)
+    assert late == []
+    assert main == {(k, s): (v, t) for k, s, v, t, _ in OUT_OF_ORDER_WINDOWS}
+
+
+def test_late_by_the_row_before(spark):
+    late, main = split_result(spark, LAG)
+    assert late == [2]
+    assert main["k", 0] == (1, 1000)
+
+
+@pytest.mark.parametrize(
+    "options", [{}, {"broadcast_windows": 0}, {"broadcast_windows": 0, "target_rows": 30}]
+)
+@pytest.mark.parametrize("delay", [0, 700, 5000])
+def test_late_split_against_row_by_row(spark, options, delay):
+    rows = shuffled_rows()
+    split = late_split(timed(spark, rows).repartition(6), "ts_ms", ["seq"], SIZE, delay, **options)
+    late, expected, _ = brute.late_windows(rows, SIZE, delay)
+    assert [r["seq"] for r in late_rows(split).orderBy("seq").collect()] == late
+    main = on_time_windows(split, ["key"], value=F.sum("value"), ts_ms=F.min_by("ts_ms", "seq")).collect()
+    assert {(r["key"], r["window_start"]): (r["value"], r["ts_ms"]) for r in main} == expected
+    assert late, "the input should have late rows"
+
+
+def test_many_windows_need_several_pieces(spark, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.late.WINDOWS_PER_PIECE", 3)
+    rows = shuffled_rows()
+    late, main = split_result(spark, rows)
+    assert (late, main) == brute.late_windows(rows, SIZE, DELAY)[:2]
+
+
+def test_on_time_and_late_rows_make_up_the_input(spark):
+    df = timed(spark, shuffled_rows())
+    split = late_split(df, "ts_ms", ["seq"], SIZE, DELAY)
+    parts = late_rows(split).unionByName(split.where(~F.col("is_late")).select(df.columns))
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, df.collect()))
+    assert late_rows(split).columns == df.columns
+
+
+def test_no_late_row_if_the_bound_covers_the_disorder(spark):
+    rows = shuffled_rows()
+    disorder = max(max(t for *_, t in rows[: i + 1]) - ts for i, (*_, ts) in enumerate(rows))
+    assert late_rows(late_split(timed(spark, rows), "ts_ms", ["seq"], SIZE, disorder)).count() == 0
+
+
+def test_lateness_ignores_keys(spark):
+    rows = shuffled_rows()
+    renamed = [(f"other{k}", v, t) for k, v, t in rows]
+    assert split_result(spark, rows)[0] == split_result(spark, renamed)[0]
+
+
+def test_report_and_correction(spark):
+    rows = shuffled_rows()
+    split = late_split(timed(spark, rows), "ts_ms", ["seq"], SIZE, DELAY)
+    late, main, _ = brute.late_windows(rows, SIZE, DELAY)
+    report = {r["key"]: (r["n_late"], r["late_value"]) for r in late_report(split, ["key"], "value").collect()}
+    for key in report:
+        mine = [rows[i] for i in late if rows[i][0] == key]
+        assert report[key] == (len(mine), sum(v for _, v, _ in mine))
+    for r in late_correction(split, ["key"], "value").collect():
+        group = (r["key"], r["window_start"])
+        everything = [v for k, v, t in rows if (k, t // SIZE * SIZE) == group]
+        assert r["corrected"] == sum(everything)
+        assert r["main"] == main.get(group, (None,))[0]
+
+
+def test_window_with_only_late_rows(spark):
+    rows = [("a", 1, 9000), ("b", 2, 100), ("b", 3, 200)]
+    split = late_split(timed(spark, rows), "ts_ms", ["seq"], SIZE, DELAY)
+    got = {(r["key"], r["window_start"]): (r["main"], r["late"], r["corrected"])
+           for r in late_correction(split, ["key"], "value").collect()}
+    assert got == {("a", 8000): (1, None, 1), ("b", 0): (None, 5, 5)}
+    out = window_emission(window_facts(timed(spark, rows), "ts_ms", ["seq"], SIZE, DELAY), ["seq"])
+    assert [r["window_end"] for r in out.collect()] == [10000]
+
+
+@pytest.mark.parametrize("rows", [OUT_OF_ORDER, WITH_LATE, LAG, shuffled_rows()])
+def test_emission(spark, rows):
+    facts = window_facts(timed(spark, rows), "ts_ms", ["seq"], SIZE, DELAY)
+    got = {r["window_end"]: (r["emit_arrival"], r["emitted_by"]) for r in window_emission(facts, ["seq"]).collect()}
+    _, main, closed_at = brute.late_windows(rows, SIZE, DELAY)
+    expected = {}
+    for _, start in main:
+        at = closed_at.get(start + SIZE)
+        expected[start + SIZE] = (at, "end_of_input" if at is None else "watermark")
+    assert got == expected
+    held = window_emission(facts, ["seq"], end_of_input="hold").where("emit_arrival IS NULL").collect()
+    assert {r["emitted_by"] for r in held} <= {None}
+
+
+def test_without_watermark_windows_stay_open(spark):
+    out = open_windows(timed(spark, UNBOUNDED), ["key"], "ts_ms", SIZE, value=F.sum("value")).collect()
+    assert {(r["key"], r["window_start"], r["value"], r["emitted"]) for r in out} == {
+        ("key1", 0, 40, False), ("key2", 0, 5, False), ("key1", 2000, 20, False),
+        ("key2", 2000, 8, False), ("key1", 4000, 50, False),
+    }
+
+
+def test_without_watermark_a_stream_gives_nothing(spark, to_files):
+    folder = to_files(timed(spark, UNBOUNDED), "seq", 6)
+    stream = with_event_time(spark.readStream.schema(f"seq BIGINT, {TRIPLES}").parquet(folder), "ts_ms")
+    grouped = windows.tumble(stream, "ts", "2 seconds", ["key"], {"value": F.sum("value")})
+    with pytest.raises(AnalysisException):
+        grouped.writeStream.format("noop").outputMode("append").start()

@@ -2,7 +2,8 @@
 
 Used where sum, count, min, max and first cannot express the combination. The function takes two
 tuples of values, the earlier one first, and returns one. It must be associative, as for any
-reduce: rows of a hot key are combined in pieces, the pieces in arrival order.
+reduce: rows of a hot key are combined in pieces, the pieces in arrival order. An aggregate with
+its own accumulator is the same after a ``select`` that turns each row into an accumulator.
 
 Spark shuffles and sorts the rows; a task walks its sorted rows once and holds one value.
 """
@@ -10,30 +11,37 @@ Spark shuffles and sorts the rows; a task walks its sorted rows once and holds o
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from tidemark.operators.measures import carried_by_size
 from tidemark.operators.stretches import IS_ROW, STRETCH, TARGET_ROWS, split_hot_keys
 
 Combine = Callable[[tuple, tuple], tuple]
 
 
 def _walk(df: DataFrame, groups: Sequence[str], values: Sequence[str], fn: Combine, each_row: bool) -> DataFrame:
-    """Fold consecutive rows of a group; give the last value, or the value at every row."""
-    schema = StructType(list(df.schema))
+    """Combine consecutive rows of a group; give the last value, or the value at every row."""
     names = df.columns
     at_group = [names.index(c) for c in groups]
     at_value = [names.index(c) for c in values]
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held = None, None
+    def as_batch(done: list, arrow: pa.Schema) -> pa.RecordBatch:
+        columns = [list(c) for c in zip(*[row for row, _ in done])]
+        for i, at in enumerate(at_value):
+            columns[at] = [value[i] for _, value in done]
+        arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow)]
+        return pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held, arrow = None, None, None
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
+            arrow = batch.schema
             done = []
-            for row in zip(*columns):
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
                 here = tuple(row[i] for i in at_group)
                 value = tuple(row[i] for i in at_value)
                 if held is not None and here == group:
@@ -44,20 +52,20 @@ def _walk(df: DataFrame, groups: Sequence[str], values: Sequence[str], fn: Combi
                 if each_row:
                     done.append(held)
             if done:
-                yield as_batch(done, batch.schema)
-            last_schema = batch.schema
+                yield as_batch(done, arrow)
         if held is not None and not each_row:
-            yield as_batch([held], last_schema)
+            yield as_batch([held], arrow)
 
-    def as_batch(done: list, arrow: pa.Schema) -> pa.RecordBatch:
-        columns = [list(c) for c in zip(*[row for row, _ in done])]
-        for i, at in enumerate(at_value):
-            columns[at] = [value[i] for _, value in done]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow
-        )
+    return df.mapInArrow(walk, df.schema)
 
-    return df.mapInArrow(fold, schema)
+
+def _gather(df: DataFrame, groups: Sequence[str], order: Sequence[str]) -> DataFrame:
+    return df.repartition(*groups).sortWithinPartitions(*groups, *order)
+
+
+def _place(order: Sequence[str]) -> list[Column]:
+    """The order under other names, as its columns may be among the values that are combined."""
+    return [F.col(c).alias(f"_by_{c}") for c in order]
 
 
 def reduce_groups(
@@ -71,23 +79,12 @@ def reduce_groups(
     """One row per key with its values combined in arrival order. A single row passes as it is."""
     split = split_hot_keys(df.select(*dict.fromkeys([*keys, *order, *values])), keys, order, target_rows)
     groups = [*keys, STRETCH]
-    pieces = _walk(
-        split.rows.select(*groups, *_as_values(order), *values)
-        .repartition(*groups)
-        .sortWithinPartitions(*groups, *[f"_by_{c}" for c in order]),
-        groups,
-        values,
-        fn,
-        each_row=False,
-    ).select(*groups, *values)
-    if not split.any_hot:
-        return pieces.drop(STRETCH)
-    joined = pieces.repartition(*keys).sortWithinPartitions(*groups)
-    return _walk(joined, keys, values, fn, each_row=False).select(*keys, *values)
-
-
-def _as_values(order: Sequence[str]):
-    return [F.col(c).alias(f"_by_{c}") for c in order]
+    by = [f"_by_{c}" for c in order]
+    rows = split.rows.select(*groups, *_place(order), *values)
+    pieces = _walk(_gather(rows, groups, by), groups, values, fn, each_row=False).drop(*by)
+    if split.any_hot:
+        pieces = _walk(_gather(pieces, keys, [STRETCH]), keys, values, fn, each_row=False)
+    return pieces.select(*keys, *values)
 
 
 def running_groups(
@@ -96,28 +93,68 @@ def running_groups(
     order: Sequence[str],
     values: Sequence[str],
     fn: Combine,
+    carried: DataFrame | None = None,
     target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
-    """One row per input row, its values replaced by those of its key combined so far."""
+    """One row per input row, its values replaced by those of its key combined so far.
+
+    ``carried`` has, per key, the combined values of everything before this data.
+    """
     split = split_hot_keys(df.select(*dict.fromkeys([*keys, *order, *values])), keys, order, target_rows)
     groups = [*keys, STRETCH]
     by = [f"_by_{c}" for c in order]
-    rows = split.rows.select(*groups, *_as_values(order), *values, F.lit(1).alias(IS_ROW))
+    rows = split.rows.select(*groups, *_place(order), *values, F.lit(1).alias(IS_ROW))
+    whole, cut = carried_by_size(carried, split, keys)
+    opening = [] if whole is None else [whole]
     if split.any_hot:
-        pieces = _walk(
-            rows.where(F.col(STRETCH) > 0).repartition(*groups).sortWithinPartitions(*groups, *by),
-            groups,
-            values,
-            fn,
-            each_row=False,
-        ).select(*groups, *values)
-        so_far = _walk(pieces.repartition(*keys).sortWithinPartitions(*groups), keys, values, fn, each_row=True)
-        follows = Window.partitionBy(*keys).orderBy(STRETCH)
-        opening = so_far.withColumn(STRETCH, F.lead(STRETCH).over(follows)).where(F.col(STRETCH).isNotNull())
-        rows = rows.unionByName(opening.withColumn(IS_ROW, F.lit(0)), allowMissingColumns=True)
-    walked = _walk(
-        rows.repartition(*groups).sortWithinPartitions(*groups, IS_ROW, *by), groups, values, fn, each_row=True
-    )
-    return walked.where(F.col(IS_ROW) == 1).select(
-        *keys, *[F.col(b).alias(c) for b, c in zip(by, order) if c not in values and c not in keys], *values
-    )
+        hot = rows.where(F.col(STRETCH) > 0).drop(IS_ROW)
+        pieces = _walk(_gather(hot, groups, by), groups, values, fn, each_row=False).drop(*by)
+        if cut is not None:
+            pieces = pieces.unionByName(cut)
+        so_far = _walk(_gather(pieces, keys, [STRETCH]), keys, values, fn, each_row=True)
+        follows = F.lead(STRETCH).over(Window.partitionBy(*keys).orderBy(STRETCH))
+        opening.append(so_far.withColumn(STRETCH, follows).where(F.col(STRETCH).isNotNull()))
+    for extra in opening:
+        rows = rows.unionByName(extra.withColumn(IS_ROW, F.lit(0)), allowMissingColumns=True)
+    walked = _walk(_gather(rows, groups, [IS_ROW, *by]), groups, values, fn, each_row=True)
+    kept = [F.col(f"_by_{c}").alias(c) for c in order if c not in keys and c not in values]
+    return walked.where(F.col(IS_ROW) == 1).select(*keys, *kept, *values)
+
+
+@dataclass(frozen=True)
+class Fold:
+    """A function over named values, with the same methods as ``Measures``."""
+
+    values: tuple[str, ...]
+    fn: Combine
+
+    @property
+    def part_names(self) -> list[str]:
+        return list(self.values)
+
+    def parts(
+        self, rows: DataFrame, groups: Sequence[str], order: Sequence[str], target_rows: int = TARGET_ROWS
+    ) -> DataFrame:
+        return reduce_groups(rows, groups, order, self.values, self.fn, target_rows)
+
+    def merge(
+        self, earlier: DataFrame | None, later: DataFrame, groups: Sequence[str], target_rows: int = TARGET_ROWS
+    ) -> DataFrame:
+        """Two rows per group at most, so nothing can be hot."""
+        if earlier is None:
+            return later
+        both = later.withColumn(IS_ROW, F.lit(1)).unionByName(earlier.withColumn(IS_ROW, F.lit(0)))
+        return _walk(_gather(both, groups, [IS_ROW]), groups, self.values, self.fn, each_row=False).drop(IS_ROW)
+
+    def result(self, parts: DataFrame, groups: Sequence[str]) -> DataFrame:
+        return parts.select(*groups, *self.values)
+
+    def running(
+        self,
+        rows: DataFrame,
+        keys: Sequence[str],
+        order: Sequence[str],
+        carried: DataFrame | None = None,
+        target_rows: int = TARGET_ROWS,
+    ) -> DataFrame:
+        return running_groups(rows, keys, order, self.values, self.fn, carried, target_rows)

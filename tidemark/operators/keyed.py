@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.stretches import TARGET_ROWS, Measure, running
+from tidemark.operators.measures import Measure, running
+from tidemark.operators.stretches import TARGET_ROWS
 
 
 def key_by(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:

@@ -15,14 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import order_key, window_end, window_start
-from tidemark.operators.stretches import (
-    MAX_STRETCHES,
-    STRETCH,
-    TARGET_ROWS,
-    Measure,
-    Split,
-    running_over,
-)
+from tidemark.operators.measures import Measure, Measures, running_over
+from tidemark.operators.stretches import MAX_STRETCHES, STRETCH, TARGET_ROWS, Split
 from tidemark.session import settle
 
 # Windows whose closings are broadcast: three numbers each, so some tens of megabytes at most.
@@ -62,7 +56,7 @@ def window_facts(df: DataFrame, ts: str, order: Sequence[str], size: int, delay:
     pieces = F.call_function("div", F.col("_from_last") - F.pmod(F.col("_from_last"), piece), piece)
     lowest = -(2**62)
     split = Split(windows.withColumn(STRETCH, pieces - F.lit(lowest)), None, True)
-    closed = running_over(split, [], ["_from_last"], {"closed_by": Measure("min", F.col("closer"))})
+    closed = running_over(split, [], ["_from_last"], Measures({"closed_by": Measure("min", F.col("closer"))}))
     return closed.where(F.col("rows") > 0).select("window_end", "first_row", "rows", "closed_by")
 
 

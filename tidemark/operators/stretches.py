@@ -1,9 +1,8 @@
-"""Splitting hot keys into stretches of arrival order, and running values across them.
+"""Splitting hot keys into stretches of arrival order.
 
-A running value needs the rows of a key in order, which in the plain form puts a whole key into
-one task. Here a key with too many rows is cut into stretches that follow each other in arrival
-order. Each stretch is small enough for a task, and what came before it enters as one extra row
-at its start. All rows are shuffled once, however many rows a key has.
+Anything that needs the rows of a key in order would, in the plain form, put a whole key into one
+task. Here a key with too many rows is cut into stretches that follow each other in arrival order,
+each small enough for a task.
 
 Where the cuts lie is taken from a sample, but only affects how even the stretches are: the cuts
 are fixed numbers by the time the plan is built, and any cuts give the same results.
@@ -12,15 +11,14 @@ are fixed numbers by the time the plan is built, and any cuts give the same resu
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import order_key
 from tidemark.session import settle
 
 # Rows one task may hold of one key. Keys above it are cut.
@@ -95,12 +93,7 @@ def with_stretch(df: DataFrame, order: Sequence[str], cuts: Cuts) -> DataFrame:
     return placed.withColumn(STRETCH, F.col(STRETCH) * (len(cuts.second) + 1) + offset + 1).drop(inside)
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality of keys in which a missing key equals a missing key."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
-def _mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``_hot``. The table of hot keys holds at most MAX_STRETCHES rows, so it is broadcast."""
     small = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")))
     joined = df.join(
@@ -133,133 +126,16 @@ def split_hot_keys(
         return Split(with_stretch(df, order, find_cuts(df, order, total, pieces)), None, True)
 
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    measured = sizes.agg(
-        F.sum("_rows").alias("total"),
-        F.max("_rows").alias("largest"),
-    ).first()
-    target = max(target_rows, math.ceil((measured["total"] or 0) / MAX_STRETCHES))
-    if (measured["largest"] or 0) <= target:
+    hot = settle(sizes.where(F.col("_rows") > target_rows))
+    hot_rows = hot.agg(F.sum("_rows")).first()[0]
+    if not hot_rows:
         return Split(df.withColumn(STRETCH, F.lit(0).cast("long")), None, False)
 
-    hot = settle(sizes.where(F.col("_rows") > target))
-    hot_rows = hot.agg(F.sum("_rows")).first()[0]
-    marked = _mark_hot(df, hot, keys)
+    # Of these rows, at most MAX_STRETCHES keys can have more than the target.
+    target = max(target_rows, math.ceil(hot_rows / MAX_STRETCHES))
+    hot = hot.where(F.col("_rows") > target)
+    marked = mark_hot(df, hot, keys)
     cuts = find_cuts(marked.where("_hot"), order, hot_rows, max(2, math.ceil(hot_rows / target)))
     placed = with_stretch(marked, order, cuts)
     placed = placed.withColumn(STRETCH, F.when(F.col("_hot"), F.col(STRETCH)).otherwise(F.lit(0).cast("long")))
     return Split(placed.drop("_hot"), hot, True)
-
-
-@dataclass(frozen=True)
-class Measure:
-    """A value that can be kept while rows arrive and merged from parts: sum, count, min, max or first."""
-
-    kind: str
-    column: Column
-
-    def start(self) -> Column:
-        """The value a single row contributes."""
-        if self.kind == "count":
-            return F.when(self.column.isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
-        return F.struct(self.column.alias("v")) if self.kind == "first" else self.column
-
-    def merge(self, parts: Column, order: Column) -> Column:
-        """The value of a group of parts."""
-        if self.kind in ("sum", "count"):
-            return F.sum(parts)
-        if self.kind == "first":
-            return F.min_by(parts, order)
-        return {"min": F.min, "max": F.max}[self.kind](parts)
-
-    def over(self, parts: Column, window) -> Column:
-        """The value of the parts met so far."""
-        if self.kind in ("sum", "count"):
-            return F.sum(parts).over(window)
-        if self.kind == "first":
-            return F.first(parts, ignorenulls=True).over(window)
-        return {"min": F.min, "max": F.max}[self.kind](parts).over(window)
-
-    def finish(self, value: Column) -> Column:
-        return value["v"] if self.kind == "first" else value
-
-
-def running_over(
-    split: Split,
-    keys: Sequence[str],
-    order: Sequence[str],
-    measures: Mapping[str, Measure],
-    before: bool = False,
-    carried: DataFrame | None = None,
-) -> DataFrame:
-    """Running values per key over rows that already have their stretch.
-
-    ``carried`` holds, per key, the measures of everything that came before this data.
-    ``before`` leaves the row itself out of its value.
-    """
-    parts = {name: f"_part_{name}" for name in measures}
-    columns = [c for c in split.rows.columns if c != STRETCH]
-    rows = split.rows.select(
-        *columns,
-        STRETCH,
-        F.lit(1).alias(IS_ROW),
-        *[m.start().alias(parts[n]) for n, m in measures.items()],
-    )
-
-    opening: list[DataFrame] = []
-    seed = None
-    if carried is not None:
-        seed = carried.select(
-            *keys,
-            *[
-                (F.struct(F.col(n).alias("v")) if m.kind == "first" else F.col(n)).alias(parts[n])
-                for n, m in measures.items()
-            ],
-        )
-        if split.hot is not None:
-            seed = _mark_hot(seed, split.hot, keys)
-            opening.append(seed.where(F.col("_hot").isNull()).drop("_hot").withColumn(STRETCH, F.lit(0).cast("long")))
-            seed = seed.where("_hot").drop("_hot")
-        elif not split.any_hot:
-            opening.append(seed.withColumn(STRETCH, F.lit(0).cast("long")))
-            seed = None
-    if split.any_hot:
-        totals = (
-            rows.where(F.col(STRETCH) > 0)
-            .groupBy(*keys, STRETCH)
-            .agg(*[m.merge(F.col(parts[n]), order_key(order)).alias(parts[n]) for n, m in measures.items()])
-        )
-        if seed is not None:
-            totals = totals.unionByName(seed.withColumn(STRETCH, F.lit(0).cast("long")))
-        earlier = Window.partitionBy(*keys).orderBy(STRETCH).rowsBetween(Window.unboundedPreceding, -1)
-        opening.append(
-            totals.select(
-                *keys, STRETCH, *[m.over(F.col(parts[n]), earlier).alias(parts[n]) for n, m in measures.items()]
-            ).where(F.col(STRETCH) > 0)
-        )
-
-    for extra in opening:
-        rows = rows.unionByName(extra.withColumn(IS_ROW, F.lit(0)), allowMissingColumns=True)
-    window = (
-        Window.partitionBy(*keys, *([STRETCH] if split.any_hot else []))
-        .orderBy(*([IS_ROW] if opening else []), *order)
-        .rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow)
-    )
-    done = rows.select(
-        *columns,
-        IS_ROW,
-        *[m.finish(m.over(F.col(parts[n]), window)).alias(n) for n, m in measures.items()],
-    )
-    return (done.where(F.col(IS_ROW) == 1) if opening else done).drop(IS_ROW)
-
-
-def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    measures: Mapping[str, Measure],
-    before: bool = False,
-    carried: DataFrame | None = None,
-    target_rows: int = TARGET_ROWS,
-) -> DataFrame:
-    """One output row per input row, with the measures of its key so far. ``order`` must be unique."""
-    return running_over(split_hot_keys(df, keys, order, target_rows), keys, order, measures, before, carried)

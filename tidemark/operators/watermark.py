@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.stretches import TARGET_ROWS, Measure, running
+from tidemark.operators.measures import Measure, running
+from tidemark.operators.stretches import TARGET_ROWS
 
 
 def with_event_time(df: DataFrame, ts_ms: str, delay_ms: int | None = None, out: str = "ts") -> DataFrame:

@@ -20,7 +20,7 @@ from tidemark.operators.late import (
     window_emission,
     window_facts,
 )
-from tidemark.operators.stretches import Measure
+from tidemark.operators.measures import Measure, Measures
 from tidemark.session import scratch_dir
 from tidemark.sources.tables import arrivals, read_table, stream_table
 from tidemark.streaming.keyed import running_stream, update_totals
@@ -80,13 +80,12 @@ def map_square_filter_even(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transforms.keep_rows(squared, is_even("squared"))
 
 
-def _double(values: pd.Series) -> pd.Series:
-    return values * 2
-
-
 def map_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def double(values: pd.Series) -> pd.Series:
+        return values * 2
+
     rows = transforms.map_columns(_events(spark, sf_dir), ["event_id"], cents=cents("value"))
-    return transforms.map_series(rows, "cents", _double, "doubled", "bigint").drop("cents")
+    return transforms.map_series(rows, "cents", double, "doubled", "bigint").drop("cents")
 
 
 def flat_map_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +127,7 @@ def keyed_sum_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyed_sum_rolling_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _money(stream_table(spark, sf_dir, "events")).select("event_id", "event_type", "cents")
     root = scratch_dir(spark, "keyed_sum_rolling_stream")
-    running = {"running_cents": Measure("sum", F.col("cents"))}
+    running = Measures({"running_cents": Measure("sum", F.col("cents"))})
     return running_stream(rows, ["event_type"], ["event_id"], running, "running", root).drop("cents")
 
 
@@ -162,13 +161,12 @@ def tumble_event_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.tumbling_reduce(rows, ["event_type"], "t", ORDER, HOUR, "cents")
 
 
-def _sum_keep_first(first: tuple, second: tuple) -> tuple:
-    return (first[0] + second[0], first[1])
-
-
 def tumble_udaf_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def add_cents(first: tuple, second: tuple) -> tuple:
+        return (first[0] + second[0], first[1])
+
     rows = _arrivals(spark, sf_dir)
-    return windows.tumbling_fold(rows, ["event_type"], "t", ORDER, HOUR, ["cents", "t"], _sum_keep_first)
+    return windows.tumbling_fold(rows, ["event_type"], "t", ORDER, HOUR, ["cents", "t"], add_cents)
 
 
 def tumble_count_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +210,8 @@ def late_main_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def late_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = arrivals(stream_table(spark, sf_dir, "events"))
-    job = LateWindows(rows.schema, ("event_type",), "t", tuple(ORDER), HOUR, LATE_BOUND, "cents")
+    sums = Measures({"n": Measure("count", F.lit(1)), "cents": Measure("sum", F.col("cents"))})
+    job = LateWindows(rows.schema, ["event_type"], "t", ORDER, HOUR, LATE_BOUND, sums)
     root = scratch_dir(spark, "late_two_sinks")
     job.run(rows, "late_two_sinks", root)
     main = job.main(spark, root).groupBy("event_type").agg(F.sum("n").alias("n"), F.sum("cents").alias("cents"))

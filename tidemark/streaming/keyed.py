@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.functions.columns import order_key
-from tidemark.operators.stretches import IS_ROW, TARGET_ROWS, Measure, running_over, split_hot_keys
+from tidemark.operators.folds import Fold
+from tidemark.operators.measures import Measures
+from tidemark.operators.stretches import TARGET_ROWS
 from tidemark.streaming.runner import finish, start_batches
 from tidemark.streaming.state import commit, read_batches, read_state, write_batch, write_state
 
@@ -48,30 +49,10 @@ def newest_totals(spark: SparkSession, root: str, keys: Sequence[str], schema: S
     return newest.select(*keys, *[F.col(f"_newest.{v}").alias(v) for v in values])
 
 
-def _merged(
-    rows: DataFrame, carried: DataFrame | None, keys: Sequence[str], order: Sequence[str], measures: Mapping[str, Measure]
-) -> DataFrame:
-    """The measures per key after these rows; what was carried comes before all of them."""
-    parts = rows.select(*keys, *order, F.lit(1).alias(IS_ROW), *[m.start().alias(n) for n, m in measures.items()])
-    if carried is not None:
-        held = carried.select(
-            *keys,
-            F.lit(0).alias(IS_ROW),
-            *[(F.struct(F.col(n).alias("v")) if m.kind == "first" else F.col(n)).alias(n) for n, m in measures.items()],
-        )
-        parts = parts.unionByName(held, allowMissingColumns=True)
-    position = order_key([IS_ROW, *order])
-    return (
-        parts.groupBy(*keys)
-        .agg(*[m.merge(F.col(n), position).alias(n) for n, m in measures.items()])
-        .select(*keys, *[m.finish(F.col(n)).alias(n) for n, m in measures.items()])
-    )
-
-
 def running_batches(
     keys: Sequence[str],
     order: Sequence[str],
-    measures: Mapping[str, Measure],
+    reduce: Measures | Fold,
     root: str,
     target_rows: int = TARGET_ROWS,
 ) -> Callable[[DataFrame, int], None]:
@@ -85,11 +66,10 @@ def running_batches(
         spark = rows.sparkSession
         rows = rows.persist()
         try:
-            totals_schema = _merged(rows, None, keys, order, measures).schema
-            carried = read_state(spark, root, "totals", batch - 1, totals_schema) if batch > 0 else None
-            split = split_hot_keys(rows, keys, order, target_rows)
-            write_batch(running_over(split, keys, order, measures, carried=carried), root, "running", batch)
-            write_state(_merged(rows, carried, keys, order, measures), root, "totals", batch)
+            parts = reduce.parts(rows, keys, order, target_rows)
+            carried = read_state(spark, root, "totals", batch - 1, parts.schema) if batch > 0 else None
+            write_batch(reduce.running(rows, keys, order, carried, target_rows), root, "running", batch)
+            write_state(reduce.merge(carried, parts, keys), root, "totals", batch)
             commit(spark, root, batch)
         finally:
             rows.unpersist()
@@ -101,14 +81,17 @@ def running_stream(
     stream: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    measures: Mapping[str, Measure],
+    reduce: Measures | Fold,
     name: str,
     root: str,
     target_rows: int = TARGET_ROWS,
     timeout: float | None = None,
 ) -> DataFrame:
     """Run to the end of the input; one row per input row with the values of its key so far."""
-    each = running_batches(keys, order, measures, root, target_rows)
+    each = running_batches(keys, order, reduce, root, target_rows)
     finish(start_batches(stream, name, each, f"{root}/checkpoint"), timeout)
-    fields = stream.select("*", *[m.finish(m.start()).alias(n) for n, m in measures.items()]).schema
+    if isinstance(reduce, Fold):
+        fields = stream.select(*dict.fromkeys([*keys, *order, *reduce.values])).schema
+    else:
+        fields = stream.select("*", *reduce.started()).select(*stream.columns, *reduce.finished()).schema
     return read_batches(stream.sparkSession, root, "running", fields).drop("batch")

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.functions.columns import order_key
+from tidemark.operators.folds import Fold
 from tidemark.operators.late import late_rows, late_split
-from tidemark.operators.stretches import IS_ROW, TARGET_ROWS
+from tidemark.operators.measures import Measures
+from tidemark.operators.stretches import TARGET_ROWS
 from tidemark.streaming.runner import finish, start_batches
 from tidemark.streaming.state import (
     commit,
@@ -33,54 +34,29 @@ MAIN, LATE, OPEN = "main", "late", "open"
 
 @dataclass(frozen=True)
 class LateWindows:
-    """Sum, row count and first arrival per key and window, with late rows apart."""
+    """A reduce per key and window of ``size``, with late rows apart."""
 
     schema: StructType
-    keys: tuple[str, ...]
+    keys: Sequence[str]
     ts: str
-    order: tuple[str, ...]
+    order: Sequence[str]
     size: int
     delay: int
-    value: str
+    reduce: Measures | Fold
 
     @property
-    def state_schema(self) -> StructType:
-        kept = [f for f in self.schema.fields if f.name in self.keys]
-        first = StructType([f for name in self.order for f in self.schema.fields if f.name == name])
-        return StructType(
-            [
-                *kept,
-                StructField("window_start", LongType()),
-                StructField("n", LongType()),
-                StructField(self.value, LongType()),
-                StructField("first", StructType([StructField("at", first), StructField(self.ts, LongType())])),
-            ]
-        )
-
-    def partial(self, on_time: DataFrame) -> DataFrame:
-        first = F.struct(F.struct(*self.order).alias("at"), F.col(self.ts))
-        return on_time.groupBy(*self.keys, "window_start").agg(
-            F.count("*").alias("n"), F.sum(self.value).alias(self.value), F.min(first).alias("first")
-        )
-
-    def merge(self, partials: DataFrame) -> DataFrame:
-        """Rows of earlier batches arrived first, so theirs is the first arrival."""
-        return (
-            partials.groupBy(*self.keys, "window_start")
-            .agg(
-                F.sum("n").alias("n"),
-                F.sum(self.value).alias(self.value),
-                F.min_by("first", IS_ROW).alias("first"),
-            )
-        )
-
-    def result(self, held: DataFrame) -> DataFrame:
-        return held.select(
-            *self.keys, "window_start", "n", self.value, F.col(f"first.{self.ts}").alias(self.ts)
-        )
+    def groups(self) -> list[str]:
+        return [*self.keys, "window_start"]
+
+    def _parts_schema(self, spark: SparkSession) -> StructType:
+        """The columns a window is stored with, found without running anything."""
+        rows = spark.createDataFrame([], StructType([*self.schema, StructField("window_start", LongType())]))
+        if isinstance(self.reduce, Fold):
+            return rows.select(*self.groups, *self.reduce.values).schema
+        return self.reduce.parts(rows, self.groups, self.order).schema
 
     def batches(self, root: str, target_rows: int = TARGET_ROWS) -> Callable[[DataFrame, int], None]:
-        """The batch function. It may be run again for a batch at any point of a failure."""
+        """The batch function. A batch may be run again after a failure at any point."""
 
         def each(rows: DataFrame, batch: int) -> None:
             spark = rows.sparkSession
@@ -92,16 +68,15 @@ class LateWindows:
                     rows, self.ts, self.order, self.size, self.delay, seen=before, target_rows=target_rows
                 )
                 write_batch(late_rows(split), root, LATE, batch)
-                partials = self.partial(split.where(~F.col("is_late"))).withColumn(IS_ROW, F.lit(1))
-                if batch > 0:
-                    kept = read_state(spark, root, OPEN, batch - 1, self.state_schema)
-                    partials = partials.unionByName(kept.withColumn(IS_ROW, F.lit(0)))
+                on_time = split.where(~F.col("is_late"))
+                parts = self.reduce.parts(on_time, self.groups, self.order, target_rows)
+                kept = read_state(spark, root, OPEN, batch - 1, parts.schema) if batch > 0 else None
+                held = self.reduce.merge(kept, parts, self.groups).persist()
+
                 newest = rows.agg(F.max(self.ts)).first()[0]
                 newest = max((x for x in (before, newest) if x is not None), default=None)
-                held = self.merge(partials).persist()
-                closed = F.coalesce(
-                    F.col("window_start") + self.size <= F.lit(newest).cast("long") - self.delay, F.lit(False)
-                )
+                ends = F.col("window_start") + F.lit(self.size).cast("long")
+                closed = F.coalesce(ends <= F.lit(newest).cast("long") - F.lit(self.delay), F.lit(False))
                 write_batch(held.where(closed), root, MAIN, batch)
                 write_state(held.where(~closed), root, OPEN, batch)
                 commit(spark, root, batch, newest)
@@ -112,25 +87,29 @@ class LateWindows:
 
         return each
 
-    def run(self, stream: DataFrame, name: str, root: str, timeout: float | None = None) -> None:
+    def run(
+        self, stream: DataFrame, name: str, root: str, target_rows: int = TARGET_ROWS, timeout: float | None = None
+    ) -> None:
         """Run to the end of the input; the outputs are read with ``main``, ``late`` and ``still_open``."""
-        finish(start_batches(stream, name, self.batches(root), f"{root}/checkpoint"), timeout)
+        finish(start_batches(stream, name, self.batches(root, target_rows), f"{root}/checkpoint"), timeout)
 
     def late(self, spark: SparkSession, root: str) -> DataFrame:
+        """The late rows, as they came in."""
         return read_batches(spark, root, LATE, self.schema).drop("batch")
 
     def still_open(self, spark: SparkSession, root: str) -> DataFrame:
+        """Windows that no watermark has closed yet."""
         last = last_commit(spark, root)
-        if last is None:
-            return self.result(spark.createDataFrame([], self.state_schema))
-        return self.result(read_state(spark, root, OPEN, last, self.state_schema))
+        schema = self._parts_schema(spark)
+        held = spark.createDataFrame([], schema) if last is None else read_state(spark, root, OPEN, last, schema)
+        return self.reduce.result(held, self.groups)
 
     def main(self, spark: SparkSession, root: str, end_of_input: str = "flush") -> DataFrame:
         """Closed windows and, with "flush", those still open; ``emitted_by`` tells them apart."""
         if end_of_input not in ("flush", "hold"):
             raise ValueError(f"end_of_input must be 'flush' or 'hold', not {end_of_input!r}")
-        closed = self.result(read_batches(spark, root, MAIN, self.state_schema))
-        closed = closed.withColumn("emitted_by", F.lit("watermark"))
+        closed = read_batches(spark, root, MAIN, self._parts_schema(spark))
+        closed = self.reduce.result(closed, self.groups).withColumn("emitted_by", F.lit("watermark"))
         if end_of_input == "hold":
             return closed
         rest = self.still_open(spark, root).withColumn("emitted_by", F.lit("end_of_input"))

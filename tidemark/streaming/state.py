@@ -7,8 +7,6 @@ marks the batch as done; readers take only batches up to the newest mark.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,5 +58,3 @@ def read_batches(spark: SparkSession, root: str, table: str, schema: StructType)
     return spark.read.schema(with_batch).parquet(f"{root}/{table}").where(F.col("batch") <= last)
 
 
-def without(schema: StructType, dropped: Sequence[str]) -> StructType:
-    return StructType([f for f in schema.fields if f.name not in dropped])
