@@ -16,6 +16,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators.measures import carried_by_size
 from tidemark.operators.stretches import IS_ROW, STRETCH, TARGET_ROWS, split_hot_keys
@@ -158,3 +159,6 @@ class Fold:
         target_rows: int = TARGET_ROWS,
     ) -> DataFrame:
         return running_groups(rows, keys, order, self.values, self.fn, carried, target_rows)
+
+    def running_schema(self, rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> StructType:
+        return rows.select(*dict.fromkeys([*keys, *order, *self.values])).schema

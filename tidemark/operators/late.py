@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import order_key, window_end, window_start
@@ -21,15 +22,27 @@ from tidemark.session import settle
 
 # Windows whose closings are broadcast: three numbers each, so some tens of megabytes at most.
 BROADCAST_WINDOWS = 500_000
-# Windows per piece of the running minimum.
+# Windows per piece of the running minimum; up to as many need no pieces.
 WINDOWS_PER_PIECE = 10_000
 
 
-def window_facts(df: DataFrame, ts: str, order: Sequence[str], size: int, delay: int) -> DataFrame:
-    """Per window: its rows, its first arrival and ``closed_by``, the arrival that closes it.
+@dataclass(frozen=True)
+class WindowFacts:
+    """Per window its ``rows``, its ``first_row`` and ``closed_by``, the arrival that closes it.
 
-    ``closed_by`` is null for windows still open after the last row. Computed once, from two
-    rows per window at most: the rows of one window can close up to two different ones.
+    ``closed_by`` is null for windows still open after the last row. There are at most ``bound``
+    windows.
+    """
+
+    table: DataFrame
+    bound: int
+
+
+def window_facts(df: DataFrame, ts: str, order: Sequence[str], size: int, delay: int) -> WindowFacts:
+    """One pass over the rows, then a running minimum over the windows.
+
+    The pass leaves two rows per window at most: the rows of one window can close up to two
+    different ones.
     """
     pairs = settle(
         df.groupBy(
@@ -37,27 +50,41 @@ def window_facts(df: DataFrame, ts: str, order: Sequence[str], size: int, delay:
             window_start(F.col(ts) - F.lit(delay).cast("long"), size).alias("_closes"),
         ).agg(F.min(order_key(order)).alias("first_row"), F.count("*").alias("rows"))
     )
-    own = pairs.select("window_end", "first_row", "rows", F.lit(None).cast(pairs.schema["first_row"].dataType).alias("closer"))
-    closing = pairs.select(
-        F.col("_closes").alias("window_end"),
-        F.lit(None).cast(pairs.schema["first_row"].dataType).alias("first_row"),
-        F.lit(0).cast("long").alias("rows"),
-        F.col("first_row").alias("closer"),
+    bound = pairs.count()
+    # Each pair tells about two windows: the one its rows are in and the one they close.
+    own = F.struct(F.col("window_end"), F.col("first_row"), F.col("rows"))
+    arrival = pairs.schema["first_row"].dataType
+    closing = F.struct(
+        F.col("_closes").alias("window_end"), F.lit(None).cast(arrival).alias("first_row"), F.lit(0).cast("long").alias("rows")
     )
     windows = (
-        own.unionByName(closing)
-        .groupBy("window_end")
-        .agg(F.min("first_row").alias("first_row"), F.sum("rows").alias("rows"), F.min("closer").alias("closer"))
-        .where(F.col("window_end").isNotNull())
-        .withColumn("_from_last", -F.col("window_end"))
+        pairs.where(F.col("window_end").isNotNull())
+        .select(
+            F.inline(
+                F.array(
+                    F.struct(own.alias("of"), F.lit(None).cast(arrival).alias("closer")),
+                    F.struct(closing.alias("of"), F.col("first_row").alias("closer")),
+                )
+            )
+        )
+        .groupBy(F.col("of.window_end").alias("window_end"))
+        .agg(F.min("of.first_row").alias("first_row"), F.sum("of.rows").alias("rows"), F.min("closer").alias("closer"))
     )
-    # Whatever closes a later window closes this one too: a running minimum from the last window on.
+    return WindowFacts(_closed_by(windows, size, bound).where(F.col("rows") > 0), bound)
+
+
+def _closed_by(windows: DataFrame, size: int, bound: int) -> DataFrame:
+    """Whatever closes a later window closes this one too: a running minimum from the last window on."""
+    columns = ["window_end", "first_row", "rows"]
+    if bound <= WINDOWS_PER_PIECE:
+        later = Window.orderBy(F.col("window_end").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return windows.select(*columns, F.min("closer").over(later).alias("closed_by"))
+    from_last = windows.withColumn("_from_last", -F.col("window_end"))
     piece = F.lit(size * WINDOWS_PER_PIECE).cast("long")
-    pieces = F.call_function("div", F.col("_from_last") - F.pmod(F.col("_from_last"), piece), piece)
-    lowest = -(2**62)
-    split = Split(windows.withColumn(STRETCH, pieces - F.lit(lowest)), None, True)
+    number = F.call_function("div", F.col("_from_last") - F.pmod(F.col("_from_last"), piece), piece)
+    split = Split(from_last.withColumn(STRETCH, number + F.lit(2**62)), None, True)
     closed = running_over(split, [], ["_from_last"], Measures({"closed_by": Measure("min", F.col("closer"))}))
-    return closed.where(F.col("rows") > 0).select("window_end", "first_row", "rows", "closed_by")
+    return closed.select(*columns, "closed_by")
 
 
 def late_split(
@@ -76,26 +103,24 @@ def late_split(
     """
     facts = window_facts(df, ts, order, size, delay)
     placed = df.withColumns({"window_start": window_start(ts, size), "window_end": window_end(ts, size)})
-    closings = facts.where(F.col("closed_by").isNotNull()).select("window_end", "closed_by", "rows")
-    measured = facts.agg(F.count("*").alias("windows"), F.sum("rows").alias("rows")).first()
-    if measured["windows"] <= broadcast_windows:
+    closings = facts.table.where(F.col("closed_by").isNotNull()).select("window_end", "closed_by", "rows")
+    if facts.bound <= broadcast_windows:
         joined = placed.join(F.broadcast(closings.drop("rows")), "window_end", "left")
     else:
-        joined = _salted_lookup(placed, closings, order, measured["rows"], target_rows)
+        joined = _salted_lookup(placed, closings, order, target_rows)
     late = F.coalesce(order_key(order) > F.col("closed_by"), F.lit(False))
     if seen is not None:
         late = late | F.coalesce(F.col("window_end") <= F.lit(seen - delay), F.lit(False))
     return joined.select(*df.columns, "window_start", "window_end", late.alias("is_late"))
 
 
-def _salted_lookup(
-    placed: DataFrame, closings: DataFrame, order: Sequence[str], rows: int, target_rows: int
-) -> DataFrame:
+def _salted_lookup(placed: DataFrame, closings: DataFrame, order: Sequence[str], target_rows: int) -> DataFrame:
     """Join rows to closings by shuffle. Windows with too many rows are spread over several tasks.
 
     The broadcast table has at most MAX_STRETCHES rows: each of its windows holds more than
     ``target`` of all rows.
     """
+    rows = closings.agg(F.sum("rows")).first()[0] or 0
     target = max(target_rows, math.ceil(rows / MAX_STRETCHES))
     salts = F.ceil(F.col("rows") / target).cast("long")
     large = closings.where(F.col("rows") > target).select("window_end", salts.alias("_salts"))
@@ -143,7 +168,7 @@ def late_correction(split: DataFrame, keys: Sequence[str], value: str) -> DataFr
     return held.withColumn("corrected", F.coalesce("main", F.lit(0)) + F.coalesce("late", F.lit(0)))
 
 
-def window_emission(facts: DataFrame, order: Sequence[str], end_of_input: str = "flush") -> DataFrame:
+def window_emission(facts: WindowFacts, order: Sequence[str], end_of_input: str = "flush") -> DataFrame:
     """When each window gives its result: at which arrival, or at the end of input.
 
     ``end_of_input`` is "flush" or "hold" for the windows still open then. A window that has
@@ -154,7 +179,7 @@ def window_emission(facts: DataFrame, order: Sequence[str], end_of_input: str =
     arrival = F.col("closed_by") if len(order) == 1 else F.col(f"closed_by.{order[0]}")
     emits = F.col("closed_by").isNull() | (F.col("first_row") < F.col("closed_by"))
     left = F.lit("end_of_input") if end_of_input == "flush" else F.lit(None).cast("string")
-    return facts.where(emits).select(
+    return facts.table.where(emits).select(
         "window_end",
         arrival.alias("emit_arrival"),
         F.when(F.col("closed_by").isNotNull(), F.lit("watermark")).otherwise(left).alias("emitted_by"),

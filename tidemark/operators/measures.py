@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.columns import order_key
 from tidemark.operators.stretches import IS_ROW, STRETCH, TARGET_ROWS, Split, mark_hot, split_hot_keys
@@ -90,7 +91,8 @@ class Measures:
         if earlier is None:
             return later
         both = later.withColumn(IS_ROW, F.lit(1)).unionByName(earlier.withColumn(IS_ROW, F.lit(0)))
-        return both.groupBy(*groups).agg(*self.merged(F.col(IS_ROW)))
+        # Merging must not change the types, as a sum of decimals would.
+        return _typed(both.groupBy(*groups).agg(*self.merged(F.col(IS_ROW))), later.schema)
 
     def result(self, parts: DataFrame, groups: Sequence[str]) -> DataFrame:
         return parts.select(*groups, *self.finished())
@@ -106,6 +108,9 @@ class Measures:
         """One row per input row with the measures so far; ``carried`` has the parts from before."""
         return running_over(split_hot_keys(rows, keys, order, target_rows), keys, order, self, carried=carried)
 
+    def running_schema(self, rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> StructType:
+        return _plain(rows, keys, order, self).schema
+
 
 def running_over(
     split: Split,
@@ -141,7 +146,19 @@ def running_over(
         .rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow)
     )
     parts = rows.select(*columns, IS_ROW, *measures.over(window))
-    return parts.where(F.col(IS_ROW) == 1).select(*columns, *measures.finished())
+    done = parts.where(F.col(IS_ROW) == 1).select(*columns, *measures.finished())
+    return _typed(done, _plain(split.rows.select(*columns), keys, order, measures).schema) if opening else done
+
+
+def _typed(df: DataFrame, schema: StructType) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+
+
+def _plain(rows: DataFrame, keys: Sequence[str], order: Sequence[str], measures: Measures) -> DataFrame:
+    """The same columns without stretches or carried parts: tells their types, is not run."""
+    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = rows.select("*", *measures.started()).select(*rows.columns, *measures.over(window))
+    return parts.select(*rows.columns, *measures.finished())
 
 
 def carried_by_size(

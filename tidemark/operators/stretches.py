@@ -4,8 +4,9 @@ Anything that needs the rows of a key in order would, in the plain form, put a w
 task. Here a key with too many rows is cut into stretches that follow each other in arrival order,
 each small enough for a task.
 
-Where the cuts lie is taken from a sample, but only affects how even the stretches are: the cuts
-are fixed numbers by the time the plan is built, and any cuts give the same results.
+Which keys are hot and where the cuts lie is taken from a sample, which keeps the preparation to a
+count and one pass without a shuffle. Both only decide how even the work is: they are fixed by the
+time the plan is built, every row is kept, and any choice gives the same results.
 """
 
 from __future__ import annotations
@@ -16,16 +17,20 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, NumericType, TimestampType
 
 from tidemark.session import settle
 
 # Rows one task may hold of one key. Keys above it are cut.
 TARGET_ROWS = 1_000_000
-# Upper bound on hot keys and on stretches; the target rises with the data to keep it.
+# Upper bound on stretches; the target rises with the data to keep it.
 MAX_STRETCHES = 100_000
+# Sampled rows per TARGET_ROWS rows. A key with half of them counts as hot.
 SAMPLES_PER_STRETCH = 64
+# Whole numbers below this are exact as doubles.
+EXACT = 2.0**53
 
 STRETCH = "_stretch"
 IS_ROW = "_is_row"
@@ -40,35 +45,37 @@ class Cuts:
     second: list[float] = field(default_factory=list)
 
 
-def _quantiles(df: DataFrame, column: str, rows: int, pieces: int) -> list[float]:
-    if rows == 0 or pieces < 2:
+def _number(df: DataFrame, column: str) -> Column:
+    """An order column as a double; never decreases where the column increases."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, (NumericType, TimestampType)):
+        raise TypeError(f"order column {column!r} must be a number or TIMESTAMP, not {kind.simpleString()}")
+    return (F.unix_micros(column) if isinstance(kind, TimestampType) else F.col(column)).cast("double")
+
+
+def _quantiles(df: DataFrame, column: str, pieces: int) -> list[float]:
+    if pieces < 2:
         return []
-    fraction = min(1.0, SAMPLES_PER_STRETCH * pieces / rows)
-    probe = df.select(F.col(column).cast("double").alias("x"))
-    if fraction < 1.0:
-        probe = probe.sample(fraction, seed=17)
-    return probe.approxQuantile("x", [i / pieces for i in range(1, pieces)], 1.0 / (4 * pieces))
+    shares = [i / pieces for i in range(1, pieces)]
+    return df.select(_number(df, column).alias("x")).approxQuantile("x", shares, 1.0 / (4 * pieces))
 
 
-def find_cuts(df: DataFrame, order: Sequence[str], rows: int, pieces: int) -> Cuts:
-    """Cut points that divide ``rows`` rows into about ``pieces`` stretches of arrival order.
+def find_cuts(sample: DataFrame, order: Sequence[str], pieces: int) -> Cuts:
+    """Cut points that divide rows like the sampled ones into about ``pieces`` stretches.
 
     A value that fills more than one piece by itself is set apart and cut by the second order
     column. As that column tells rows apart, no stretch stays large.
     """
-    found = _quantiles(df, order[0], rows, pieces)
+    found = _quantiles(sample, order[0], pieces)
     repeated = sorted({x for x, y in zip(found, found[1:]) if x == y})
     edges = sorted(set(found) | {math.nextafter(x, math.inf) for x in repeated})
+    # Different values that look equal as doubles stay in one stretch, where their order counts.
+    inexact = isinstance(sample.schema[order[0]].dataType, DecimalType)
+    repeated = [] if inexact else [x for x in repeated if abs(x) < EXACT]
     second: list[float] = []
     if repeated and len(order) > 1:
-        # Large numbers may only look equal as doubles; those stay in one stretch, in order.
-        near = F.col(order[0]).cast("double")
-        spread = df.where(near.isin(repeated)).groupBy(near.alias("x")).agg(F.min(order[0]) == F.max(order[0]))
-        repeated = sorted(x for x, equal in spread.collect() if equal)
-        tied = df.where(near.isin(repeated))
-        tied_rows = tied.count()
-        share = max(2, math.ceil(pieces * tied_rows / rows))
-        second = sorted(set(_quantiles(tied, order[1], tied_rows, share)))
+        tied = sample.where(_number(sample, order[0]).isin(repeated))
+        second = sorted(set(_quantiles(tied, order[1], pieces)))
     return Cuts(edges, repeated, second)
 
 
@@ -77,8 +84,10 @@ def _position(df: DataFrame, column: str, edges: list[float], out: str) -> DataF
         return df.withColumn(out, F.lit(0).cast("long"))
     placed = Bucketizer(
         splits=[-math.inf, *edges, math.inf], inputCol=f"{out}_in", outputCol=f"{out}_at", handleInvalid="keep"
-    ).transform(df.withColumn(f"{out}_in", F.col(column).cast("double")))
-    return placed.withColumn(out, F.col(f"{out}_at").cast("long")).drop(f"{out}_in", f"{out}_at")
+    ).transform(df.withColumn(f"{out}_in", _number(df, column)))
+    # A missing value sorts first.
+    at = F.coalesce(F.col(f"{out}_at").cast("long"), F.lit(0))
+    return placed.withColumn(out, at).drop(f"{out}_in", f"{out}_at")
 
 
 def with_stretch(df: DataFrame, order: Sequence[str], cuts: Cuts) -> DataFrame:
@@ -88,13 +97,13 @@ def with_stretch(df: DataFrame, order: Sequence[str], cuts: Cuts) -> DataFrame:
         return placed.withColumn(STRETCH, F.col(STRETCH) + 1)
     inside = "_inside"
     placed = _position(placed, order[1], cuts.second, inside)
-    tied = F.col(order[0]).cast("double").isin(cuts.repeated)
+    tied = _number(df, order[0]).isin(cuts.repeated)
     offset = F.when(tied, F.col(inside)).otherwise(0)
     return placed.withColumn(STRETCH, F.col(STRETCH) * (len(cuts.second) + 1) + offset + 1).drop(inside)
 
 
 def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``_hot``. The table of hot keys holds at most MAX_STRETCHES rows, so it is broadcast."""
+    """Add ``_hot``. The table of hot keys has at most two rows per stretch, so it is broadcast."""
     small = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")))
     joined = df.join(
         small, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]), "left"
@@ -114,28 +123,36 @@ class Split:
 def split_hot_keys(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], target_rows: int = TARGET_ROWS
 ) -> Split:
-    """Measure the keys and cut those with more than ``target_rows`` rows.
+    """Cut keys with more than about ``target_rows`` rows.
 
     Without keys, all rows form one sequence and are always cut, at least once per task slot.
     """
+    whole = Split(df.withColumn(STRETCH, F.lit(0).cast("long")), None, False)
+    total = df.count()
+    target = max(target_rows, math.ceil(total / MAX_STRETCHES))
+    pieces = math.ceil(total / target)
     if not keys:
-        total = df.count()
-        target = max(target_rows, math.ceil(total / MAX_STRETCHES))
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        pieces = max(math.ceil(total / target), slots)
-        return Split(with_stretch(df, order, find_cuts(df, order, total, pieces)), None, True)
-
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    hot = settle(sizes.where(F.col("_rows") > target_rows))
-    hot_rows = hot.agg(F.sum("_rows")).first()[0]
-    if not hot_rows:
-        return Split(df.withColumn(STRETCH, F.lit(0).cast("long")), None, False)
-
-    # Of these rows, at most MAX_STRETCHES keys can have more than the target.
-    target = max(target_rows, math.ceil(hot_rows / MAX_STRETCHES))
-    hot = hot.where(F.col("_rows") > target)
-    marked = mark_hot(df, hot, keys)
-    cuts = find_cuts(marked.where("_hot"), order, hot_rows, max(2, math.ceil(hot_rows / target)))
-    placed = with_stretch(marked, order, cuts)
+        pieces = max(pieces, df.sparkSession.sparkContext.defaultParallelism)
+        sample = _sample(df.select(*order), total, pieces)
+        return Split(with_stretch(df, order, find_cuts(sample, order, pieces)), None, True)
+    if total <= target:
+        return whole
+
+    sample = settle(_sample(df.select(*dict.fromkeys([*keys, *order])), total, pieces))
+    share = min(1.0, SAMPLES_PER_STRETCH * pieces / total)
+    hot = sample.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > share * target / 2)
+    hot = settle(hot)
+    sampled = hot.agg(F.sum("_rows")).first()[0]
+    if not sampled:
+        return whole
+    pieces = max(2, math.ceil(sampled / (share * target)))
+    cuts = find_cuts(mark_hot(sample, hot, keys).where("_hot"), order, pieces)
+    placed = with_stretch(mark_hot(df, hot, keys), order, cuts)
     placed = placed.withColumn(STRETCH, F.when(F.col("_hot"), F.col(STRETCH)).otherwise(F.lit(0).cast("long")))
     return Split(placed.drop("_hot"), hot, True)
+
+
+def _sample(df: DataFrame, rows: int, pieces: int) -> DataFrame:
+    """Some tens of rows per piece, so its size is bounded by the number of pieces."""
+    share = SAMPLES_PER_STRETCH * pieces / max(rows, 1)
+    return df if share >= 1.0 else df.sample(share, seed=17)

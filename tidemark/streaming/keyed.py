@@ -90,8 +90,5 @@ def running_stream(
     """Run to the end of the input; one row per input row with the values of its key so far."""
     each = running_batches(keys, order, reduce, root, target_rows)
     finish(start_batches(stream, name, each, f"{root}/checkpoint"), timeout)
-    if isinstance(reduce, Fold):
-        fields = stream.select(*dict.fromkeys([*keys, *order, *reduce.values])).schema
-    else:
-        fields = stream.select("*", *reduce.started()).select(*stream.columns, *reduce.finished()).schema
-    return read_batches(stream.sparkSession, root, "running", fields).drop("batch")
+    schema = reduce.running_schema(stream, keys, order)
+    return read_batches(stream.sparkSession, root, "running", schema).drop("batch")

@@ -31,7 +31,9 @@ def read_state(spark: SparkSession, root: str, table: str, batch: int, schema: S
 
 
 def commit(spark: SparkSession, root: str, batch: int, max_ts: int | None = None) -> None:
-    mark = spark.createDataFrame([(batch, max_ts)], COMMIT).coalesce(1)
+    mark = spark.range(1).coalesce(1).select(
+        F.lit(batch).cast("long").alias("done_batch"), F.lit(max_ts).cast("long").alias("max_ts")
+    )
     mark.write.mode("overwrite").parquet(f"{root}/commits/batch={batch}")
 
 
