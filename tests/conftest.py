@@ -22,6 +22,15 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def no_small_tables(spark):
+    """Keep Spark from broadcasting a table because the test data is small."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.fixture
 def to_files(spark, tmp_path):
     """Write rows as a folder of files that a stream reads in the given order."""

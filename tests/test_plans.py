@@ -83,7 +83,7 @@ def test_late_rows_are_found_without_shuffling_rows(rows):
         assert "BroadcastHashJoin" in plan and row_exchanges(plan) == []
 
 
-def test_many_windows_are_not_broadcast(rows):
+def test_many_windows_are_not_broadcast(rows, no_small_tables):
     split = late_split(rows, "t", ORDER, HOUR, LATE_BOUND, broadcast_windows=0, target_rows=1000)
     exchanges = row_exchanges(plan_of(late_rows(split)))
     assert exchanges and all("_salt" in e for e in exchanges)

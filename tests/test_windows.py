@@ -144,7 +144,7 @@ def test_late_by_the_row_before(spark):
     "options", [{}, {"broadcast_windows": 0}, {"broadcast_windows": 0, "target_rows": 30}]
 )
 @pytest.mark.parametrize("delay", [0, 700, 5000])
-def test_late_split_against_row_by_row(spark, options, delay):
+def test_late_split_against_row_by_row(spark, no_small_tables, options, delay):
     rows = shuffled_rows()
     split = late_split(timed(spark, rows).repartition(6), "ts_ms", ["seq"], SIZE, delay, **options)
     late, expected, _ = brute.late_windows(rows, SIZE, delay)
@@ -154,6 +154,12 @@ def test_late_split_against_row_by_row(spark, options, delay):
     assert late, "the input should have late rows"
 
 
+def test_window_closed_by_its_successor_without_late_rows_is_not_looked_up(spark):
+    facts = window_facts(timed(spark, OUT_OF_ORDER), "ts_ms", ["seq"], SIZE, DELAY)
+    assert facts.bound >= 4
+    assert facts.table.where("last_row > closed_by").count() == 0
+
+
 def test_many_windows_need_several_pieces(spark, monkeypatch):
     monkeypatch.setattr("tidemark.operators.late.WINDOWS_PER_PIECE", 3)
     rows = shuffled_rows()

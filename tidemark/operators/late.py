@@ -24,11 +24,12 @@ from tidemark.session import settle
 BROADCAST_WINDOWS = 500_000
 # Windows per piece of the running minimum; up to as many need no pieces.
 WINDOWS_PER_PIECE = 10_000
+FACTS = ("first_row", "last_row", "rows")
 
 
 @dataclass(frozen=True)
 class WindowFacts:
-    """Per window its ``rows``, its ``first_row`` and ``closed_by``, the arrival that closes it.
+    """Per window its ``rows``, the first and the last to arrive, and ``closed_by``, the arrival that closes it.
 
     ``closed_by`` is null for windows still open after the last row. There are at most ``bound``
     windows.
@@ -48,34 +49,40 @@ def window_facts(df: DataFrame, ts: str, order: Sequence[str], size: int, delay:
         df.groupBy(
             window_end(ts, size).alias("window_end"),
             window_start(F.col(ts) - F.lit(delay).cast("long"), size).alias("_closes"),
-        ).agg(F.min(order_key(order)).alias("first_row"), F.count("*").alias("rows"))
+        ).agg(
+            F.min(order_key(order)).alias("first_row"),
+            F.max(order_key(order)).alias("last_row"),
+            F.count("*").alias("rows"),
+        )
     )
     bound = pairs.count()
     # Each pair tells about two windows: the one its rows are in and the one they close.
-    own = F.struct(F.col("window_end"), F.col("first_row"), F.col("rows"))
-    arrival = pairs.schema["first_row"].dataType
-    closing = F.struct(
-        F.col("_closes").alias("window_end"), F.lit(None).cast(arrival).alias("first_row"), F.lit(0).cast("long").alias("rows")
+    none = F.lit(None).cast(pairs.schema["first_row"].dataType)
+    own = pairs.select("window_end", *FACTS, none.alias("closer"))
+    closing = pairs.select(
+        F.col("_closes").alias("window_end"),
+        none.alias("first_row"),
+        none.alias("last_row"),
+        F.lit(0).cast("long").alias("rows"),
+        F.col("first_row").alias("closer"),
     )
     windows = (
-        pairs.where(F.col("window_end").isNotNull())
-        .select(
-            F.inline(
-                F.array(
-                    F.struct(own.alias("of"), F.lit(None).cast(arrival).alias("closer")),
-                    F.struct(closing.alias("of"), F.col("first_row").alias("closer")),
-                )
-            )
+        own.unionByName(closing)
+        .where(F.col("window_end").isNotNull())
+        .groupBy("window_end")
+        .agg(
+            F.min("first_row").alias("first_row"),
+            F.max("last_row").alias("last_row"),
+            F.sum("rows").alias("rows"),
+            F.min("closer").alias("closer"),
         )
-        .groupBy(F.col("of.window_end").alias("window_end"))
-        .agg(F.min("of.first_row").alias("first_row"), F.sum("of.rows").alias("rows"), F.min("closer").alias("closer"))
     )
     return WindowFacts(_closed_by(windows, size, bound).where(F.col("rows") > 0), bound)
 
 
 def _closed_by(windows: DataFrame, size: int, bound: int) -> DataFrame:
     """Whatever closes a later window closes this one too: a running minimum from the last window on."""
-    columns = ["window_end", "first_row", "rows"]
+    columns = ["window_end", *FACTS]
     if bound <= WINDOWS_PER_PIECE:
         later = Window.orderBy(F.col("window_end").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return windows.select(*columns, F.min("closer").over(later).alias("closed_by"))
@@ -103,8 +110,9 @@ def late_split(
     """
     facts = window_facts(df, ts, order, size, delay)
     placed = df.withColumns({"window_start": window_start(ts, size), "window_end": window_end(ts, size)})
-    closings = facts.table.where(F.col("closed_by").isNotNull()).select("window_end", "closed_by", "rows")
-    if facts.bound <= broadcast_windows:
+    # Only windows with a row after their closing can have late rows; the others need no lookup.
+    closings = facts.table.where(F.col("last_row") > F.col("closed_by")).select("window_end", "closed_by", "rows")
+    if facts.bound <= broadcast_windows or closings.count() <= broadcast_windows:
         joined = placed.join(F.broadcast(closings.drop("rows")), "window_end", "left")
     else:
         joined = _salted_lookup(placed, closings, order, target_rows)
