@@ -4,6 +4,7 @@ import os
 import sys
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
@@ -32,21 +33,17 @@ def no_small_tables(spark):
 
 
 @pytest.fixture
-def to_files(spark, tmp_path):
+def to_files(tmp_path):
     """Write rows as a folder of files that a stream reads in the given order."""
 
     def write(df, order: str, chunks: int, name: str = "in") -> str:
         folder = tmp_path / name
         folder.mkdir()
-        frame = df.orderBy(order).toPandas()
-        step = -(-len(frame) // chunks)
-        staging = tmp_path / f"{name}-staging"
-        for i in range(0, max(len(frame), 1), max(step, 1)):
-            part = staging / str(i)
-            spark.createDataFrame(frame.iloc[i : i + step], df.schema).coalesce(1).write.parquet(str(part))
-            (source,) = part.glob("*.parquet")
+        table = df.orderBy(order).toArrow()
+        step = -(-len(table) // chunks)
+        for i in range(0, len(table), step):
             target = folder / f"{i:08d}.parquet"
-            target.write_bytes(source.read_bytes())
+            pq.write_table(table.slice(i, step), target)
             when = 1_700_000_000 + 10 * i
             os.utime(target, (when, when))
         return str(folder)

@@ -200,3 +200,17 @@ def test_types_do_not_depend_on_cutting(spark, target_rows):
     assert (out.schema["i"].dataType.simpleString(), out.schema["d_sum"].dataType.simpleString()) == (
         "bigint", "decimal(20,2)",
     )
+
+
+def test_groups_that_span_batches_and_odd_keys(spark):
+    nan = float("nan")
+    rows = [(k, str(i)) for i in range(40) for k in (None, nan, 1.0, 2.0)]
+    df = from_rows(spark, rows, "key DOUBLE, v STRING")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sorted(r["v"] for r in reduce_groups(df, ["key"], ["seq"], ["v"], join_text()).collect())
+        assert got == [",".join(map(str, range(40)))] * 4
+        out = running_groups(df, ["key"], ["seq"], ["v"], join_text()).orderBy("seq").collect()
+        assert [r["v"] for r in out] == [",".join(map(str, range(i + 1))) for i in range(40) for _ in range(4)]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

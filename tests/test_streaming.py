@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from tests.data import (
     OUT_OF_ORDER,
     OUT_OF_ORDER_WINDOWS,
     PAIRS,
+    SENSORS,
     SIZE,
     TRIPLES,
     WITH_LATE,
@@ -23,7 +25,7 @@ from tidemark.operators.measures import Measure, Measures
 from tidemark.operators.transforms import flat_map_words
 from tidemark.operators.watermark import with_event_time
 from tidemark.operators.windows import tumble
-from tidemark.sources.tables import from_rows, stream_files
+from tidemark.sources.tables import from_rows, stamp_arrival, stream_files
 from tidemark.streaming import state
 from tidemark.streaming.keyed import running_batches, running_stream, update_totals
 from tidemark.streaming.late import LateWindows
@@ -258,6 +260,23 @@ def test_empty_input(spark, tmp_path, sum_and_first):
     assert job.main(spark, root).count() == 0 and job.late(spark, root).count() == 0
 
 
+def test_windows_on_the_clock(spark, to_files, tmp_path):
+    df = from_rows(spark, SENSORS, PAIRS)
+    stream = stamp_arrival(stream_files(spark, to_files(df, "seq", 3), KEYED, 1))
+    sums = Measures({"value": Measure("sum", F.col("value")), "n": Measure("count", F.lit(1))})
+    job = LateWindows(stream.schema, ["key"], "arrival", ["arrival", "seq"], 5_000_000, 0, sums)
+    root = str(tmp_path / "run")
+    started = time.time() * 1e6
+    job.run(stream, "clock", root, timeout=120)
+    out = job.main(spark, root).collect()
+    # Windows depend on the clock, what they add up to does not.
+    assert all(started - 5_000_000 < r["window_start"] <= time.time() * 1e6 for r in out)
+    assert all(r["window_start"] % 5_000_000 == 0 for r in out)
+    for key in ("sensor_1", "sensor_2"):
+        assert sum(r["value"] for r in out if r["key"] == key) == sum(v for k, v in SENSORS if k == key)
+    assert job.late(spark, root).count() == 0
+
+
 def test_built_in_windows_one_row_per_batch(spark, to_files, tmp_path):
     """The built-in aggregate agrees at that batch size, for the windows it closes."""
     before = spark.conf.get(ONE_AGGREGATE)

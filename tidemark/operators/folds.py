@@ -10,10 +10,14 @@ Spark shuffles and sorts the rows; a task walks its sorted rows once and holds o
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,43 +29,70 @@ Combine = Callable[[tuple, tuple], tuple]
 
 
 def _walk(df: DataFrame, groups: Sequence[str], values: Sequence[str], fn: Combine, each_row: bool) -> DataFrame:
-    """Combine consecutive rows of a group; give the last value, or the value at every row."""
+    """Combine consecutive rows of a group; give the last value, or the value at every row.
+
+    What runs in the tasks is all defined in here, so that workers need nothing installed.
+    """
     names = df.columns
     at_group = [names.index(c) for c in groups]
     at_value = [names.index(c) for c in values]
 
-    def as_batch(done: list, arrow: pa.Schema) -> pa.RecordBatch:
-        columns = [list(c) for c in zip(*[row for row, _ in done])]
-        for i, at in enumerate(at_value):
-            columns[at] = [value[i] for _, value in done]
-        arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow)]
-        return pa.RecordBatch.from_arrays(arrays, schema=arrow)
+    def starts(batch: pa.RecordBatch) -> np.ndarray:
+        """Where a group begins. Missing equals missing, and NaN equals NaN."""
+        changed = np.zeros(batch.num_rows, dtype=bool)
+        changed[0] = True
+        for i in at_group:
+            left, right = batch.column(i)[:-1], batch.column(i)[1:]
+            differ = pc.fill_null(pc.not_equal(left, right), False)
+            if pa.types.is_floating(left.type):
+                both_nan = pc.fill_null(pc.and_(pc.is_nan(left), pc.is_nan(right)), False)
+                differ = pc.and_(differ, pc.invert(both_nan))
+            differ = pc.or_(differ, pc.not_equal(pc.is_null(left), pc.is_null(right)))
+            changed[1:] |= differ.to_numpy(zero_copy_only=False)
+        return np.flatnonzero(changed)
+
+    def with_values(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+        arrays = list(batch.columns)
+        for i, column in zip(at_value, zip(*rows)):
+            arrays[i] = pa.array(column, type=batch.schema.field(i).type)
+        return pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held, arrow = None, None, None
+        last, held = None, None  # the last row so far, and the value of its group
         for batch in batches:
-            arrow = batch.schema
+            if batch.num_rows == 0:
+                continue
+            rows = list(zip(*[batch.column(i).to_pylist() for i in at_value]))
+            begins = starts(batch).tolist()
+            ends = [*begins[1:], batch.num_rows]
+            goes_on = last is not None and len(starts(pa.concat_batches([last, batch[:1]]))) == 1
+            if last is not None and not goes_on and not each_row:
+                yield with_values(last, [held])
             done = []
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                here = tuple(row[i] for i in at_group)
-                value = tuple(row[i] for i in at_value)
-                if held is not None and here == group:
-                    value = fn(held[1], value)
-                elif held is not None and not each_row:
-                    done.append(held)
-                group, held = here, (row, value)
+            for begin, end in zip(begins, ends):
+                run = rows[begin:end]
+                if begin == 0 and goes_on:
+                    run[0] = fn(held, run[0])
                 if each_row:
+                    done.extend(accumulate(run, fn))
+                    held = done[-1]
+                else:
+                    held = functools.reduce(fn, run)
                     done.append(held)
-            if done:
-                yield as_batch(done, arrow)
-        if held is not None and not each_row:
-            yield as_batch([held], arrow)
+            last = batch[-1:]
+            if each_row:
+                yield with_values(batch, done)
+            elif len(done) > 1:
+                yield with_values(batch.take(pa.array(begins[:-1])), done[:-1])
+        if last is not None and not each_row:
+            yield with_values(last, [held])
 
     return df.mapInArrow(walk, df.schema)
 
 
-def _gather(df: DataFrame, groups: Sequence[str], order: Sequence[str]) -> DataFrame:
-    return df.repartition(*groups).sortWithinPartitions(*groups, *order)
+def _gather(df: DataFrame, groups: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Rows of a group in one task and in order, with the columns a walk over groups needs."""
+    return df.repartition(*groups).sortWithinPartitions(*groups, *order).select(*groups, *values)
 
 
 def _place(order: Sequence[str]) -> list[Column]:
@@ -82,9 +113,9 @@ def reduce_groups(
     groups = [*keys, STRETCH]
     by = [f"_by_{c}" for c in order]
     rows = split.rows.select(*groups, *_place(order), *values)
-    pieces = _walk(_gather(rows, groups, by), groups, values, fn, each_row=False).drop(*by)
+    pieces = _walk(_gather(rows, groups, by, values), groups, values, fn, each_row=False)
     if split.any_hot:
-        pieces = _walk(_gather(pieces, keys, [STRETCH]), keys, values, fn, each_row=False)
+        pieces = _walk(_gather(pieces, keys, [STRETCH], values), keys, values, fn, each_row=False)
     return pieces.select(*keys, *values)
 
 
@@ -109,15 +140,15 @@ def running_groups(
     opening = [] if whole is None else [whole]
     if split.any_hot:
         hot = rows.where(F.col(STRETCH) > 0).drop(IS_ROW)
-        pieces = _walk(_gather(hot, groups, by), groups, values, fn, each_row=False).drop(*by)
+        pieces = _walk(_gather(hot, groups, by, values), groups, values, fn, each_row=False)
         if cut is not None:
             pieces = pieces.unionByName(cut)
-        so_far = _walk(_gather(pieces, keys, [STRETCH]), keys, values, fn, each_row=True)
+        so_far = _walk(_gather(pieces, keys, [STRETCH], [STRETCH, *values]), keys, values, fn, each_row=True)
         follows = F.lead(STRETCH).over(Window.partitionBy(*keys).orderBy(STRETCH))
         opening.append(so_far.withColumn(STRETCH, follows).where(F.col(STRETCH).isNotNull()))
     for extra in opening:
         rows = rows.unionByName(extra.withColumn(IS_ROW, F.lit(0)), allowMissingColumns=True)
-    walked = _walk(_gather(rows, groups, [IS_ROW, *by]), groups, values, fn, each_row=True)
+    walked = _walk(_gather(rows, groups, [IS_ROW, *by], [*by, IS_ROW, *values]), groups, values, fn, each_row=True)
     kept = [F.col(f"_by_{c}").alias(c) for c in order if c not in keys and c not in values]
     return walked.where(F.col(IS_ROW) == 1).select(*keys, *kept, *values)
 
@@ -145,7 +176,7 @@ class Fold:
         if earlier is None:
             return later
         both = later.withColumn(IS_ROW, F.lit(1)).unionByName(earlier.withColumn(IS_ROW, F.lit(0)))
-        return _walk(_gather(both, groups, [IS_ROW]), groups, self.values, self.fn, each_row=False).drop(IS_ROW)
+        return _walk(_gather(both, groups, [IS_ROW], self.values), groups, self.values, self.fn, each_row=False)
 
     def result(self, parts: DataFrame, groups: Sequence[str]) -> DataFrame:
         return parts.select(*groups, *self.values)

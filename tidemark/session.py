@@ -15,6 +15,11 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Keyed totals of streams are kept on disk rather than in executor memory.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
         # Settled tables are removed from the shared folder once nothing refers to them.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )

@@ -51,6 +51,15 @@ def stream_files(
     )
 
 
+def stamp_arrival(stream: DataFrame, out: str = "arrival") -> DataFrame:
+    """Add the time at which a row is taken in (epoch microseconds), for windows on the clock.
+
+    One value per batch of a stream. It is logged with the batch, so a batch that is run again
+    after a failure gets the same one.
+    """
+    return stream.withColumn(out, F.unix_micros(F.current_timestamp()))
+
+
 def arrivals(events: DataFrame) -> DataFrame:
     """Events in the order they reach the system: ``arrival`` (then event_id) in epoch microseconds.
 
