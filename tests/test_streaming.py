@@ -115,8 +115,12 @@ def test_totals_kept_up_to_date(spark, to_files, tmp_path, files_per_batch):
     assert {r["key"]: r["value"] for r in out.collect()} == {"hello": 3, "world": 1, "spark": 2, "is": 1, "cool": 1}
 
 
-@pytest.mark.parametrize("files_per_batch", [1, 100])
-def test_running_sum_on_a_stream(spark, to_files, tmp_path, files_per_batch):
+@pytest.mark.parametrize("files_per_batch, snapshot_every, broadcast_keys", [(1, 2, 500_000), (1, 3, 0), (100, 16, 0)])
+def test_running_sum_on_a_stream(
+    spark, to_files, tmp_path, monkeypatch, files_per_batch, snapshot_every, broadcast_keys
+):
+    monkeypatch.setattr(state, "SNAPSHOT_EVERY", snapshot_every)
+    monkeypatch.setattr(state, "BROADCAST_KEYS", broadcast_keys)
     stream = stream_files(spark, to_files(from_rows(spark, WORD_ONES, PAIRS), "seq", 8), KEYED, files_per_batch)
     sums = Measures({"so_far": Measure("sum", F.col("value"))})
     out = running_stream(stream, ["key"], ["seq"], sums, "running", str(tmp_path / "run"), timeout=120)
@@ -139,7 +143,8 @@ def test_running_values_on_a_stream_with_a_hot_key(spark, to_files, tmp_path, ta
 @pytest.mark.parametrize("target_rows", [1_000_000, 10])
 def test_running_reduce_function_on_a_stream(spark, to_files, tmp_path, target_rows):
     rng = random.Random(12)
-    rows = [("hot" if rng.random() < 0.4 else f"k{rng.randrange(5)}", str(rng.randrange(99))) for _ in range(120)]
+    keys = [None, "hot", "hot", *(f"k{i}" for i in range(5))]
+    rows = [(rng.choice(keys), str(rng.randrange(99))) for _ in range(120)]
     df = from_rows(spark, rows, "key STRING, v STRING")
     stream = stream_files(spark, to_files(df, "seq", 4), "seq BIGINT, key STRING, v STRING", 2)
     fold = Fold(("v",), lambda a, b: (a[0] + "," + b[0],))
@@ -147,7 +152,9 @@ def test_running_reduce_function_on_a_stream(spark, to_files, tmp_path, target_r
     assert [r["v"] for r in out.orderBy("seq").collect()] == brute.running(rows, lambda a, b: a + "," + b)
 
 
-def test_running_sum_goes_on_after_a_failure(spark, to_files, tmp_path):
+@pytest.mark.parametrize("failing_batch", [1, 2, 3])
+def test_running_sum_goes_on_after_a_failure(spark, to_files, tmp_path, monkeypatch, failing_batch):
+    monkeypatch.setattr(state, "SNAPSHOT_EVERY", 2)
     stream = stream_files(spark, to_files(from_rows(spark, WORD_ONES, PAIRS), "seq", 8), KEYED, 2)
     sums = Measures({"so_far": Measure("sum", F.col("value"))})
     root = str(tmp_path / "run")
@@ -155,7 +162,7 @@ def test_running_sum_goes_on_after_a_failure(spark, to_files, tmp_path):
 
     def fail_late(rows, batch):
         each(rows, batch)
-        if batch == 2:
+        if batch == failing_batch:
             raise RuntimeError("lost after its commit")
 
     with pytest.raises(Exception, match="lost after"):

@@ -102,13 +102,15 @@ def with_stretch(df: DataFrame, order: Sequence[str], cuts: Cuts) -> DataFrame:
     return placed.withColumn(STRETCH, F.col(STRETCH) * (len(cuts.second) + 1) + offset + 1).drop(inside)
 
 
+def same_keys(keys: Sequence[str], prefix: str) -> Column:
+    """Equality of keys with those under prefixed names; a missing key equals a missing key."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
 def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``_hot``. The table of hot keys has at most two rows per stretch, so it is broadcast."""
     small = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")))
-    joined = df.join(
-        small, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]), "left"
-    )
-    return joined.drop(*[f"_hot_{k}" for k in keys])
+    return df.join(small, same_keys(keys, "_hot_"), "left").drop(*[f"_hot_{k}" for k in keys])
 
 
 @dataclass(frozen=True)

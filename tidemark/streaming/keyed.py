@@ -12,7 +12,7 @@ from tidemark.operators.folds import Fold
 from tidemark.operators.measures import Measures
 from tidemark.operators.stretches import TARGET_ROWS
 from tidemark.streaming.runner import finish, start_batches
-from tidemark.streaming.state import commit, read_batches, read_state, write_batch, write_state
+from tidemark.streaming.state import commit, read_batches, read_keyed, write_batch, write_keyed
 
 
 def update_totals(
@@ -64,15 +64,17 @@ def running_batches(
 
     def each(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
-        rows = rows.persist()
+        rows, parts = rows.persist(), None
         try:
-            parts = reduce.parts(rows, keys, order, target_rows)
-            carried = read_state(spark, root, "totals", batch - 1, parts.schema) if batch > 0 else None
+            parts = reduce.parts(rows, keys, order, target_rows).persist()
+            carried = read_keyed(spark, root, "totals", batch - 1, parts.schema, keys, parts) if batch > 0 else None
             write_batch(reduce.running(rows, keys, order, carried, target_rows), root, "running", batch)
-            write_state(reduce.merge(carried, parts, keys), root, "totals", batch)
+            write_keyed(reduce.merge(carried, parts, keys), root, "totals", batch, keys)
             commit(spark, root, batch)
         finally:
             rows.unpersist()
+            if parts is not None:
+                parts.unpersist()
 
     return each
 

@@ -1,17 +1,33 @@
 """Tables that carry state from one batch to the next.
 
-Batch N reads version N-1 and overwrites version N, so a batch that is run again after a failure
-gives the same result. Two versions are kept, in turns. ``commits/batch=N`` is written last and
-marks the batch as done; readers take only batches up to the newest mark.
+Batch N reads what earlier batches wrote and overwrites only what is its own, so a batch that is
+run again after a failure gives the same result. Folders are used in turns, so state that is no
+longer needed is overwritten. ``commits/batch=N`` is written last and marks the batch as done;
+readers take only batches up to the newest mark.
+
+State that is small or changes as a whole is one table per batch (``write_state``). State with a
+row per key is kept as changes: a batch writes the keys it touched, and now and then all of them
+(``write_keyed``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tidemark.operators.stretches import same_keys
+
+# Batches from one full write of keyed state to the next.
+SNAPSHOT_EVERY = 16
+# Keys of a batch that are broadcast to look up their state; more are joined by shuffle.
+BROADCAST_KEYS = 500_000
+VERSION = "_version"
+
 COMMIT = "done_batch BIGINT, max_ts BIGINT"
 
 
@@ -30,6 +46,47 @@ def read_state(spark: SparkSession, root: str, table: str, batch: int, schema: S
     return spark.read.schema(schema).parquet(f"{root}/{table}/version={batch % 2}")
 
 
+def _keyed_path(root: str, table: str, batch: int) -> str:
+    return f"{root}/{table}/part={batch % (2 * SNAPSHOT_EVERY)}"
+
+
+def _versions(spark: SparkSession, root: str, table: str, batch: int, schema: StructType) -> DataFrame:
+    """The last full write and the changes after it, up to ``batch``."""
+    numbers = range(batch - batch % SNAPSHOT_EVERY, batch + 1)
+    parts = [
+        spark.read.schema(schema).parquet(_keyed_path(root, table, n)).withColumn(VERSION, F.lit(n)) for n in numbers
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _newest(versions: DataFrame, keys: Sequence[str], schema: StructType) -> DataFrame:
+    values = [f.name for f in schema if f.name not in keys]
+    newest = versions.groupBy(*keys).agg(F.max_by(F.struct(*values), VERSION).alias("_newest"))
+    return newest.select(*keys, *[F.col(f"_newest.{v}").alias(v) for v in values])
+
+
+def read_keyed(
+    spark: SparkSession, root: str, table: str, batch: int, schema: StructType, keys: Sequence[str], touched: DataFrame
+) -> DataFrame:
+    """The state after ``batch`` of the keys in ``touched``, which has one row per key.
+
+    The rest of the state is only scanned.
+    """
+    few = touched.count() <= BROADCAST_KEYS
+    wanted = touched.select(*[F.col(k).alias(f"_wanted_{k}") for k in keys])
+    held = _versions(spark, root, table, batch, schema)
+    held = held.join(F.broadcast(wanted) if few else wanted, same_keys(keys, "_wanted_"), "left_semi")
+    return _newest(held, keys, schema)
+
+
+def write_keyed(changed: DataFrame, root: str, table: str, batch: int, keys: Sequence[str]) -> None:
+    """Write the state of the keys a batch changed, or of all keys if a full write is due."""
+    if batch > 0 and batch % SNAPSHOT_EVERY == 0:
+        held = _versions(changed.sparkSession, root, table, batch - 1, changed.schema)
+        changed = _newest(held.unionByName(changed.withColumn(VERSION, F.lit(batch))), keys, changed.schema)
+    changed.write.mode("overwrite").parquet(_keyed_path(root, table, batch))
+
+
 def commit(spark: SparkSession, root: str, batch: int, max_ts: int | None = None) -> None:
     mark = spark.range(1).coalesce(1).select(
         F.lit(batch).cast("long").alias("done_batch"), F.lit(max_ts).cast("long").alias("max_ts")
