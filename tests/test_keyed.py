@@ -214,3 +214,25 @@ def test_groups_that_span_batches_and_odd_keys(spark):
         assert [r["v"] for r in out] == [",".join(map(str, range(i + 1))) for i in range(40) for _ in range(4)]
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_aggregate_with_an_accumulator_of_its_own(spark):
+    df = from_rows(spark, skewed(), PAIRS).withColumns({"total": F.col("value").cast("long"), "n": F.lit(1)})
+    held = reduce_groups(df, ["key"], ["seq"], ["total", "n"], lambda a, b: (a[0] + b[0], a[1] + b[1]), 50)
+    got = {r["key"]: (r["total"], r["n"]) for r in held.collect()}
+    expected = keyed.keyed_aggregate(df, ["key"], "value").collect()
+    assert got == {r["key"]: (r["total"], r["n"]) for r in expected}
+
+
+def test_empty_input(spark):
+    df = from_rows(spark, [], PAIRS)
+    for keys in ([], ["key"]):
+        assert running(df, keys, ["seq"], {"s": Measure("sum", F.col("value"))}).count() == 0
+    assert reduce_groups(df, ["key"], ["seq"], ["value"], lambda a, b: a).count() == 0
+    assert keyed.count_windows(df, ["key"], ["seq"], "value", 3).count() == 0
+
+
+def test_order_must_be_numeric_to_be_cut(spark):
+    df = from_rows(spark, skewed(50), PAIRS)
+    with pytest.raises(TypeError, match="must be a number"):
+        running(df, [], ["key"], {"s": Measure("sum", F.col("value"))})

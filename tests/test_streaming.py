@@ -108,13 +108,33 @@ def test_restarted_file_sink_neither_loses_nor_doubles_rows(spark, to_files, tmp
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
 
 
-@pytest.mark.parametrize("files_per_batch", [1, 100])
-def test_totals_kept_up_to_date(spark, to_files, tmp_path, files_per_batch):
+@pytest.mark.parametrize("files_per_batch, snapshot_every", [(1, 3), (100, 16)])
+def test_totals_kept_up_to_date(spark, to_files, tmp_path, monkeypatch, files_per_batch, snapshot_every):
+    monkeypatch.setattr(state, "SNAPSHOT_EVERY", snapshot_every)
     stream = stream_files(spark, to_files(from_rows(spark, WORD_ONES, PAIRS), "seq", 8), KEYED, files_per_batch)
     out = update_totals(stream, ["key"], {"value": F.sum("value")}, "totals", str(tmp_path / "run"), 120)
     assert {r["key"]: r["value"] for r in out.collect()} == {"hello": 3, "world": 1, "spark": 2, "is": 1, "cool": 1}
 
 
+def test_totals_go_on_after_a_failure(spark, to_files, tmp_path, monkeypatch):
+    stream = stream_files(spark, to_files(from_rows(spark, WORD_ONES, PAIRS), "seq", 4), KEYED, 1)
+    root = str(tmp_path / "run")
+    failed = []
+
+    def commit_once_lost(session, where, batch):
+        if batch == 2 and not failed:
+            failed.append(batch)
+            raise RuntimeError("lost before its mark")
+        state.commit(session, where, batch)
+
+    monkeypatch.setattr("tidemark.streaming.keyed.commit", commit_once_lost)
+    with pytest.raises(Exception, match="lost before"):
+        update_totals(stream, ["key"], {"value": F.sum("value")}, "first", root, 120)
+    out = update_totals(stream, ["key"], {"value": F.sum("value")}, "second", root, 120)
+    assert failed == [2]
+    assert {r["key"]: r["value"] for r in out.collect()} == {"hello": 3, "world": 1, "spark": 2, "is": 1, "cool": 1}
+
+
 @pytest.mark.parametrize("files_per_batch, snapshot_every, broadcast_keys", [(1, 2, 500_000), (1, 3, 0), (100, 16, 0)])
 def test_running_sum_on_a_stream(
     spark, to_files, tmp_path, monkeypatch, files_per_batch, snapshot_every, broadcast_keys

@@ -240,3 +240,11 @@ def test_without_watermark_a_stream_gives_nothing(spark, to_files):
     grouped = windows.tumble(stream, "ts", "2 seconds", ["key"], {"value": F.sum("value")})
     with pytest.raises(AnalysisException):
         grouped.writeStream.format("noop").outputMode("append").start()
+
+
+def test_empty_input(spark):
+    df = timed(spark, [])
+    split = late_split(df, "ts_ms", ["seq"], SIZE, DELAY)
+    assert split.count() == 0 and late_rows(split).count() == 0
+    assert watermark_trace(df, "ts_ms", ["seq"], DELAY).count() == 0
+    assert window_emission(window_facts(df, "ts_ms", ["seq"], SIZE, DELAY), ["seq"]).count() == 0

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame
 
 from tidemark.operators.folds import Fold
 from tidemark.operators.measures import Measures
 from tidemark.operators.stretches import TARGET_ROWS
 from tidemark.streaming.runner import finish, start_batches
-from tidemark.streaming.state import commit, read_batches, read_keyed, write_batch, write_keyed
+from tidemark.streaming.state import commit, read_all_keyed, read_batches, read_keyed, write_batch, write_keyed
 
 
 def update_totals(
@@ -25,28 +23,17 @@ def update_totals(
 ) -> DataFrame:
     """Totals per key, kept up to date: each batch gives the keys it changed, the newest counts.
 
-    Spark keeps the totals in its state store. The changed keys of batch N go to their own folder
-    and overwrite it if the batch is run again, so nothing is read to update a key.
+    Spark keeps the totals in its state store. A batch only writes the keys it changed; all keys
+    are brought together when they are read, and now and then by a full write.
     """
     totals = stream.groupBy(*keys).agg(*[a.alias(n) for n, a in aggregates.items()])
 
     def upsert(changed: DataFrame, batch: int) -> None:
-        write_batch(changed, root, "changed", batch)
+        write_keyed(changed, root, "newest", batch, keys)
         commit(changed.sparkSession, root, batch)
 
     finish(start_batches(totals, name, upsert, f"{root}/checkpoint", mode="update"), timeout)
-    return newest_totals(stream.sparkSession, root, keys, totals.schema)
-
-
-def newest_totals(spark: SparkSession, root: str, keys: Sequence[str], schema: StructType) -> DataFrame:
-    """The newest row of each key among the changes."""
-    values = [f.name for f in schema.fields if f.name not in keys]
-    newest = (
-        read_batches(spark, root, "changed", schema)
-        .groupBy(*keys)
-        .agg(F.max_by(F.struct(*values), "batch").alias("_newest"))
-    )
-    return newest.select(*keys, *[F.col(f"_newest.{v}").alias(v) for v in values])
+    return read_all_keyed(stream.sparkSession, root, "newest", totals.schema, keys)
 
 
 def running_batches(

@@ -79,6 +79,14 @@ def read_keyed(
     return _newest(held, keys, schema)
 
 
+def read_all_keyed(spark: SparkSession, root: str, table: str, schema: StructType, keys: Sequence[str]) -> DataFrame:
+    """The state of all keys after the newest finished batch."""
+    last = last_commit(spark, root)
+    if last is None:
+        return spark.createDataFrame([], schema)
+    return _newest(_versions(spark, root, table, last, schema), keys, schema)
+
+
 def write_keyed(changed: DataFrame, root: str, table: str, batch: int, keys: Sequence[str]) -> None:
     """Write the state of the keys a batch changed, or of all keys if a full write is due."""
     if batch > 0 and batch % SNAPSHOT_EVERY == 0:
