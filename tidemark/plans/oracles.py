@@ -8,6 +8,7 @@ from __future__ import annotations
 
 HOUR = 3_600_000_000
 LATE_BOUND = 900_000_000
+WIDE_BOUND = 7_200_000_000
 
 _MONEY = "CAST(round(value * 100) AS BIGINT)"
 
@@ -17,15 +18,20 @@ _ARRIVALS = f"""a AS (
     FROM events
 )"""
 
-_TRACED = f"""{_ARRIVALS}, traced AS (
+
+def _traced(bound: int) -> str:
+    return f"""{_ARRIVALS}, traced AS (
     SELECT *, (t // {HOUR}) * {HOUR} AS window_start, (t // {HOUR} + 1) * {HOUR} AS window_end,
            max(t) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-               - {LATE_BOUND} AS watermark
+               - {bound} AS watermark
     FROM a
 ), split AS (
     SELECT *, coalesce(window_end <= watermark, false) AS is_late FROM traced
 )"""
 
+
+_TRACED = _traced(LATE_BOUND)
+
 _SRC = f"SELECT event_id, user_id, event_type, {_MONEY} AS cents FROM events"
 _KEYED_SUM = f"SELECT event_type, CAST(sum({_MONEY}) AS BIGINT) AS cents FROM events GROUP BY event_type"
 _ROLLING = f"""
@@ -78,7 +84,10 @@ FROM a GROUP BY 1, 2""",
     "tumble_event_sum": f"""
 SELECT event_type, (epoch_us(ts) // {HOUR}) * {HOUR} AS window_start, CAST(sum({_MONEY}) AS BIGINT) AS cents
 FROM events GROUP BY 1, 2""",
-    "tumble_event_reduce": _FIRST_ARRIVED,
+    "tumble_event_reduce": f"""
+WITH {_traced(WIDE_BOUND)}
+SELECT event_type, window_start, CAST(sum(cents) AS BIGINT) AS cents, arg_min(t, (arrival, event_id)) AS t
+FROM split WHERE NOT is_late GROUP BY 1, 2""",
     "tumble_udaf_reduce": _FIRST_ARRIVED,
     "tumble_count_avg": f"""
 SELECT event_type, (epoch_us(ts) // {HOUR}) * {HOUR} AS window_start, count(*) AS n,

@@ -156,9 +156,9 @@ def tumble_event_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tumble_event_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bound is wider than any delay here, so out-of-order rows count in their own window."""
-    rows = _arrivals(spark, sf_dir)
-    return windows.tumbling_reduce(rows, ["event_type"], "t", ORDER, HOUR, "cents")
+    """Rows out of order, but within the bound, count in their own window."""
+    split = late_split(_arrivals(spark, sf_dir), "t", ORDER, HOUR, WIDE_BOUND)
+    return windows.tumbling_reduce(split.where(~F.col("is_late")), ["event_type"], "t", ORDER, HOUR, "cents")
 
 
 def tumble_udaf_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
