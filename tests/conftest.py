@@ -9,7 +9,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from tidemark.session import build_session  # noqa: E402
+from tidemark.session import SHARED, build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -17,8 +17,7 @@ def spark(tmp_path_factory):
     conf = {"spark__ui__enabled": "false", "spark__sql__shuffle__partitions": "8", "spark__driver__memory": "6g"}
     session = build_session("tidemark-tests", "local[8]", **conf)
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    session.conf.set(SHARED, str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

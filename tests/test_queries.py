@@ -19,7 +19,8 @@ def duck():
 
 def test_every_query_has_its_sql():
     assert QUERIES.keys() == ORACLES.keys()
-    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+    assert QUERIES.keys() <= entry_points.queries().keys()
+    assert entry_points.oracle_sql().keys() <= entry_points.queries().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -20,8 +20,6 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
-        # Settled tables are removed from the shared folder once nothing refers to them.
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -30,30 +28,40 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+# Where a session without spark.checkpoint.dir keeps its folder; unlike that one it can be set later.
+SHARED = "spark.tidemark.shared.dir"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
+    """The folder every executor can reach: spark.tidemark.shared.dir, else spark.checkpoint.dir.
 
     Only a local session may fall back to a temporary folder: on a cluster one would be lost
     with its machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get(SHARED, None) or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     made = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", made)
+    spark.conf.set(SHARED, made)
     return made
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder for one run, below the shared one."""
-    return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    """A new folder for one run, below the shared one. It is removed when the driver ends."""
+    path = f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(jvm_path)
+    return path
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute a small derived table once and read it from the shared folder from then on."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+def settle(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Compute a derived table once and read it from the shared folder from then on.
+
+    It is written to ``path``, which must not be one it is read from, or to a new folder.
+    """
+    spark = df.sparkSession
+    path = path or scratch_dir(spark, "settled")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
