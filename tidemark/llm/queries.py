@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import base64
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, sharding, vafile
+from tidemark.llm import html, packing, quality, sharding, tokencounts, vafile
 from tidemark.llm.common import table
 
 SHARDS = 40
@@ -25,6 +27,37 @@ def op2_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out(doc_id) -> Column:
+    """Documents whose labels a quality model never sees."""
+    return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 3 == 1, F.lit(False))
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    return quality.fit(docs, labels)
+
+
+def op3_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = quality.scored(docs.select("doc_id", "text"), quality_model(spark, docs, sf_dir))
+    return rows.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op4_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
+def op5_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        vocabulary = [base64.b64decode(line.split()[0]) for line in lines if line.strip()]
+    return tokencounts.token_counts(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op7_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = vafile.whole_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return vafile.top_k(rows, F.col("id") % 100 == 0, k=10)
@@ -52,6 +85,9 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_mixture_packing": op2_mixture_packing,
+    "op3_neighbour_quality": op3_neighbour_quality,
+    "op4_site_templates": op4_site_templates,
+    "op5_longest_match_counts": op5_longest_match_counts,
     "op7_vector_approximation": op7_vector_approximation,
     "op10_hilbert_shards": op10_hilbert_shards,
 }
