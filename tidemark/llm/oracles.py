@@ -17,4 +17,35 @@ WITH whole AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLES = {"op7_vector_approximation": OP7}
+OP9 = """
+WITH RECURSIVE worded AS (
+    SELECT doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id,
+           CASE WHEN len(w) = 0 THEN []
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+           END AS s
+    FROM worded
+), spread AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), linked AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM spread a JOIN spread b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN linked l ON l.a = r.b
+), least AS (
+    SELECT a, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least ON doc_id = a
+"""
+
+ORACLES = {"op9_odd_sketches": OP9, "op7_vector_approximation": OP7}

@@ -7,7 +7,7 @@ import base64
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html, packing, quality, sharding, tokencounts, vafile
+from tidemark.llm import decontaminate, html, neardup, packing, quality, sharding, tokencounts, vafile
 from tidemark.llm.common import table
 
 SHARDS = 40
@@ -19,6 +19,10 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_pigeonhole_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken"))
@@ -63,6 +67,10 @@ def op7_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(rows, F.col("id") % 100 == 0, k=10)
 
 
+def op9_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
@@ -84,10 +92,12 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pigeonhole_edits": op1_pigeonhole_edits,
     "op2_mixture_packing": op2_mixture_packing,
     "op3_neighbour_quality": op3_neighbour_quality,
     "op4_site_templates": op4_site_templates,
     "op5_longest_match_counts": op5_longest_match_counts,
     "op7_vector_approximation": op7_vector_approximation,
+    "op9_odd_sketches": op9_odd_sketches,
     "op10_hilbert_shards": op10_hilbert_shards,
 }
