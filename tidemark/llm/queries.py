@@ -7,7 +7,7 @@ import base64
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html, neardup, packing, quality, sharding, tokencounts, vafile
+from tidemark.llm import decontaminate, html, neardup, packing, quality, sharding, suffixdedup, tokencounts, vafile
 from tidemark.llm.common import table
 
 SHARDS = 40
@@ -62,6 +62,11 @@ def op5_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.token_counts(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op6_grouped_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixdedup.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "spans")
+
+
 def op7_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = vafile.whole_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return vafile.top_k(rows, F.col("id") % 100 == 0, k=10)
@@ -97,6 +102,7 @@ QUERIES = {
     "op3_neighbour_quality": op3_neighbour_quality,
     "op4_site_templates": op4_site_templates,
     "op5_longest_match_counts": op5_longest_match_counts,
+    "op6_grouped_suffixes": op6_grouped_suffixes,
     "op7_vector_approximation": op7_vector_approximation,
     "op9_odd_sketches": op9_odd_sketches,
     "op10_hilbert_shards": op10_hilbert_shards,
