@@ -7,7 +7,18 @@ import base64
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html, neardup, packing, quality, sharding, suffixdedup, tokencounts, vafile
+from tidemark.llm import (
+    decontaminate,
+    html,
+    linealign,
+    neardup,
+    packing,
+    quality,
+    sharding,
+    suffixdedup,
+    tokencounts,
+    vafile,
+)
 from tidemark.llm.common import table
 
 SHARDS = 40
@@ -72,6 +83,12 @@ def op7_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(rows, F.col("id") % 100 == 0, k=10)
 
 
+def op8_patience_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = linealign.without_blocks(docs)
+    return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"), "text")
+
+
 def op9_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -96,6 +113,12 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_pigeonhole_edits": op1_pigeonhole_edits,
     "op2_mixture_packing": op2_mixture_packing,
@@ -104,6 +127,8 @@ QUERIES = {
     "op5_longest_match_counts": op5_longest_match_counts,
     "op6_grouped_suffixes": op6_grouped_suffixes,
     "op7_vector_approximation": op7_vector_approximation,
+    "op8_patience_alignment": op8_patience_alignment,
     "op9_odd_sketches": op9_odd_sketches,
     "op10_hilbert_shards": op10_hilbert_shards,
+    "pipeline": pipeline,
 }
