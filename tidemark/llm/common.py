@@ -4,23 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from tidemark.session import settle
 
-# A side of a join is broadcast only up to this many rows of a few numbers each: some tens of MB.
-BROADCAST_ROWS = 1_000_000
+# A side of a join is broadcast only up to this size, as its rows and the elements of its arrays make it.
+BROADCAST_BYTES = 64 << 20
+_VALUE_BYTES = 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_or_not(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A settled table of narrow rows, marked for broadcast if it is counted to be small.
+def small_or_not(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A settled table, marked for broadcast if it is counted to be small, else joined by shuffle.
 
-    A larger one is joined by shuffle.
+    Counted are its values: one for each column of a row, and the fields of each array element.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    values = F.lit(0)
+    for field in df.schema:
+        if isinstance(field.dataType, ArrayType):
+            inner = field.dataType.elementType
+            width = len(inner) if isinstance(inner, StructType) else 1
+            values = values + width * F.coalesce(F.size(field.name), F.lit(0))
+        else:
+            values = values + 1
+    size = df.agg(F.sum(values.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size * _VALUE_BYTES <= most else df
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -14,8 +14,9 @@ their prefix lengthened by the group's and move to a new group behind their old
 done, suffixes are grouped and ordered by their longest Lyndon prefix, and the order inside each
 group follows from emitting them in rising order; nothing is renamed or sorted again.
 
-Anchors with more contents than one task should hold are decided string by string: there Spark
-counts each string by itself, so a passage in a third of all documents costs a partial aggregate.
+Anchors with more contents than one task should hold are decided by counting instead, cells of
+neighbouring strings first and then single strings, so a passage in a third of all documents costs
+partial aggregates.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ LENGTH = 200
 ANCHOR = 100
 # Different contents of one anchor that a suffix array is built over.
 CONTENTS = 48
+# Strings that start within so many bytes of each other are looked at together first.
+CELL = 16
 # Bytes hashed at once; positions inside must fit the low bits of a key.
 CHUNK = 1 << 18
 _PLACE = 20
@@ -153,7 +156,7 @@ def _least(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 class Anchors:
-    """Anchors of a text: hash, and first and last start of the strings that have it."""
+    """Anchors of a text: hash, place, and first and last start of the strings that have it."""
 
     def __init__(self, length: int = LENGTH, anchor: int = ANCHOR):
         self.length, self.anchor = length, anchor
@@ -162,11 +165,11 @@ class Anchors:
             self.powers = np.multiply.accumulate(np.full(size, _BASE, _U)) * _U(_INVERSE)
             self.inverses = np.multiply.accumulate(np.full(size, _INVERSE, _U)) * _U(_BASE)
 
-    def __call__(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def __call__(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         length, anchor = self.length, self.anchor
         strings = len(data) - length + 1
         if strings <= 0:
-            return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, _U), *(np.zeros(0, np.int32) for _ in range(3))
         every = np.frombuffer(data, np.uint8)
         hashes, places, firsts = [], [], []
         for start in range(0, strings, CHUNK):
@@ -185,8 +188,9 @@ class Anchors:
         h, at, lo = np.concatenate(hashes), np.concatenate(places), np.concatenate(firsts)
         # The same anchor on both sides of a chunk's edge.
         new = np.concatenate([[True], at[1:] != at[:-1]])
-        h, lo = h[new], lo[new]
-        return h, lo, np.concatenate([lo[1:] - 1, [strings - 1]])
+        h, at, lo = h[new], at[new], lo[new]
+        hi = np.concatenate([lo[1:] - 1, [strings - 1]])
+        return h, at.astype(np.int32), lo.astype(np.int32), hi.astype(np.int32)
 
 
 def _key() -> list[Column]:
@@ -198,7 +202,7 @@ def _as_bytes(text: str | None) -> bytes:
 
 
 def _occurrences(docs: DataFrame, length: int, anchor: int) -> DataFrame:
-    """``h, content, doc_id, mark, lo, hi``: every anchor with a hash of all its strings' text."""
+    """``h, content, doc_id, mark, place, lo, hi``: every anchor with a hash of all its strings' text."""
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Anchors(length, anchor)
@@ -208,19 +212,20 @@ def _occurrences(docs: DataFrame, length: int, anchor: int) -> DataFrame:
                 found, contents, counts = [], [], []
                 for text in some.column("text").to_pylist():
                     data = _as_bytes(text)
-                    h, lo, hi = find(data)
-                    found.append((h, lo, hi))
+                    h, place, lo, hi = find(data)
+                    found.append((h, place, lo, hi))
                     counts.append(len(h))
                     digest = xxhash.xxh3_64_intdigest
                     contents += [digest(data[a : b + length]) for a, b in zip(lo.tolist(), hi.tolist())]
                 which = pa.array(np.repeat(np.arange(len(counts)), counts))
-                h, lo, hi = (np.concatenate([f[i] for f in found]) for i in range(3))
+                h, place, lo, hi = (np.concatenate([f[i] for f in found]) for i in range(4))
                 yield pa.RecordBatch.from_pydict(
                     {
                         "h": pa.array(h.view(np.int64)),
                         "content": pa.array(np.array(contents, _U).view(np.int64)),
                         "doc_id": some.column("doc_id").take(which),
                         "mark": some.column("mark").take(which),
+                        "place": pa.array(place),
                         "lo": pa.array(lo),
                         "hi": pa.array(hi),
                     }
@@ -228,7 +233,7 @@ def _occurrences(docs: DataFrame, length: int, anchor: int) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.where(F.octet_length("text") >= length).select(*_key(), "text")
-    return rows.mapInArrow(anchors, f"h long, content long, doc_id {kind}, mark int, lo long, hi long")
+    return rows.mapInArrow(anchors, f"h long, content long, doc_id {kind}, mark int, place int, lo int, hi int")
 
 
 def _same_row(a: DataFrame, b: DataFrame) -> Column:
@@ -237,7 +242,8 @@ def _same_row(a: DataFrame, b: DataFrame) -> Column:
 
 def _texts_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``wanted`` with ``bytes``: the text from ``lo`` to the end of the string at ``hi``."""
-    lists = wanted.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("h", "content", "n", "lo", "hi")).alias("items"))
+    names = ["h", "content", "n", "variants", "place", "lo", "hi"]
+    lists = wanted.groupBy("doc_id", "mark").agg(F.collect_list(F.struct(*names)).alias("items"))
     lists = small_or_not(settle(lists))
     rows = docs.select(*_key(), "text")
     joined = rows.join(lists, _same_row(rows, lists)).select(rows["doc_id"], rows["mark"], "text", "items")
@@ -245,28 +251,115 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, mark, text, items in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                data = _as_bytes(text)
-                out = pa.Table.from_pylist(items).to_pydict()
-                n = len(items)
-                arrays = {c: pa.array(out[c], pa.int64()) for c in ("h", "content", "n", "lo", "hi")}
-                arrays["doc_id"] = pa.array([doc_id] * n, batch.schema.field(0).type)
-                arrays["mark"] = pa.array([mark] * n, pa.int32())
-                pieces = [data[i["lo"] : i["hi"] + length] for i in items]
-                arrays["bytes"] = pa.array(pieces, pa.binary())
-                yield pa.RecordBatch.from_pydict(arrays)
-
+            for start in range(0, batch.num_rows, 256):
+                some = batch.slice(start, 256)
+                items = some.column("items")
+                counts = np.diff(items.offsets.to_numpy())
+                which = pa.array(np.repeat(np.arange(some.num_rows), counts))
+                flat = items.flatten()
+                columns = {c: flat.field(c) for c in names}
+                texts = [_as_bytes(t) for t in some.column("text").to_pylist()]
+                places = zip(which.to_pylist(), columns["lo"].to_pylist(), columns["hi"].to_pylist())
+                columns["bytes"] = pa.array([texts[i][a : b + length] for i, a, b in places], pa.binary())
+                keys = {c: some.column(c).take(which) for c in ("doc_id", "mark")}
+                yield pa.RecordBatch.from_pydict(columns | keys)
+
+    fields = "h long, content long, n long, variants long, place int, lo int, hi int, bytes binary"
     # Repeated rows give the same pieces again.
-    found = joined.mapInArrow(
-        cut, f"h long, content long, n long, lo long, hi long, doc_id {kind}, mark int, bytes binary"
-    )
-    return found.dropDuplicates(["h", "content"])
+    return joined.mapInArrow(cut, f"{fields}, doc_id {kind}, mark int").dropDuplicates(["h", "content"])
+
+
+def _could_share(
+    contents: list[bytes], places: list[int], length: int, anchor: int, cell: int = CELL
+) -> list[tuple[int, int]]:
+    """For each content the range that can hold strings it shares, empty if there are none.
+
+    Strings that start in the same cell before the anchor have bytes in common at fixed places
+    around it. Where no other content has the same bytes there, no string of the cell is shared.
+    """
+    bounds = [[len(c), 0] for c in contents]
+    for low in range(0, length - anchor + 1, cell):
+        core = {}
+        for n, (content, place) in enumerate(zip(contents, places)):
+            # Every string that starts low to low + cell - 1 bytes before the anchor.
+            start, stop = place - low, place - low + length - cell + 1
+            if start >= 0 and stop <= len(content):
+                core.setdefault(content[start:stop], []).append(n)
+        for sharing in core.values():
+            if len(sharing) > 1:
+                for n in sharing:
+                    bounds[n][0] = min(bounds[n][0], max(0, places[n] - low - cell + 1))
+                    bounds[n][1] = max(bounds[n][1], min(len(contents[n]), places[n] - low + length))
+    return [(a, max(a, b)) for a, b in bounds]
+
+
+def _array_ranges(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> Iterator[pa.RecordBatch]:
+    """Shared strings of contents that occur once, from batches in the order of the anchors."""
+    held: list[dict] = []
+
+    def decided() -> list[tuple]:
+        contents, places = [r["bytes"] for r in held], [r["place"] - r["lo"] for r in held]
+        ranges = _could_share(contents, places, length, anchor)
+        some = [i for i, (a, b) in enumerate(ranges) if b - a >= length]
+        starts = shared_starts([contents[i][slice(*ranges[i])] for i in some], length) if len(some) > 1 else []
+        out = []
+        for i, found in zip(some, starts):
+            if held[i]["n"] == 1 and found:
+                first = held[i]["lo"] + ranges[i][0]
+                edges = np.flatnonzero(np.diff(found) > 1)
+                runs = zip([found[0], *(found[e + 1] for e in edges)], [*(found[e] for e in edges), found[-1]])
+                out += [(held[i]["doc_id"], held[i]["mark"], first + a, first + b) for a, b in runs]
+        return out
+
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            if held and held[0]["h"] != row["h"]:
+                out += decided()
+                held = []
+            held.append(row)
+        yield _ranges_batch(out, batch.schema.field("doc_id").type)
+        kind = batch.schema.field("doc_id").type
+    if held:
+        yield _ranges_batch(decided(), kind)
+
+
+def _ranges_batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    kinds = (kind, pa.int32(), pa.int64(), pa.int64())
+    arrays = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "mark", "first", "last"])
+
+
+def _cells(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Strings of contents in cells by their distance to the anchor, with a hash of each."""
+    digest = xxhash.xxh3_128_digest
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            some = batch.slice(start, 256)
+            which, firsts, keys, strings = [], [], [], []
+            rows = zip(*(some.column(c).to_pylist() for c in ("bytes", "place", "lo", "hi")))
+            for n, (content, place, lo, hi) in enumerate(rows):
+                at = lo
+                while at <= hi:
+                    # The cell ends where the distance to the anchor is a whole number of cells.
+                    last = min(hi, place - (place - at) // CELL * CELL)
+                    which.append(n)
+                    firsts.append(at)
+                    keys.append(digest(content[at - lo : last - lo + length]))
+                    strings.append([digest(content[i : i + length]) for i in range(at - lo, last - lo + 1)])
+                    at = last + 1
+            taken = pa.array(which, pa.int64())
+            columns = {c: some.column(c).take(taken) for c in ("doc_id", "mark", "n")}
+            columns["first"] = pa.array(firsts, pa.int64())
+            columns["cell"] = pa.array(keys, pa.binary())
+            columns["strings"] = pa.array(strings, pa.list_(pa.binary()))
+            yield pa.RecordBatch.from_pydict(columns)
 
 
 def repeated_ranges(
     docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, contents: int = CONTENTS
 ) -> DataFrame:
-    """``doc_id, mark, first, last``: starts of repeated strings, as ranges that don't overlap.
+    """``doc_id, mark, first, last``: starts of repeated strings, as ranges.
 
     ``mark`` is a hash of the text, as rows may share a doc_id.
     """
@@ -276,7 +369,7 @@ def repeated_ranges(
     # One row for each different content of an anchor, with a place where it stands.
     variants = settle(
         held.groupBy("h", "content").agg(
-            F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "lo", "hi")).alias("at")
+            F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "place", "lo", "hi")).alias("at")
         )
     )
     several = variants.groupBy("h").agg(F.count("*").alias("variants"), F.min("n").alias("least"))
@@ -284,53 +377,32 @@ def repeated_ranges(
     open_anchors = several.where("variants > 1 and least = 1").select("h", "variants")
     wanted = settle(variants.join(open_anchors, "h").select("h", "content", "n", "at.*", "variants"))
     whole = held.join(variants.where("n > 1").select("h", "content"), ["h", "content"]).select(
-        "doc_id", "mark", F.col("lo").alias("first"), F.col("hi").alias("last")
+        "doc_id", "mark", F.col("lo").cast("long").alias("first"), F.col("hi").cast("long").alias("last")
     )
-    texts = settle(_texts_of(docs, wanted, length).join(wanted.select("h", "variants").distinct(), "h"))
+    texts = settle(_texts_of(docs, wanted, length))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, mark int, first long, last long"
-
-    def sort_group(t: pa.Table) -> pa.Table:
-        starts = shared_starts([bytes(b) for b in t.column("bytes").to_pylist()], length)
-        once = [i for i, n in enumerate(t.column("n").to_pylist()) if n == 1 and starts[i]]
-        lo = t.column("lo").to_pylist()
-        rows = [(i, lo[i] + s) for i in once for s in starts[i]]
-        which = pa.array([i for i, _ in rows], pa.int64())
-        at = pa.array([s for _, s in rows], pa.int64())
-        return pa.table({"doc_id": t.column("doc_id").take(which), "mark": t.column("mark").take(which), "first": at, "last": at})
-
-    by_array = texts.where(F.col("variants") <= contents).groupBy("h").applyInArrow(sort_group, schema)
-
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_128_digest
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                some = batch.slice(start, 512)
-                pieces = some.column("bytes").to_pylist()
-                counts = [len(p) - length + 1 for p in pieces]
-                which = np.repeat(np.arange(len(pieces)), counts)
-                at = np.concatenate([np.arange(c) for c in counts]) + some.column("lo").to_numpy()[which]
-                keys = [digest(p[i : i + length]) for p, c in zip(pieces, counts) for i in range(c)]
-                taken = pa.array(which)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "string": pa.array(keys, pa.binary()),
-                        "n": some.column("n").take(taken),
-                        "doc_id": some.column("doc_id").take(taken),
-                        "mark": some.column("mark").take(taken),
-                        "first": pa.array(at),
-                    }
-                )
-
-    crowded = texts.where(F.col("variants") > contents).mapInArrow(
-        strings, f"string binary, n long, doc_id {kind}, mark int, first long"
+    # An anchor here has a bounded number of contents, so its rows fit the task that holds them.
+    few = texts.where(F.col("variants") <= contents).repartition("h").sortWithinPartitions("h")
+    by_array = few.mapInArrow(lambda batches: _array_ranges(batches, length, anchor), schema)
+    cells = settle(
+        texts.where(F.col("variants") > contents).mapInArrow(
+            lambda batches: _cells(batches, length),
+            f"doc_id {kind}, mark int, n long, first long, cell binary, strings array<binary>",
+        )
     )
-    crowded = settle(crowded)
-    often = crowded.groupBy("string").agg(F.sum("n").alias("times")).where("times > 1").select("string")
-    by_count = (
-        crowded.where("n = 1").join(often, "string").select("doc_id", "mark", "first", F.col("first").alias("last"))
+    # Most cells of a passage recur as a whole; the strings of the others are looked at singly.
+    often = cells.groupBy("cell").agg(F.sum("n").alias("times")).where("times > 1").select("cell")
+    once = cells.where("n = 1")
+    by_cell = once.join(often, "cell").select(
+        "doc_id", "mark", "first", (F.col("first") + F.size("strings") - 1).alias("last")
     )
-    return whole.unionByName(by_array).unionByName(by_count)
+    single = once.join(often, "cell", "left_anti").select("doc_id", "mark", "first", F.posexplode("strings").alias("i", "string"))
+    spread = cells.select("n", F.explode("strings").alias("string"))
+    repeated = spread.groupBy("string").agg(F.sum("n").alias("times")).where("times > 1").select("string")
+    at = F.col("first") + F.col("i")
+    by_string = single.join(repeated, "string").select("doc_id", "mark", at.alias("first"), at.alias("last"))
+    return whole.unionByName(by_array).unionByName(by_cell).unionByName(by_string)
 
 
 def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
