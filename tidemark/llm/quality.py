@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 # Labelled documents of each class, at most; those with the smallest hash of their id.
-SAMPLE_PER_CLASS = 1_500
+SAMPLE_PER_CLASS = 1_000
 DIMENSIONS = 64
 NEIGHBOURS = 15
 # Power of the similarity that a neighbour votes with.
@@ -144,7 +144,9 @@ def fit(
     counts = np.stack([np.frombuffer(c, np.float16) for c in got.column("counts").to_pylist()]).astype(np.float32)
     seen = (counts > 0).sum(0)
     weights = (np.log((len(counts) + 1) / (seen + 1)) + 0.05).astype(np.float32)
-    weighted = _unit(counts * weights)
+    counts *= weights
+    weighted = _unit(counts)
+    del counts
     projection = _projection(weighted, DIMENSIONS)
     y = got.column("y").to_numpy().astype(float)
     return Model(weights, projection, _unit(weighted @ projection), y, float(shares))
