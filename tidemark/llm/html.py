@@ -134,6 +134,7 @@ class Page:
                     break
         text(source[at:])
         close(1)
+        self.digests[0] = int.from_bytes(hashers[0].digest(), "big", signed=True)
 
     def _close_open(self, name: str, stack: list[int], close) -> None:
         """A block closes an open paragraph; items and cells close the one before."""

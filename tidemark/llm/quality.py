@@ -90,7 +90,7 @@ class Model:
         nearest = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
         weight = np.clip(np.take_along_axis(cosines, nearest, axis=1), 0, 1).astype(float) ** SHARPNESS
         votes = (weight * self.labels[nearest]).sum(1) + PRIOR_WEIGHT * self.prior
-        return np.clip(votes / (weight.sum(1) + PRIOR_WEIGHT), 0, 1)
+        return np.clip(votes / (weight.sum(1) + PRIOR_WEIGHT), 0, 1).round(6)
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -156,7 +156,7 @@ def scored(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """All columns of ``docs`` and the score of the whole text, 0 to 1.
 
     A null or empty text is like none of the labelled ones and gets the prior. Scores depend on
-    the text alone, so equal texts get equal scores.
+    the text alone; they are rounded to six places, as sums differ in their last digits by block.
     """
     if column in docs.columns:
         raise ValueError(f"there is a column {column!r} already")
