@@ -20,6 +20,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
+        # Settled tables are removed from the shared folder once nothing refers to them.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -56,12 +58,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
-def settle(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Compute a derived table once and read it from the shared folder from then on.
+def settle(df: DataFrame) -> DataFrame:
+    """Compute a small derived table once and read it from the shared folder from then on."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint(eager=True)
 
-    It is written to ``path``, which must not be one it is read from, or to a new folder.
-    """
+
+def written(df: DataFrame) -> DataFrame:
+    """Compute a derived table of any size once, as Parquet below the shared folder."""
     spark = df.sparkSession
-    path = path or scratch_dir(spark, "settled")
-    df.write.mode("overwrite").parquet(path)
+    path = scratch_dir(spark, "written")
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
