@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from tidemark.session import settle
+from tidemark.session import written
 
 # A side of a join is broadcast only up to this size, as its rows and the elements of its arrays make it.
 BROADCAST_BYTES = 64 << 20
@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_or_not(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
-    """A settled table, marked for broadcast if it is counted to be small, else joined by shuffle.
+    """A written table, marked for broadcast if it is counted to be small, else joined by shuffle.
 
     Counted are its values: one for each column of a row, and the fields of each array element.
     """
@@ -41,7 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
     knows, so chains shrink to stars in about log(length) rounds. All rounds are joins and
     aggregates on written tables; nothing but a count of changes reaches the driver.
     """
-    links = settle(
+    links = written(
         edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi != lo").distinct()
     )
     while True:
@@ -54,7 +54,7 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.col("lo").alias("hi"), F.least("m", "hi").alias("lo"))
             .distinct()
         )
-        large = settle(large)
+        large = written(large)
         # Small star: smaller neighbours and the id go to the smallest neighbour.
         smallest = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = (
@@ -64,7 +64,7 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(smallest.select("hi", F.col("m").alias("lo")))
             .distinct()
         )
-        new = settle(small)
+        new = written(small)
         changed = new.exceptAll(links).limit(1).count() + links.exceptAll(new).limit(1).count()
         links = new
         if not changed:

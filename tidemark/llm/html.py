@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_or_not
-from tidemark.session import settle
+from tidemark.session import written
 
 # A template recurs on this share of a host's different pages, and on this many.
 TEMPLATE_SHARE = 0.3
@@ -256,7 +256,7 @@ def site_templates(
 
     rows = pages.select(page_host(F.col("url")).alias("host"), "html").where("host is not null and html is not null")
     # One row per different page: copies fall together before their digests are spread out.
-    different = settle(
+    different = written(
         rows.mapInArrow(digests, "host string, page long, digests array<long>")
         .groupBy("host", "page")
         .agg(F.first("digests").alias("digests"))
@@ -269,7 +269,7 @@ def site_templates(
         .where(F.col("n") >= least)
     )
     return (
-        counts.join(small_or_not(settle(sizes)), "host")
+        counts.join(small_or_not(written(sizes)), "host")
         .where(F.col("n") >= share * F.col("pages"))
         .groupBy("host")
         .agg(F.collect_list("digest").alias("templates"))
@@ -283,7 +283,7 @@ def main_text(pages: DataFrame, share: float = TEMPLATE_SHARE, least: int = TEMP
     line end. Null or empty html gives an empty text. A page without a host has no site, so only
     its own markup counts. Repeated rows give a row each.
     """
-    templates = small_or_not(settle(site_templates(pages, share, least)))
+    templates = small_or_not(written(site_templates(pages, share, least)))
     rows = pages.select("page_id", "url", "html", page_host(F.col("url")).alias("host"))
     joined = rows.join(templates, "host", "left").select("page_id", "url", "html", "templates")
 

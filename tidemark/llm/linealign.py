@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_or_not
-from tidemark.session import settle
+from tidemark.session import written
 
 # Documents with a line, up to which it counts as rare and links every pair of them.
 RARE = 8
@@ -137,9 +137,9 @@ def linked_pairs(lines: DataFrame, least_words: int = LEAST_WORDS, rare: int = R
         .groupBy("lines", "doc_id")
         .agg(F.sum("words").cast("long").alias("words"))
     )
-    spread = settle(spread)
+    spread = written(spread)
     holders = spread.groupBy("lines").agg(F.count("*").alias("holders"), F.min("doc_id").alias("first")).where("holders > 1")
-    held = settle(spread.join(holders, "lines"))
+    held = written(spread.join(holders, "lines"))
     firsts = held.where("doc_id != first").select("lines", F.col("first").alias("earlier"), F.col("doc_id").alias("later"), "words")
     # Groups of at most `rare` ids.
     among = held.where(F.col("holders") <= rare)
@@ -160,8 +160,8 @@ def repeated_blocks(docs: DataFrame, least_words: int = LEAST_WORDS, rare: int =
     ``mark`` is a hash of the text, as rows may share a doc_id.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    lines = settle(_lines(docs).dropDuplicates(["doc_id", "mark"]))
-    pairs = settle(linked_pairs(lines, least_words, rare))
+    lines = written(_lines(docs).dropDuplicates(["doc_id", "mark"]))
+    pairs = written(linked_pairs(lines, least_words, rare))
     # The later side has few pairs to each id; a first holder's many pairs are split by the join.
     later = lines.select(F.col("doc_id").alias("later"), "mark", F.col("lines").alias("b"), "words")
     earlier = lines.select(F.col("doc_id").alias("earlier"), F.col("lines").alias("a"))
@@ -190,7 +190,7 @@ def without_blocks(docs: DataFrame, least_words: int = LEAST_WORDS, rare: int =
     keep their rows as they are. Repeated rows of one doc_id are one document: they lose the same
     lines and never those they share with each other only.
     """
-    blocks = small_or_not(settle(repeated_blocks(docs, least_words, rare)))
+    blocks = small_or_not(written(repeated_blocks(docs, least_words, rare)))
     blocks = blocks.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("blocks").alias("_blocks"))
     joined = docs.join(blocks, (F.col("doc_id") == F.col("_id")) & (F.hash("text") == F.col("_mark")), "left")
     joined = joined.drop("_id", "_mark")

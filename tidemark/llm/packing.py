@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_or_not
-from tidemark.session import settle
+from tidemark.session import written
 
 SEQUENCE = 1024
 # Queues: sources beyond the largest share queues by hash, so a task's table of them is bounded.
@@ -124,7 +124,7 @@ def encoded(docs: DataFrame, tokenizer: str, ranks: str | None = None, queues: i
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return settle(
+    return written(
         rows.mapInArrow(encode, f"doc_id {kind}, source string, before long, n long, ids binary").withColumn(
             "part", F.spark_partition_id()
         )
@@ -189,7 +189,7 @@ def pack(
     little-endian unsigned 16-bit numbers.
     """
     table = encoded(docs, tokenizer, ranks)
-    parts = settle(table.groupBy("source", "part").agg(F.sum("n").alias("n")))
+    parts = written(table.groupBy("source", "part").agg(F.sum("n").alias("n")))
     totals = parts.groupBy("source").agg(F.sum("n").alias("n"))
     largest = totals.orderBy(F.col("n").desc(), "source").limit(queues - 1)
     named = [r["source"] for r in largest.collect()]
@@ -207,7 +207,7 @@ def pack(
     if (weights <= 0).any():
         raise ValueError("target weights must be positive")
     at = {q: i for i, q in enumerate(present)}
-    firsts = small_or_not(settle(starts.select("source", "part", "queue", "first")))
+    firsts = small_or_not(written(starts.select("source", "part", "queue", "first")))
     placed = table.join(firsts, ["source", "part"]).select(
         "doc_id", "source", "queue", (F.col("first") + F.col("before")).alias("first"), "n", "ids"
     )

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from tidemark.session import settle
+from tidemark.session import written
 
 BITS = 6
 LAWS = ("rows", "bytes")
@@ -153,7 +153,7 @@ def hilbert_shards(
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The partition's number is written down: later reads must not depend on how it came about.
-    sorted_parts = settle(placed.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    sorted_parts = written(placed.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
     # One row per partition, so the running sum in one task stays small.
     counts = sorted_parts.groupBy("_part").agg(F.count("*").alias("_n"), F.sum("size").alias("_bytes"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -178,7 +178,7 @@ def hilbert_shards(
     else:
         at = F.coalesce("_own_before", F.lit(0)) + F.col("_bytes_before")
         shard = F.call_function("div", at * shards, F.greatest("_all_bytes", F.lit(1)))
-        ranked = settle(ranked.withColumn("shard", F.least(shard, F.lit(shards - 1)).cast("int")))
+        ranked = written(ranked.withColumn("shard", F.least(shard, F.lit(shards - 1)).cast("int")))
         firsts = ranked.groupBy("shard").agg(F.min("rank").alias("_first"))
         ranked = ranked.join(F.broadcast(firsts), "shard").withColumn("slot", F.col("rank") - F.col("_first"))
     return ranked.select(key, *sizes, "curve", "rank", "shard", "slot")

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_or_not
-from tidemark.session import settle
+from tidemark.session import written
 
 LENGTH = 200
 ANCHOR = 100
@@ -244,7 +244,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``wanted`` with ``bytes``: the text from ``lo`` to the end of the string at ``hi``."""
     names = ["h", "content", "n", "variants", "place", "lo", "hi"]
     lists = wanted.groupBy("doc_id", "mark").agg(F.collect_list(F.struct(*names)).alias("items"))
-    lists = small_or_not(settle(lists))
+    lists = small_or_not(written(lists))
     rows = docs.select(*_key(), "text")
     joined = rows.join(lists, _same_row(rows, lists)).select(rows["doc_id"], rows["mark"], "text", "items")
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -363,11 +363,11 @@ def repeated_ranges(
 
     ``mark`` is a hash of the text, as rows may share a doc_id.
     """
-    everything = settle(_occurrences(docs, length, anchor))
+    everything = written(_occurrences(docs, length, anchor))
     again = everything.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    held = settle(everything.join(again, "h"))
+    held = written(everything.join(again, "h"))
     # One row for each different content of an anchor, with a place where it stands.
-    variants = settle(
+    variants = written(
         held.groupBy("h", "content").agg(
             F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "place", "lo", "hi")).alias("at")
         )
@@ -375,17 +375,17 @@ def repeated_ranges(
     several = variants.groupBy("h").agg(F.count("*").alias("variants"), F.min("n").alias("least"))
     # A content that occurs again needs no look; it is evidence for contents that occur once.
     open_anchors = several.where("variants > 1 and least = 1").select("h", "variants")
-    wanted = settle(variants.join(open_anchors, "h").select("h", "content", "n", "at.*", "variants"))
+    wanted = written(variants.join(open_anchors, "h").select("h", "content", "n", "at.*", "variants"))
     whole = held.join(variants.where("n > 1").select("h", "content"), ["h", "content"]).select(
         "doc_id", "mark", F.col("lo").cast("long").alias("first"), F.col("hi").cast("long").alias("last")
     )
-    texts = settle(_texts_of(docs, wanted, length))
+    texts = written(_texts_of(docs, wanted, length))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, mark int, first long, last long"
     # An anchor here has a bounded number of contents, so its rows fit the task that holds them.
     few = texts.where(F.col("variants") <= contents).repartition("h").sortWithinPartitions("h")
     by_array = few.mapInArrow(lambda batches: _array_ranges(batches, length, anchor), schema)
-    cells = settle(
+    cells = written(
         texts.where(F.col("variants") > contents).mapInArrow(
             lambda batches: _cells(batches, length),
             f"doc_id {kind}, mark int, n long, first long, cell binary, strings array<binary>",
@@ -439,7 +439,7 @@ def without_repeats(
 
     lists = ranges.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     spans = lists.mapInArrow(merge, f"doc_id {kind}, mark int, spans array<struct<start: long, end: long>>")
-    spans = small_or_not(settle(spans))
+    spans = small_or_not(written(spans))
     rows = docs.select(*_key(), "text")
     joined = rows.join(spans, _same_row(rows, spans), "left").select(rows["doc_id"], "text", "spans")
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import settle
+from tidemark.session import written
 
 CELL_BITS = 5
 # Queries in one broadcast: with 1,000 components of 8 bytes, 16 MB.
@@ -60,11 +60,11 @@ def top_k(rows: DataFrame, queries: Column, k: int = 10, cell_bits: int = CELL_B
     2**53, where doubles are exact.
     """
     spark = rows.sparkSession
-    rows = settle(rows.distinct())
+    rows = written(rows.distinct())
     # Equal vectors: the k + 1 smallest ids, one more as a query skips its own.
     same = Window.partitionBy("v").orderBy("id")
     firsts = rows.withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1)
-    entries = settle(firsts.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")))
+    entries = written(firsts.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")))
     width = entries.agg(F.max(F.size("v"))).first()[0] or 0
     if not width:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -87,13 +87,13 @@ def top_k(rows: DataFrame, queries: Column, k: int = 10, cell_bits: int = CELL_B
             )
 
     # An entry is known by its smallest id: ids belong to one vector each, or the row is told apart by it.
-    entries = settle(entries.withColumn("entry", F.xxhash64("v", F.get("ids", F.lit(0)))))
-    va_file = settle(entries.mapInArrow(approximate, "entry long, ids array<long>, cells binary"))
-    asked = settle(rows.where(queries).select("id", "v", F.xxhash64("id", "v").alias("query")))
+    entries = written(entries.withColumn("entry", F.xxhash64("v", F.get("ids", F.lit(0)))))
+    va_file = written(entries.mapInArrow(approximate, "entry long, ids array<long>, cells binary"))
+    asked = written(rows.where(queries).select("id", "v", F.xxhash64("id", "v").alias("query")))
     n_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     block = F.pmod("query", F.lit(n_blocks))
     found = [_block_survivors(va_file, asked.where(block == b), k, width, low, step) for b in range(n_blocks)]
-    survivors = settle(reduce(DataFrame.unionByName, found))
+    survivors = written(reduce(DataFrame.unionByName, found))
     # A query's k-th best lower bound over all tasks; the bounds of k candidates per task are kept.
     best = Window.partitionBy("query").orderBy(F.col("lower").desc(), "entry")
     certain = (
