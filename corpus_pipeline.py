@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import decontaminate, linealign, neardup, packing, quality
 from tidemark.llm.common import small_or_not, table
 from tidemark.llm.queries import quality_model, tokenizer_path
-from tidemark.session import settle
+from tidemark.session import written
 
 ORACLE_SQL = None
 
@@ -36,14 +36,14 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id, once."""
     dropped = neardup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    rows = docs.join(small_or_not(settle(dropped)), "doc_id", "left_anti")
+    rows = docs.join(small_or_not(written(dropped)), "doc_id", "left_anti")
     return rows.select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item within its error budget."""
     hits = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    rows = docs.join(small_or_not(settle(hits)), "doc_id", "left_anti")
+    rows = docs.join(small_or_not(written(hits)), "doc_id", "left_anti")
     return rows.select(*docs.columns)
 
 
@@ -65,5 +65,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir))
+        docs = written(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
