@@ -168,7 +168,7 @@ def join_text():
 def test_reduce_function_keeps_arrival_order(spark, target_rows):
     rows = [(k, str(v)) for k, v in skewed(400)]
     df = from_rows(spark, rows, "key STRING, v STRING").repartition(5)
-    got = {r["key"]: r["v"] for r in reduce_groups(df, ["key"], ["seq"], ["v"], join_text(), target_rows).collect()}
+    got = {r["key"]: r["v"] for r in reduce_groups(df, ["key"], ["seq"], ["v"], join_text(), target_rows, associative=True).collect()}
     expected = {}
     for key, v in rows:
         expected[key] = expected[key] + "," + v if key in expected else v
@@ -179,7 +179,7 @@ def test_reduce_function_keeps_arrival_order(spark, target_rows):
 def test_running_reduce_function(spark, target_rows):
     rows = [(k, str(v)) for k, v in skewed(400)]
     df = from_rows(spark, rows, "key STRING, v STRING").repartition(5)
-    out = running_groups(df, ["key"], ["seq"], ["v"], join_text(), target_rows=target_rows).orderBy("seq")
+    out = running_groups(df, ["key"], ["seq"], ["v"], join_text(), target_rows=target_rows, associative=True).orderBy("seq")
     assert [r["v"] for r in out.collect()] == brute.running(rows, lambda a, b: a + "," + b)
 
 
@@ -188,7 +188,7 @@ def test_single_row_group_never_calls_the_function(spark):
         raise AssertionError("called")
 
     df = from_rows(spark, [("a", None), ("b", 2)], PAIRS)
-    got = {r["key"]: r["value"] for r in reduce_groups(df, ["key"], ["seq"], ["value"], fail).collect()}
+    got = {r["key"]: r["value"] for r in reduce_groups(df, ["key"], ["seq"], ["value"], fail, associative=True).collect()}
     assert got == {"a": None, "b": 2}
 
 
@@ -208,9 +208,9 @@ def test_groups_that_span_batches_and_odd_keys(spark):
     df = from_rows(spark, rows, "key DOUBLE, v STRING")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        got = sorted(r["v"] for r in reduce_groups(df, ["key"], ["seq"], ["v"], join_text()).collect())
+        got = sorted(r["v"] for r in reduce_groups(df, ["key"], ["seq"], ["v"], join_text(), associative=True).collect())
         assert got == [",".join(map(str, range(40)))] * 4
-        out = running_groups(df, ["key"], ["seq"], ["v"], join_text()).orderBy("seq").collect()
+        out = running_groups(df, ["key"], ["seq"], ["v"], join_text(), associative=True).orderBy("seq").collect()
         assert [r["v"] for r in out] == [",".join(map(str, range(i + 1))) for i in range(40) for _ in range(4)]
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
@@ -218,7 +218,7 @@ def test_groups_that_span_batches_and_odd_keys(spark):
 
 def test_aggregate_with_an_accumulator_of_its_own(spark):
     df = from_rows(spark, skewed(), PAIRS).withColumns({"total": F.col("value").cast("long"), "n": F.lit(1)})
-    held = reduce_groups(df, ["key"], ["seq"], ["total", "n"], lambda a, b: (a[0] + b[0], a[1] + b[1]), 50)
+    held = reduce_groups(df, ["key"], ["seq"], ["total", "n"], lambda a, b: (a[0] + b[0], a[1] + b[1]), 50, associative=True)
     got = {r["key"]: (r["total"], r["n"]) for r in held.collect()}
     expected = keyed.keyed_aggregate(df, ["key"], "value").collect()
     assert got == {r["key"]: (r["total"], r["n"]) for r in expected}
@@ -228,11 +228,69 @@ def test_empty_input(spark):
     df = from_rows(spark, [], PAIRS)
     for keys in ([], ["key"]):
         assert running(df, keys, ["seq"], {"s": Measure("sum", F.col("value"))}).count() == 0
-    assert reduce_groups(df, ["key"], ["seq"], ["value"], lambda a, b: a).count() == 0
+    assert reduce_groups(df, ["key"], ["seq"], ["value"], lambda a, b: a, associative=True).count() == 0
     assert keyed.count_windows(df, ["key"], ["seq"], "value", 3).count() == 0
 
 
-def test_order_must_be_numeric_to_be_cut(spark):
-    df = from_rows(spark, skewed(50), PAIRS)
-    with pytest.raises(TypeError, match="must be a number"):
-        running(df, [], ["key"], {"s": Measure("sum", F.col("value"))})
+ORDERS = {
+    "text": lambda: F.format_string("event-%05d", F.col("seq") * 7),
+    "any_text": lambda: F.concat(F.conv(F.col("seq"), 10, 36), F.lit("x")),
+    "date": lambda: F.date_add(F.lit("1969-06-01").cast("date"), F.col("seq").cast("int")),
+    "ntz": lambda: (F.lit("2024-03-10 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("seq").cast("int"))),
+    "decimal": lambda: F.col("seq").cast("decimal(30,10)"),
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", ORDERS)
+def test_any_order_gives_the_same_at_any_size(spark, kind, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = from_rows(spark, skewed(300), PAIRS).withColumn("at", ORDERS[kind]())
+        for keys in (["key"], []):
+            for order in (["at"], ["at", "seq"], ["seq", "at"]):
+                sums = {"s": Measure("sum", F.col("value"))}
+                whole, cut = (
+                    sorted(map(tuple, running(df, keys, order, sums, target_rows=n).select("seq", "s").collect()))
+                    for n in (1_000_000, 10)
+                )
+                assert whole == cut
+                rows = sorted(df.collect(), key=lambda r: [r[c] for c in order])
+                so_far, expected = {}, []
+                for r in rows:
+                    key = r["key"] if keys else None
+                    so_far[key] = so_far.get(key, 0) + r["value"]
+                    expected.append((r["seq"], so_far[key]))
+                assert whole == sorted(expected)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("kind", ["text", "date", "ntz"])
+def test_hot_keys_are_cut_by_any_order(spark, kind):
+    df = from_rows(spark, [("k", i) for i in range(300)], PAIRS).withColumn("at", ORDERS[kind]())
+    sizes = split_hot_keys(df, ["key"], ["at"], 20).rows.groupBy(STRETCH).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 40
+
+
+@pytest.mark.parametrize("target_rows", [1_000_000, 10])
+def test_what_cannot_be_cut_is_refused_at_any_size(spark, target_rows):
+    df = from_rows(spark, skewed(50), PAIRS).withColumn("at", F.col("seq") % 2 == 0)
+    for keys in ([], ["key"]):
+        with pytest.raises(TypeError, match="must be a number"):
+            running(df, keys, ["at"], {"s": Measure("sum", F.col("value"))}, target_rows=target_rows)
+        with pytest.raises(TypeError, match="whole numbers or decimals"):
+            running(df, keys, ["seq"], {"s": Measure("sum", F.col("value") / 2)}, target_rows=target_rows)
+
+
+@pytest.mark.parametrize("target_rows", [1_000_000, 10])
+def test_a_function_that_is_not_associative_keeps_arrival_order(spark, target_rows):
+    df = from_rows(spark, [("k", i) for i in range(40)], PAIRS).repartition(3)
+    minus = lambda a, b: (a[0] - b[0],)
+    held = reduce_groups(df, ["key"], ["seq"], ["value"], minus, target_rows, associative=False)
+    assert [r["value"] for r in held.collect()] == [-780]
+    out = running_groups(df, ["key"], ["seq"], ["value"], minus, target_rows=target_rows, associative=False)
+    assert [r["value"] for r in out.orderBy("seq").collect()] == [-i * (i + 1) // 2 for i in range(40)]
+    with pytest.raises(TypeError):
+        reduce_groups(df, ["key"], ["seq"], ["value"], minus, target_rows)

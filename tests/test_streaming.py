@@ -50,7 +50,7 @@ def sum_and_first(spark):
 
 @pytest.fixture
 def sum_and_first_fold():
-    return Fold(("value", "ts_ms"), lambda a, b: (a[0] + b[0], a[1]))
+    return Fold(("value", "ts_ms"), lambda a, b: (a[0] + b[0], a[1]), True)
 
 
 def window_job(spark, reduce, delay=DELAY):
@@ -167,7 +167,7 @@ def test_running_reduce_function_on_a_stream(spark, to_files, tmp_path, target_r
     rows = [(rng.choice(keys), str(rng.randrange(99))) for _ in range(120)]
     df = from_rows(spark, rows, "key STRING, v STRING")
     stream = stream_files(spark, to_files(df, "seq", 4), "seq BIGINT, key STRING, v STRING", 2)
-    fold = Fold(("v",), lambda a, b: (a[0] + "," + b[0],))
+    fold = Fold(("v",), lambda a, b: (a[0] + "," + b[0],), True)
     out = running_stream(stream, ["key"], ["seq"], fold, "running", str(tmp_path / "run"), target_rows, 120)
     assert [r["v"] for r in out.orderBy("seq").collect()] == brute.running(rows, lambda a, b: a + "," + b)
 

@@ -85,7 +85,8 @@ def test_reduce_function_per_window(spark, target_rows):
     df = timed(spark, rows)
     built_in = windows.tumbling_reduce(df, ["key"], "ts_ms", ["seq"], SIZE, "value")
     folded = windows.tumbling_fold(
-        df, ["key"], "ts_ms", ["seq"], SIZE, ["value", "ts_ms"], lambda a, b: (a[0] + b[0], a[1]), target_rows
+        df, ["key"], "ts_ms", ["seq"], SIZE, ["value", "ts_ms"], lambda a, b: (a[0] + b[0], a[1]), target_rows,
+        associative=True,
     )
     columns = ["key", "window_start", "value", "ts_ms"]
     assert sorted(map(tuple, folded.select(columns).collect())) == sorted(

@@ -1,9 +1,11 @@
 """Reduces given as a Python function.
 
 Used where sum, count, min, max and first cannot express the combination. The function takes two
-tuples of values, the earlier one first, and returns one. It must be associative, as for any
-reduce: rows of a hot key are combined in pieces, the pieces in arrival order. An aggregate with
-its own accumulator is the same after a ``select`` that turns each row into an accumulator.
+tuples of values, the earlier one first, and returns one. The caller says whether it is
+associative. If so, rows of a hot key are combined in pieces, the pieces in arrival order. If not,
+no key is ever cut, so each must fit one task (without keys: all rows), and results are those of
+arrival order at any size. An aggregate with its own accumulator is the same after a ``select``
+that turns each row into an accumulator.
 
 Spark shuffles and sorts the rows; a task walks its sorted rows once and holds one value.
 """
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.measures import carried_by_size
-from tidemark.operators.stretches import IS_ROW, STRETCH, TARGET_ROWS, split_hot_keys
+from tidemark.operators.stretches import IS_ROW, STRETCH, TARGET_ROWS, Split, check_order, split_hot_keys, uncut
 
 Combine = Callable[[tuple, tuple], tuple]
 
@@ -100,6 +102,13 @@ def _place(order: Sequence[str]) -> list[Column]:
     return [F.col(c).alias(f"_by_{c}") for c in order]
 
 
+def _split(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], associative: bool, target_rows: int
+) -> Split:
+    check_order(df, order)
+    return split_hot_keys(df, keys, order, target_rows) if associative else uncut(df)
+
+
 def reduce_groups(
     df: DataFrame,
     keys: Sequence[str],
@@ -107,9 +116,11 @@ def reduce_groups(
     values: Sequence[str],
     fn: Combine,
     target_rows: int = TARGET_ROWS,
+    *,
+    associative: bool,
 ) -> DataFrame:
     """One row per key with its values combined in arrival order. A single row passes as it is."""
-    split = split_hot_keys(df.select(*dict.fromkeys([*keys, *order, *values])), keys, order, target_rows)
+    split = _split(df.select(*dict.fromkeys([*keys, *order, *values])), keys, order, associative, target_rows)
     groups = [*keys, STRETCH]
     by = [f"_by_{c}" for c in order]
     rows = split.rows.select(*groups, *_place(order), *values)
@@ -127,12 +138,14 @@ def running_groups(
     fn: Combine,
     carried: DataFrame | None = None,
     target_rows: int = TARGET_ROWS,
+    *,
+    associative: bool,
 ) -> DataFrame:
     """One row per input row, its values replaced by those of its key combined so far.
 
     ``carried`` has, per key, the combined values of everything before this data.
     """
-    split = split_hot_keys(df.select(*dict.fromkeys([*keys, *order, *values])), keys, order, target_rows)
+    split = _split(df.select(*dict.fromkeys([*keys, *order, *values])), keys, order, associative, target_rows)
     groups = [*keys, STRETCH]
     by = [f"_by_{c}" for c in order]
     rows = split.rows.select(*groups, *_place(order), *values, F.lit(1).alias(IS_ROW))
@@ -155,10 +168,18 @@ def running_groups(
 
 @dataclass(frozen=True)
 class Fold:
-    """A function over named values, with the same methods as ``Measures``."""
+    """An associative function over named values, with the same methods as ``Measures``.
+
+    Only for functions that are: parts of a group are merged, as those of earlier batches.
+    """
 
     values: tuple[str, ...]
     fn: Combine
+    associative: bool
+
+    def __post_init__(self):
+        if not self.associative:
+            raise ValueError("parts of a group can only be merged by an associative function")
 
     @property
     def part_names(self) -> list[str]:
@@ -167,7 +188,7 @@ class Fold:
     def parts(
         self, rows: DataFrame, groups: Sequence[str], order: Sequence[str], target_rows: int = TARGET_ROWS
     ) -> DataFrame:
-        return reduce_groups(rows, groups, order, self.values, self.fn, target_rows)
+        return reduce_groups(rows, groups, order, self.values, self.fn, target_rows, associative=True)
 
     def merge(
         self, earlier: DataFrame | None, later: DataFrame, groups: Sequence[str], target_rows: int = TARGET_ROWS
@@ -189,7 +210,7 @@ class Fold:
         carried: DataFrame | None = None,
         target_rows: int = TARGET_ROWS,
     ) -> DataFrame:
-        return running_groups(rows, keys, order, self.values, self.fn, carried, target_rows)
+        return running_groups(rows, keys, order, self.values, self.fn, carried, target_rows, associative=True)
 
     def running_schema(self, rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> StructType:
         return rows.select(*dict.fromkeys([*keys, *order, *self.values])).schema

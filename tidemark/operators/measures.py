@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from tidemark.functions.columns import order_key
 from tidemark.operators.stretches import IS_ROW, STRETCH, TARGET_ROWS, Split, mark_hot, split_hot_keys
@@ -106,6 +106,7 @@ class Measures:
         target_rows: int = TARGET_ROWS,
     ) -> DataFrame:
         """One row per input row with the measures so far; ``carried`` has the parts from before."""
+        check_exact(rows, self.named)
         return running_over(split_hot_keys(rows, keys, order, target_rows), keys, order, self, carried=carried)
 
     def running_schema(self, rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> StructType:
@@ -176,6 +177,15 @@ def carried_by_size(
     return marked.where(F.col("_hot").isNull()).drop("_hot"), marked.where("_hot").drop("_hot")
 
 
+def check_exact(rows: DataFrame, named: Mapping[str, Measure]) -> None:
+    """Refuse running sums of floating numbers: they would depend on where a key is cut."""
+    for name, measure in named.items():
+        if measure.kind == "sum":
+            kind = rows.select(F.sum(measure.column).alias("s")).schema["s"].dataType
+            if isinstance(kind, (FloatType, DoubleType)):
+                raise TypeError(f"running sum {name!r} needs whole numbers or decimals, not {kind.simpleString()}")
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -185,5 +195,6 @@ def running(
     target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """One output row per input row, with the measures of its key so far. ``order`` must be unique."""
+    check_exact(df, measures)
     split = split_hot_keys(df, keys, order, target_rows)
     return running_over(split, keys, order, Measures(measures), before)

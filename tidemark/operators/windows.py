@@ -66,7 +66,9 @@ def tumbling_fold(
     values: Sequence[str],
     fn: Combine,
     target_rows: int = TARGET_ROWS,
+    *,
+    associative: bool,
 ) -> DataFrame:
     """A reduce per key and window given as a Python function."""
     placed = df.withColumn("window_start", window_start(ts, size))
-    return reduce_groups(placed, [*keys, "window_start"], order, values, fn, target_rows)
+    return reduce_groups(placed, [*keys, "window_start"], order, values, fn, target_rows, associative=associative)

@@ -166,7 +166,7 @@ def tumble_udaf_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
         return (first[0] + second[0], first[1])
 
     rows = _arrivals(spark, sf_dir)
-    return windows.tumbling_fold(rows, ["event_type"], "t", ORDER, HOUR, ["cents", "t"], add_cents)
+    return windows.tumbling_fold(rows, ["event_type"], "t", ORDER, HOUR, ["cents", "t"], add_cents, associative=True)
 
 
 def tumble_count_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
