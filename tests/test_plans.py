@@ -5,9 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import keyed, watermark
+from tidemark.operators import keyed, late, watermark, windows
 from tidemark.operators.late import late_rows, late_split, on_time_windows
 from tidemark.plans.queries import HOUR, LATE_BOUND, ORDER, QUERIES
+from tidemark.session import settle
 from tidemark.sources.tables import arrivals, read_table
 
 DATA = "/root/testdata/sf0.01"
@@ -17,8 +18,8 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def row_exchanges(plan: str) -> list[str]:
-    """Exchanges that scanned rows reach without an aggregate on the way."""
+def scan_paths(plan: str) -> list[list[str]]:
+    """For every scan the nodes its rows go through, nearest first."""
     path, found = [], []
     for line in plan.splitlines():
         node = re.search(r"[A-Za-z].*", re.sub(r"\*\(\d+\) ", "", line))
@@ -27,12 +28,32 @@ def row_exchanges(plan: str) -> list[str]:
         depth = line.index(node.group()[:12])
         path = [(d, n) for d, n in path if d < depth] + [(depth, node.group())]
         if node.group().startswith("FileScan"):
-            for _, above in reversed(path):
-                if "Aggregate(" in above:
-                    break
-                if above.startswith("Exchange"):
-                    found.append(above)
-                    break
+            found.append([above for _, above in reversed(path)])
+    return found
+
+
+def row_exchanges(plan: str) -> list[str]:
+    """Exchanges that scanned rows reach without an aggregate on the way."""
+    found = []
+    for path in scan_paths(plan):
+        for above in path:
+            if "Aggregate(" in above:
+                break
+            if above.startswith("Exchange"):
+                found.append(above)
+                break
+    return found
+
+
+def sorted_rows(plan: str) -> list[str]:
+    """Sorts between a scan and the first exchange above it."""
+    found = []
+    for path in scan_paths(plan):
+        for above in path:
+            if above.startswith("Exchange"):
+                break
+            if above.startswith("Sort"):
+                found.append(above)
     return found
 
 
@@ -83,6 +104,40 @@ def test_late_rows_are_found_without_shuffling_rows(rows):
         assert "BroadcastHashJoin" in plan and row_exchanges(plan) == []
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "tumble_event_reduce", "window_emission", "late_side_output", "late_main_output", "late_report",
+        "late_correction",
+    ],
+)
+def test_rows_are_not_sorted_to_find_what_came_first(spark, name, monkeypatch):
+    """Neither in the plan of the query nor in those of the tables it settles on the way."""
+    plans = []
+    for module in (late, windows):
+        monkeypatch.setattr(module, "settle", lambda df: plans.append(plan_of(df)) or settle(df))
+    plans.append(plan_of(QUERIES[name](spark, DATA)))
+    assert len(plans) >= 3
+    assert any(scan_paths(p) for p in plans) and not [found for p in plans for found in sorted_rows(p)]
+
+
+@pytest.mark.parametrize("broadcast_windows", [500_000, 0])
+def test_ties_in_the_first_order_column(spark, broadcast_windows):
+    """Rows that arrive at the same moment around the one that closes a window."""
+    rows = [(t, at, i) for i, (t, at) in enumerate([(5, 1), (21, 2), (4, 2), (22, 2), (9, 2), (3, 3), (31, 3), (15, 3)])]
+    df = spark.createDataFrame([*rows, (None, 2, 99)], "t BIGINT, at BIGINT, seq BIGINT")
+    split = late.late_split(df, "t", ["at", "seq"], 10, 5, broadcast_windows=broadcast_windows)
+    got = sorted(r["seq"] for r in split.where("is_late").collect())
+    expected = [i for t, at, i in rows if any(u - 5 >= t - t % 10 + 10 and (b, j) < (at, i) for u, b, j in rows)]
+    assert got == expected and expected
+    firsts = windows.tumbling_reduce(df.where("t is not null").withColumn("v", F.lit(1)), [], "t", ["at", "seq"], 10, "v", broadcast_windows)
+    want = {}
+    for t, at, i in sorted(rows, key=lambda r: r[1:]):
+        held = want.setdefault(t - t % 10, [0, t])
+        held[0] += 1
+    assert {r["window_start"]: [r["v"], r["t"]] for r in firsts.collect()} == want
+
+
 def test_many_windows_are_not_broadcast(rows, no_small_tables):
     split = late_split(rows, "t", ORDER, HOUR, LATE_BOUND, broadcast_windows=0, target_rows=1000)
     exchanges = row_exchanges(plan_of(late_rows(split)))

@@ -3,7 +3,8 @@
 A row is late if its window was closed before it arrived, that is, if an earlier row had an event
 time of at least the window's end plus the bound on disorder. So per window only one fact is
 needed: the first arrival that closes it. That is an aggregate over the data and a running minimum
-over the windows. No row has to be sorted or shuffled; each looks up its window's closing.
+over the windows. No row has to be sorted or shuffled; each looks up its window's closing. With two
+order columns the first is aggregated over all rows, the second over those the first leaves tied.
 """
 
 from __future__ import annotations
@@ -39,23 +40,65 @@ class WindowFacts:
     bound: int
 
 
-def window_facts(df: DataFrame, ts: str, order: Sequence[str], size: int, delay: int) -> WindowFacts:
-    """One pass over the rows, then a running minimum over the windows.
+def _pairs(placed: DataFrame, order: Sequence[str], broadcast_windows: int) -> tuple[DataFrame, int]:
+    """First row, last row and count per window and the window its rows close, and how many there are.
 
-    The pass leaves two rows per window at most: the rows of one window can close up to two
-    different ones.
+    A minimum of several columns at once would sort the rows. So the first order column is
+    aggregated by itself, and the others only where it equals an extreme of its pair. Pairs too
+    many to broadcast are found in one pass after all, sorted in the tasks that read the rows.
     """
-    pairs = settle(
-        df.groupBy(
-            window_end(ts, size).alias("window_end"),
-            window_start(F.col(ts) - F.lit(delay).cast("long"), size).alias("_closes"),
-        ).agg(
-            F.min(order_key(order)).alias("first_row"),
-            F.max(order_key(order)).alias("last_row"),
-            F.count("*").alias("rows"),
+    groups = ["window_end", "_closes"]
+    ends = [F.min(order_key(order)).alias("first_row"), F.max(order_key(order)).alias("last_row")]
+    if len(order) == 1:
+        pairs = settle(placed.groupBy(*groups).agg(*ends, F.count("*").alias("rows")))
+        return pairs, pairs.count()
+    counted = settle(
+        placed.groupBy(*groups).agg(
+            F.min(order[0]).alias("_low"), F.max(order[0]).alias("_high"), F.count("*").alias("rows")
         )
     )
-    bound = pairs.count()
+    bound = counted.count()
+    if bound > broadcast_windows:
+        return settle(placed.groupBy(*groups).agg(*ends, F.count("*").alias("rows"))), bound
+    at, rest = F.col(order[0]), order_key(order[1:])
+    tied = placed.join(F.broadcast(counted), groups).where((at == F.col("_low")) | (at == F.col("_high")))
+    found = tied.groupBy(*groups).agg(
+        F.first("_low").alias("_low"),
+        F.first("_high").alias("_high"),
+        F.first("rows").alias("rows"),
+        F.min(F.when(at == F.col("_low"), rest)).alias("_first"),
+        F.max(F.when(at == F.col("_high"), rest)).alias("_last"),
+    )
+
+    def key(first: str, rest: str) -> Column:
+        others = [F.col(rest)] if len(order) == 2 else [F.col(f"{rest}.{c}") for c in order[1:]]
+        return F.struct(F.col(first).alias(order[0]), *[o.alias(c) for o, c in zip(others, order[1:])])
+
+    pairs = found.select(
+        *groups, key("_low", "_first").alias("first_row"), key("_high", "_last").alias("last_row"), "rows"
+    )
+    return settle(pairs), bound
+
+
+def window_facts(
+    df: DataFrame,
+    ts: str,
+    order: Sequence[str],
+    size: int,
+    delay: int,
+    broadcast_windows: int = BROADCAST_WINDOWS,
+) -> WindowFacts:
+    """One or two passes over the rows, then a running minimum over the windows.
+
+    A pass leaves two rows per window at most: the rows of one window can close up to two
+    different ones. Rows without event time are in no window and close none.
+    """
+    placed = df.where(F.col(ts).isNotNull()).select(
+        window_end(ts, size).alias("window_end"),
+        window_start(F.col(ts) - F.lit(delay).cast("long"), size).alias("_closes"),
+        *order,
+    )
+    pairs, bound = _pairs(placed, order, broadcast_windows)
     # Each pair tells about two windows: the one its rows are in and the one they close.
     none = F.lit(None).cast(pairs.schema["first_row"].dataType)
     own = pairs.select("window_end", *FACTS, none.alias("closer"))
@@ -106,9 +149,11 @@ def late_split(
 ) -> DataFrame:
     """Add the row's window and ``is_late``.
 
-    ``seen`` is the largest event time of earlier input, if this data continues a stream.
+    ``seen`` is the largest event time of earlier input, if this data continues a stream. A row
+    without event time has no window and is not late; the main result has it under window null.
+    The facts are found while the plan is built, so ``df`` must give the same rows each time.
     """
-    facts = window_facts(df, ts, order, size, delay)
+    facts = window_facts(df, ts, order, size, delay, broadcast_windows)
     placed = df.withColumns({"window_start": window_start(ts, size), "window_end": window_end(ts, size)})
     # Only windows with a row after their closing can have late rows; the others need no lookup.
     closings = facts.table.where(F.col("last_row") > F.col("closed_by")).select("window_end", "closed_by", "rows")

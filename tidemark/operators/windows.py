@@ -14,7 +14,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import order_key, window_end, window_start
 from tidemark.operators.folds import Combine, reduce_groups
 from tidemark.operators.keyed import floor_div
-from tidemark.operators.stretches import TARGET_ROWS
+from tidemark.operators.stretches import TARGET_ROWS, same_keys
+from tidemark.session import settle
+
+# Groups whose first arrivals are broadcast.
+BROADCAST_GROUPS = 200_000
 
 
 def tumble(df: DataFrame, ts: str, size: str, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:
@@ -49,12 +53,31 @@ def tumbling_mean(df: DataFrame, keys: Sequence[str], ts: str, size: int, value:
 
 
 def tumbling_reduce(
-    df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], size: int, value: str
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    order: Sequence[str],
+    size: int,
+    value: str,
+    broadcast_groups: int = BROADCAST_GROUPS,
 ) -> DataFrame:
-    """Sum per key and window, with the time of the row that arrived first."""
-    return df.groupBy(*keys, window_start(ts, size).alias("window_start")).agg(
-        F.sum(value).alias(value), F.min_by(ts, order_key(order)).alias(ts)
-    )
+    """Sum per key and window, with the time of the row that arrived first.
+
+    With several order columns the first is aggregated by itself and the others only where it is
+    smallest, as a minimum of several at once would sort all rows. More groups than can be
+    broadcast take that way after all, sorted in the tasks that read the rows.
+    """
+    placed = df.withColumn("window_start", window_start(ts, size))
+    groups = [*keys, "window_start"]
+    plain = placed.groupBy(*groups).agg(F.sum(value).alias(value), F.min_by(ts, order_key(order)).alias(ts))
+    if len(order) == 1:
+        return plain
+    sums = settle(placed.groupBy(*groups).agg(F.sum(value).alias("_sum"), F.min(order[0]).alias("_low")))
+    if sums.count() > broadcast_groups:
+        return plain
+    small = F.broadcast(sums.select(*[F.col(c).alias(f"_of_{c}") for c in groups], "_sum", "_low"))
+    tied = placed.join(small, same_keys(groups, "_of_")).where(F.col(order[0]) == F.col("_low"))
+    return tied.groupBy(*groups).agg(F.first("_sum").alias(value), F.min_by(ts, order_key(order[1:])).alias(ts))
 
 
 def tumbling_fold(
