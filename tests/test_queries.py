@@ -2,6 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tidemark.plans import queries
 from tidemark.plans.oracles import ORACLES
 from tidemark.plans.queries import QUERIES
 
@@ -37,6 +38,14 @@ def test_query_gives_what_the_sql_gives(spark, duck, name):
     assert rows == sorted(expected.select(*columns).fetchall(), key=key)
 
 
+def test_streams_take_their_rows_in_several_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, label: f"{tmp_path}/{label}")
+    for name in ("src_stream", "keyed_sum_update_stream", "keyed_sum_rolling_stream", "late_two_sinks"):
+        QUERIES[name](spark, f"{DATA}/sf0.001")
+        commits = [c for c in (tmp_path / name).rglob("commits/*") if c.name.isdigit()]
+        assert len(commits) >= 3, name
+
+
 def test_entry(spark):
     out = entry_points.entry(spark)
     assert out.columns == ["event_type", "window_start", "n", "cents"]

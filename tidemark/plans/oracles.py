@@ -123,9 +123,9 @@ SELECT event_type, window_start, count(*) AS n, CAST(sum(cents) AS BIGINT) AS ce
 FROM split WHERE NOT is_late GROUP BY 1, 2""",
     "late_two_sinks": f"""
 WITH {_TRACED}
-SELECT CASE WHEN is_late THEN 'late' ELSE 'main' END AS sink, event_type, count(*) AS n,
+SELECT CASE WHEN is_late THEN 'late' ELSE 'main' END AS sink, event_type, window_start, count(*) AS n,
        CAST(sum(cents) AS BIGINT) AS cents
-FROM split GROUP BY 1, 2""",
+FROM split GROUP BY 1, 2, 3""",
     "late_report": f"""
 WITH {_TRACED}
 SELECT event_type, count(*) AS n_late, CAST(sum(cents) AS BIGINT) AS late_cents
@@ -142,3 +142,11 @@ SELECT event_type, window_start, main.main, late.late,
        coalesce(main.main, 0) + coalesce(late.late, 0) AS corrected
 FROM main FULL OUTER JOIN late USING (event_type, window_start)""",
 }
+
+# Limits decide how the work is spread, not what comes out.
+ORACLES |= {
+    "keyed_sum_rolling_cut": ORACLES["keyed_sum_rolling"],
+    "tumble_udaf_reduce_cut": ORACLES["tumble_udaf_reduce"],
+    "count_window_sum_cut": ORACLES["count_window_sum"],
+    "late_main_output_salted": ORACLES["late_main_output"],
+}

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import cents, is_even, square
+from tidemark.functions.columns import cents, is_even, square, window_start
 from tidemark.operators import keyed, transforms, watermark, windows
 from tidemark.operators.late import (
     late_correction,
@@ -22,7 +22,7 @@ from tidemark.operators.late import (
 )
 from tidemark.operators.measures import Measure, Measures
 from tidemark.session import scratch_dir
-from tidemark.sources.tables import arrivals, read_table, stream_table
+from tidemark.sources.tables import append_in_turns, arrivals, read_table, stream_files
 from tidemark.streaming.keyed import running_stream, update_totals
 from tidemark.streaming.late import LateWindows
 from tidemark.streaming.runner import run_to_files
@@ -52,6 +52,14 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrivals(_events(spark, sf_dir))
 
 
+def _in_turns(rows: DataFrame, by: str, root: str, run: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run a stream over rows that come in several turns, started again on its checkpoint for each."""
+    out = None
+    for _ in append_in_turns(rows, f"{root}/in", by):
+        out = run(stream_files(rows.sparkSession, f"{root}/in", rows.schema))
+    return out
+
+
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late_split(_arrivals(spark, sf_dir), "t", ORDER, HOUR, LATE_BOUND)
 
@@ -64,8 +72,9 @@ def src_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _money(stream_table(spark, sf_dir, "events"))
-    return run_to_files(rows, "events_out", scratch_dir(spark, "src_stream"))
+    root = scratch_dir(spark, "src_stream")
+    rows = _money(_events(spark, sf_dir))
+    return _in_turns(rows, "event_id", root, lambda stream: run_to_files(stream, "events_out", root))
 
 
 # Element-wise
@@ -114,9 +123,10 @@ def keyed_sum_final(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_sum_update_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _money(stream_table(spark, sf_dir, "events"))
+    rows = _money(_events(spark, sf_dir))
     root = scratch_dir(spark, "keyed_sum_update_stream")
-    return update_totals(rows, ["event_type"], {"cents": F.sum("cents")}, "totals", root)
+    sums = {"cents": F.sum("cents")}
+    return _in_turns(rows, "event_id", root, lambda s: update_totals(s, ["event_type"], sums, "totals", root))
 
 
 def keyed_sum_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,10 +135,14 @@ def keyed_sum_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_sum_rolling_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _money(stream_table(spark, sf_dir, "events")).select("event_id", "event_type", "cents")
+    rows = _money(_events(spark, sf_dir)).select("event_id", "event_type", "cents")
     root = scratch_dir(spark, "keyed_sum_rolling_stream")
-    running = Measures({"running_cents": Measure("sum", F.col("cents"))})
-    return running_stream(rows, ["event_type"], ["event_id"], running, "running", root).drop("cents")
+    sums = Measures({"running_cents": Measure("sum", F.col("cents"))})
+
+    def run(stream: DataFrame) -> DataFrame:
+        return running_stream(stream, ["event_type"], ["event_id"], sums, "running", root)
+
+    return _in_turns(rows, "event_id", root, run).drop("cents")
 
 
 def keyed_reduce_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,13 +223,16 @@ def late_main_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def late_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = arrivals(stream_table(spark, sf_dir, "events"))
+    rows = _arrivals(spark, sf_dir)
     sums = Measures({"n": Measure("count", F.lit(1)), "cents": Measure("sum", F.col("cents"))})
     job = LateWindows(rows.schema, ["event_type"], "t", ORDER, HOUR, LATE_BOUND, sums)
     root = scratch_dir(spark, "late_two_sinks")
-    job.run(rows, "late_two_sinks", root)
-    main = job.main(spark, root).groupBy("event_type").agg(F.sum("n").alias("n"), F.sum("cents").alias("cents"))
-    late = job.late(spark, root).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
+    for _ in append_in_turns(rows, f"{root}/in", "arrival"):
+        job.run(stream_files(spark, f"{root}/in", rows.schema), "late_two_sinks", root)
+    groups = ["event_type", "window_start"]
+    main = job.main(spark, root).select(*groups, "n", "cents")
+    late = job.late(spark, root).withColumn("window_start", window_start("t", HOUR)).groupBy(*groups)
+    late = late.agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
     return main.select(F.lit("main").alias("sink"), "*").unionByName(late.select(F.lit("late").alias("sink"), "*"))
 
 
@@ -227,6 +244,37 @@ def late_correction_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late_correction(_split(spark, sf_dir), ["event_type"], "cents")
 
 
+# The same operators with limits so low that keys are cut and windows joined by shuffle.
+
+LOW_TARGET = 500
+
+
+def keyed_sum_rolling_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _money(_events(spark, sf_dir)).select("event_id", "event_type", "cents")
+    return keyed.running_sum(rows, ["event_type"], ["event_id"], "cents", "running_cents", LOW_TARGET).drop("cents")
+
+
+def tumble_udaf_reduce_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def add_cents(first: tuple, second: tuple) -> tuple:
+        return (first[0] + second[0], first[1])
+
+    rows = _arrivals(spark, sf_dir)
+    return windows.tumbling_fold(
+        rows, ["event_type"], "t", ORDER, HOUR, ["cents", "t"], add_cents, target_rows=2, associative=True
+    )
+
+
+def count_window_sum_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _money(_events(spark, sf_dir))
+    return keyed.count_windows(rows, ["user_id"], ["event_id"], "cents", COUNT_WINDOW, target_rows=5)
+
+
+def late_main_output_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _arrivals(spark, sf_dir)
+    split = late_split(rows, "t", ORDER, HOUR, LATE_BOUND, broadcast_windows=0, target_rows=2)
+    return on_time_windows(split, ["event_type"], n=F.count("*"), cents=F.sum("cents"))
+
+
 QUERIES: dict[str, Query] = {
     "src_bounded": src_bounded,
     "src_stream": src_stream,
@@ -258,4 +306,8 @@ QUERIES: dict[str, Query] = {
     "late_two_sinks": late_two_sinks,
     "late_report": late_report_query,
     "late_correction": late_correction_query,
+    "keyed_sum_rolling_cut": keyed_sum_rolling_cut,
+    "tumble_udaf_reduce_cut": tumble_udaf_reduce_cut,
+    "count_window_sum_cut": count_window_sum_cut,
+    "late_main_output_salted": late_main_output_salted,
 }

@@ -6,7 +6,7 @@ without a zone, and this reads it as UTC whatever the session zone is.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +51,19 @@ def stream_files(
     )
 
 
+def append_in_turns(rows: DataFrame, folder: str, by: str, turns: int = 3) -> Iterator[int]:
+    """Append the rows to a folder in contiguous ranges of a whole number, one range at a time.
+
+    Each row is in exactly one range. Gives the number of the range once it is written, so that a
+    stream over the folder can be run, or started again, in between.
+    """
+    cuts = rows.approxQuantile(by, [i / turns for i in range(1, turns)], 0.01)
+    turn = sum((F.coalesce(F.col(by) > cut, F.lit(False)).cast("int") for cut in cuts), F.lit(0))
+    for i in range(turns):
+        rows.where(turn == i).write.mode("append").parquet(folder)
+        yield i
+
+
 def stamp_arrival(stream: DataFrame, out: str = "arrival") -> DataFrame:
     """Add the time at which a row is taken in (epoch microseconds), for windows on the clock.
 
