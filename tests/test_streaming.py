@@ -279,6 +279,21 @@ def test_windows_after_a_failure_at_any_step(spark, to_files, tmp_path, sum_and_
     assert got == main
 
 
+def test_continuous_late_windows(spark, to_files, tmp_path, sum_and_first):
+    folder = to_files(from_rows(spark, WITH_LATE, TRIPLES), "seq", 2)
+    job, root = window_job(spark, sum_and_first), str(tmp_path / "run")
+    stream = stream_files(spark, folder, TIMED, 1)
+    query = job.start(stream, "continuous", root, trigger={"processingTime": "0 seconds"})
+    drain(query)
+    assert not query.isActive
+    bounded = str(tmp_path / "bounded")
+    job.run(stream, "bounded", bounded)
+    for read in (job.main, job.late):
+        assert sorted(map(tuple, read(spark, root).collect())) == sorted(map(tuple, read(spark, bounded).collect()))
+    fixed = job.corrected(spark, root, "value").agg(F.sum("corrected")).first()[0]
+    assert fixed == sum(row[1] for row in WITH_LATE)
+
+
 def test_empty_input(spark, tmp_path, sum_and_first):
     job = window_job(spark, sum_and_first)
     (tmp_path / "in").mkdir()

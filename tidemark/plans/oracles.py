@@ -143,8 +143,9 @@ SELECT event_type, window_start, main.main, late.late,
 FROM main FULL OUTER JOIN late USING (event_type, window_start)""",
 }
 
-# Limits decide how the work is spread, not what comes out.
+# Limits and batches decide how the work is spread, not what comes out.
 ORACLES |= {
+    "late_correction_stream": ORACLES["late_correction"],
     "keyed_sum_rolling_cut": ORACLES["keyed_sum_rolling"],
     "tumble_udaf_reduce_cut": ORACLES["tumble_udaf_reduce"],
     "count_window_sum_cut": ORACLES["count_window_sum"],

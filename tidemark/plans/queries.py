@@ -222,13 +222,25 @@ def late_main_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return on_time_windows(_split(spark, sf_dir), ["event_type"], n=F.count("*"), cents=F.sum("cents"))
 
 
-def late_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _arrivals(spark, sf_dir)
+def _late_windows(rows: DataFrame, name: str, root: str) -> LateWindows:
+    """Run the rows in several turns; the job reads its outputs below ``root``."""
     sums = Measures({"n": Measure("count", F.lit(1)), "cents": Measure("sum", F.col("cents"))})
     job = LateWindows(rows.schema, ["event_type"], "t", ORDER, HOUR, LATE_BOUND, sums)
-    root = scratch_dir(spark, "late_two_sinks")
     for _ in append_in_turns(rows, f"{root}/in", "arrival"):
-        job.run(stream_files(spark, f"{root}/in", rows.schema), "late_two_sinks", root)
+        job.run(stream_files(rows.sparkSession, f"{root}/in", rows.schema), name, root)
+    return job
+
+
+def late_correction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "late_correction_stream")
+    job = _late_windows(_arrivals(spark, sf_dir), "late_correction_stream", root)
+    return job.corrected(spark, root, "cents")
+
+
+def late_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _arrivals(spark, sf_dir)
+    root = scratch_dir(spark, "late_two_sinks")
+    job = _late_windows(rows, "late_two_sinks", root)
     groups = ["event_type", "window_start"]
     main = job.main(spark, root).select(*groups, "n", "cents")
     late = job.late(spark, root).withColumn("window_start", window_start("t", HOUR)).groupBy(*groups)
@@ -306,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "late_two_sinks": late_two_sinks,
     "late_report": late_report_query,
     "late_correction": late_correction_query,
+    "late_correction_stream": late_correction_stream,
     "keyed_sum_rolling_cut": keyed_sum_rolling_cut,
     "tumble_udaf_reduce_cut": tumble_udaf_reduce_cut,
     "count_window_sum_cut": count_window_sum_cut,

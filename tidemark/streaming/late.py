@@ -7,18 +7,20 @@ not depend on how the input is cut into batches. Open windows are kept as partia
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tidemark.functions.columns import window_start
 from tidemark.operators.folds import Fold
 from tidemark.operators.late import late_rows, late_split
 from tidemark.operators.measures import Measures
 from tidemark.operators.stretches import TARGET_ROWS
-from tidemark.streaming.runner import finish, start_batches
+from tidemark.streaming.runner import ALL_THERE_IS, finish, start_batches
 from tidemark.streaming.state import (
     commit,
     last_commit,
@@ -87,16 +89,38 @@ class LateWindows:
 
         return each
 
+    def start(
+        self,
+        stream: DataFrame,
+        name: str,
+        root: str,
+        target_rows: int = TARGET_ROWS,
+        trigger: Mapping[str, str | bool] = ALL_THERE_IS,
+    ) -> StreamingQuery:
+        """Start the stream and return its handle; the outputs can be read while it runs."""
+        each = self.batches(root, target_rows)
+        return start_batches(stream, name, each, f"{root}/checkpoint", trigger=trigger)
+
     def run(
         self, stream: DataFrame, name: str, root: str, target_rows: int = TARGET_ROWS, timeout: float | None = None
     ) -> None:
         """Run to the end of the input; the outputs are read with ``main``, ``late`` and ``still_open``."""
-        finish(start_batches(stream, name, self.batches(root, target_rows), f"{root}/checkpoint"), timeout)
+        finish(self.start(stream, name, root, target_rows), timeout)
 
     def late(self, spark: SparkSession, root: str) -> DataFrame:
         """The late rows, as they came in."""
         return read_batches(spark, root, LATE, self.schema).drop("batch")
 
+    def corrected(self, spark: SparkSession, root: str, value: str, end_of_input: str = "flush") -> DataFrame:
+        """Per key and window the sum given out, what came late, and both; ``value`` is a sum of this name."""
+        late = self.late(spark, root).select(
+            *self.keys, window_start(self.ts, self.size).alias("window_start"), F.col(value).alias("late")
+        )
+        main = self.main(spark, root, end_of_input).select(*self.groups, F.col(value).alias("main"))
+        both = main.unionByName(late, allowMissingColumns=True)
+        held = both.groupBy(*self.groups).agg(F.sum("main").alias("main"), F.sum("late").alias("late"))
+        return held.withColumn("corrected", F.coalesce("main", F.lit(0)) + F.coalesce("late", F.lit(0)))
+
     def still_open(self, spark: SparkSession, root: str) -> DataFrame:
         """Windows that no watermark has closed yet."""
         last = last_commit(spark, root)

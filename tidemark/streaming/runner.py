@@ -1,8 +1,12 @@
-"""Starting streams, running them to the end of their input, and named sinks."""
+"""Starting streams, running them to the end of their input, and named sinks.
+
+Without a trigger a stream takes the input that is there and ends. With one, such as
+``{"processingTime": "10 seconds"}``, it goes on until it is stopped or drained.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -10,20 +14,35 @@ from pyspark.sql.streaming import StreamingQuery
 ONE_AGGREGATE = "spark.sql.streaming.statefulOperator.allowMultiple"
 
 
-def start_files(stream: DataFrame, name: str, out: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
+ALL_THERE_IS = {"availableNow": True}
+
+
+def start_files(
+    stream: DataFrame,
+    name: str,
+    out: str,
+    checkpoint: str,
+    mode: str = "append",
+    trigger: Mapping[str, str | bool] = ALL_THERE_IS,
+) -> StreamingQuery:
     """Start writing a stream to a named file sink. Returns at once."""
     return (
         stream.writeStream.queryName(name)
         .format("parquet")
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start(out)
     )
 
 
 def start_batches(
-    stream: DataFrame, name: str, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+    stream: DataFrame,
+    name: str,
+    each: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    mode: str = "append",
+    trigger: Mapping[str, str | bool] = ALL_THERE_IS,
 ) -> StreamingQuery:
     """Start a stream whose batches go to a function. Returns at once."""
     return (
@@ -31,7 +50,7 @@ def start_batches(
         .foreachBatch(each)
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
