@@ -145,6 +145,8 @@ FROM main FULL OUTER JOIN late USING (event_type, window_start)""",
 
 # Limits and batches decide how the work is spread, not what comes out.
 ORACLES |= {
+    "flat_map_udf": ORACLES["flat_map_words"],
+    "tumble_arrival_stream": ORACLES["tumble_arrival_sum"],
     "late_correction_stream": ORACLES["late_correction"],
     "keyed_sum_rolling_cut": ORACLES["keyed_sum_rolling"],
     "tumble_udaf_reduce_cut": ORACLES["tumble_udaf_reduce"],

@@ -101,6 +101,18 @@ def flat_map_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transforms.flat_map_words(read_table(spark, sf_dir, "documents"), ["doc_id"], "text")
 
 
+def flat_map_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words again, by a function of the user from frame to frame."""
+
+    def split(frame: pd.DataFrame) -> pd.DataFrame:
+        listed = frame.assign(word=frame["text"].str.split(" ", regex=False))
+        listed["pos"] = [list(range(len(w))) for w in listed["word"]]
+        return listed[["doc_id", "pos", "word"]].explode(["pos", "word"]).astype({"pos": "int64"})
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text").where("text is not null")
+    return transforms.map_frames(docs, split, "doc_id BIGINT, pos BIGINT, word STRING")
+
+
 def flat_map_subevents(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = transforms.count_up_to(F.col("event_id") % 3)
     return transforms.flat_map(_events(spark, sf_dir), ["event_id"], parts, "i")
@@ -165,6 +177,17 @@ def tumble_arrival_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.tumbling_sum(_arrivals(spark, sf_dir), ["event_type"], "arrival", HOUR, "cents")
 
 
+def tumble_arrival_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows on the arrival of streamed rows; in that order no row is late."""
+    rows = _arrivals(spark, sf_dir)
+    root = scratch_dir(spark, "tumble_arrival_stream")
+    sums = Measures({"cents": Measure("sum", F.col("cents"))})
+    job = LateWindows(rows.schema, ["event_type"], "arrival", ORDER, HOUR, 0, sums)
+    for _ in append_in_turns(rows, f"{root}/in", "arrival"):
+        job.run(stream_files(spark, f"{root}/in", rows.schema), "tumble_arrival_stream", root)
+    return job.main(spark, root).select("event_type", "window_start", "cents")
+
+
 def tumble_event_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.tumbling_sum(_timed(_events(spark, sf_dir)), ["event_type"], "t", HOUR, "cents")
 
@@ -294,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "map_square_filter_even": map_square_filter_even,
     "map_udf": map_udf,
     "flat_map_words": flat_map_words,
+    "flat_map_udf": flat_map_udf,
     "flat_map_subevents": flat_map_subevents,
     "word_count": word_count,
     "key_by_colocated": key_by_colocated,
@@ -304,6 +328,7 @@ QUERIES: dict[str, Query] = {
     "keyed_reduce_rolling": keyed_reduce_rolling,
     "keyed_aggregate": keyed_aggregate,
     "tumble_arrival_sum": tumble_arrival_sum,
+    "tumble_arrival_stream": tumble_arrival_stream,
     "tumble_event_sum": tumble_event_sum,
     "tumble_event_reduce": tumble_event_reduce,
     "tumble_udaf_reduce": tumble_udaf_reduce,
