@@ -342,6 +342,31 @@ def test_later_documents_lose_aligned_blocks(spark, odd_docs, no_docs, rare):
     assert linealign.without_blocks(no_docs).count() == 0
 
 
+def test_shortest_runs_hold_every_line_of_longer_ones():
+    rng = random.Random(13)
+    for _ in range(300):
+        n = rng.randint(1, 9)
+        words = [rng.choice([0, 3, 5, 8, 12, 25]) for _ in range(n)]
+        lines = [i + 1 if w else 0 for i, w in enumerate(words)]
+        runs = [set(np.frombuffer(r, np.int64).tolist()) for r in linealign.shortest_runs(lines, words, 20)]
+        assert all(sum(words[i - 1] for i in r) >= 20 for r in runs)
+        for s, e in itertools.combinations(range(n + 1), 2):
+            block = {x for x in lines[s:e] if x}
+            if sum(words[s:e]) >= 20:
+                single = {x for x in block if words[x - 1] >= 20}
+                assert set().union(single, *(r for r in runs if r <= block)) == block
+
+
+@pytest.mark.parametrize("rare", [2, 8])
+def test_blocks_of_frequent_lines_with_different_first_holders_are_found(spark, rare):
+    block = [_prose(60, 8), _prose(61, 7), _prose(62, 12)]
+    own = {i: _prose(200 + i, 25) for i in range(16)}
+    texts = {i: f"{own[i]}\n{block[i]}" for i in range(3)} | {i: "\n".join([own[i], *block]) for i in range(3, 16)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {r["doc_id"]: r["text"] for r in linealign.without_blocks(docs, rare=rare).collect()}
+    assert rows == {i: texts[i] if i <= 3 else own[i] for i in texts}
+
+
 # 9
 
 

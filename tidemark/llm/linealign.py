@@ -2,7 +2,8 @@
 
 Documents are found to overlap through shared lines. A rare line links all documents that have it;
 a frequent one links each to its first holder, so links grow with the lines and no line makes all
-pairs. A linked pair is aligned by patience diff: lines that occur once in either document are
+pairs. Each shortest run of neighbouring lines with enough words links a document to the run's first
+holder as well; every block that an earlier document holds is made of such runs. A linked pair is aligned by patience diff: lines that occur once in either document are
 matched along their longest common order, matches grow over equal neighbours, and the gaps between
 are aligned the same way. Aligned common blocks with enough words are deleted from the later
 document.
@@ -128,8 +129,48 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(split, f"doc_id {kind}, mark int, lines array<long>, words array<int>")
 
 
+def shortest_runs(lines: Sequence[int], words: Sequence[int], least: int) -> set[bytes]:
+    """Runs of two or more lines with ``least`` words that lose them without their last or first line.
+
+    Blank lines are passed over. A line of any longer run is in a shortest run within it: one that can't
+    be cut at either end without losing the line or the words ends, or starts, as short as it can.
+    """
+    lines, words = np.asarray(lines, np.int64), np.asarray(words, np.int64)
+    lines, words = lines[words > 0], words[words > 0]
+    sums = np.concatenate([[0], np.cumsum(words)])
+    ends = np.searchsorted(sums, sums[:-1] + least)
+    starts = np.searchsorted(sums, sums[1:] - least, "right") - 1
+    spans = {(s, e) for s, e in enumerate(ends.tolist()) if e < len(sums)}
+    spans |= {(s, e) for e, s in enumerate(starts.tolist(), 1) if s >= 0}
+    return {lines[s:e].tobytes() for s, e in spans if e - s > 1}
+
+
+def _run_links(lines: DataFrame, least_words: int) -> DataFrame:
+    """``earlier, later``: each document with the first holder of each of its shortest runs."""
+    kind = lines.schema["doc_id"].dataType.simpleString()
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, found = [], []
+            for i, (own, words) in enumerate(zip(batch.column("lines").to_pylist(), batch.column("words").to_pylist())):
+                digests = [xxhash.xxh3_64_intdigest(run) for run in shortest_runs(own, words, least_words)]
+                rows += [i] * len(digests)
+                found += digests
+            ids = batch.column("doc_id").take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.array(found, np.uint64).view(np.int64))], names=["doc_id", "run"])
+
+    held = written(lines.select("doc_id", "lines", "words").mapInArrow(runs, f"doc_id {kind}, run long"))
+    firsts = held.groupBy("run").agg(F.min("doc_id").alias("earlier"), F.max("doc_id").alias("last"))
+    firsts = small_or_not(written(firsts.where("earlier != last").select("run", "earlier")))
+    links = held.join(firsts, "run").where("doc_id != earlier")
+    return links.select("earlier", F.col("doc_id").alias("later")).distinct()
+
+
 def linked_pairs(lines: DataFrame, least_words: int = LEAST_WORDS, rare: int = RARE) -> DataFrame:
-    """``earlier, later``: ids that share lines of ``least_words`` words in all, through the links of each."""
+    """``earlier, later``: ids that share lines of ``least_words`` words in all, through the links of each.
+
+    A single line with as many words links its holders here, a run of shorter ones in ``_run_links``.
+    """
     spread = (
         lines.select("doc_id", F.explode(F.arrays_zip("lines", "words")).alias("l"))
         .select("doc_id", "l.*")
@@ -151,7 +192,8 @@ def linked_pairs(lines: DataFrame, least_words: int = LEAST_WORDS, rare: int = R
         .drop("first")
     )
     links = firsts.unionByName(rest).groupBy("earlier", "later").agg(F.sum("words").alias("words"))
-    return links.where(F.col("words") >= least_words).select("earlier", "later")
+    links = links.where(F.col("words") >= least_words).select("earlier", "later")
+    return links.unionByName(_run_links(lines, least_words)).distinct()
 
 
 def repeated_blocks(docs: DataFrame, least_words: int = LEAST_WORDS, rare: int = RARE) -> DataFrame:
