@@ -357,6 +357,17 @@ def test_shortest_runs_hold_every_line_of_longer_ones():
                 assert set().union(single, *(r for r in runs if r <= block)) == block
 
 
+def test_blank_lines_neither_break_nor_make_a_block(spark):
+    passage = [_prose(70 + i, 11) for i in range(5)]
+    texts = {1: "\n".join([_prose(80, 25), *passage]), 2: "\n\n".join([*passage, _prose(81, 25)]), 3: f"{passage[0]}\n\n\n{_prose(82, 25)}"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {r["doc_id"]: r["text"] for r in linealign.without_blocks(docs).collect()}
+    assert rows == {1: texts[1], 2: "\n" + _prose(81, 25), 3: texts[3]}
+    # Blank lines at the ends go as far as both texts have them.
+    assert linealign.common_blocks([0, 1, 2, 0], [3, 0, 0, 1, 0, 2, 0, 0, 4], [1, 0, 0, 10, 0, 10, 0, 0, 1], 20) == [(2, 7)]
+    assert linealign.common_blocks([1, 0, 0, 2], [1, 0, 0, 3], [19, 0, 0, 19], 20) == []
+
+
 @pytest.mark.parametrize("rare", [2, 8])
 def test_blocks_of_frequent_lines_with_different_first_holders_are_found(spark, rare):
     block = [_prose(60, 8), _prose(61, 7), _prose(62, 12)]

@@ -3,10 +3,11 @@
 Documents are found to overlap through shared lines. A rare line links all documents that have it;
 a frequent one links each to its first holder, so links grow with the lines and no line makes all
 pairs. Each shortest run of neighbouring lines with enough words links a document to the run's first
-holder as well; every block that an earlier document holds is made of such runs. A linked pair is aligned by patience diff: lines that occur once in either document are
-matched along their longest common order, matches grow over equal neighbours, and the gaps between
-are aligned the same way. Aligned common blocks with enough words are deleted from the later
-document.
+holder as well; every block that an earlier document holds is made of such runs. A linked pair is
+aligned by patience diff: lines that occur once in either document are matched along their longest
+common order, matches grow over equal neighbours, and the gaps between are aligned the same way.
+Aligned common blocks with enough words are deleted from the later
+document; blank lines neither break nor make a block.
 
 Only hashes of lines are shuffled and aligned; texts are read again where the blocks are cut out.
 """
@@ -83,16 +84,28 @@ def patience_matches(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]
 
 
 def common_blocks(a: Sequence[int], b: Sequence[int], words: Sequence[int], least: int) -> list[tuple[int, int]]:
-    """Ranges of lines of ``b``, aligned without a gap in either text, with ``least`` words or more."""
-    blocks: list[list[int]] = []
+    """Ranges of lines of ``b``, aligned without a gap in either text, with ``least`` words or more.
+
+    Blank lines, 0, are no gaps: those of ``b`` inside a block go with it, and those at its ends as
+    far as ``a`` has them too.
+    """
+    at_a, at_b = ([i for i, line in enumerate(lines) if line] for lines in (a, b))
+    blocks: list[list] = []
     last = None
-    for i, j in patience_matches(a, b):
+    for i, j in patience_matches([a[i] for i in at_a], [b[j] for j in at_b]):
         if last == (i - 1, j - 1):
-            blocks[-1][1] = j + 1
+            blocks[-1][1:] = i, j
         else:
-            blocks.append([j, j + 1])
+            blocks.append([(i, j), i, j])
         last = (i, j)
-    return [(s, e) for s, e in blocks if sum(words[s:e]) >= least]
+    # Bounds of the blank lines before the first and after the last line.
+    at_a, at_b = [-1, *at_a, len(a)], [-1, *at_b, len(b)]
+    ranges = []
+    for (i, j), k, m in blocks:
+        before = min(at_a[i + 1] - at_a[i], at_b[j + 1] - at_b[j]) - 1
+        after = min(at_a[k + 2] - at_a[k + 1], at_b[m + 2] - at_b[m + 1]) - 1
+        ranges.append((at_b[j + 1] - before, at_b[m + 1] + 1 + after))
+    return [(s, e) for s, e in ranges if sum(words[s:e]) >= least]
 
 
 def _key() -> list[Column]:
@@ -197,7 +210,7 @@ def linked_pairs(lines: DataFrame, least_words: int = LEAST_WORDS, rare: int = R
 
 
 def repeated_blocks(docs: DataFrame, least_words: int = LEAST_WORDS, rare: int = RARE) -> DataFrame:
-    """``doc_id, mark, blocks``: ranges of lines to delete, as (start, end), that don't overlap.
+    """``doc_id, mark, blocks``: ranges of lines to delete, as (start, end); they may overlap.
 
     ``mark`` is a hash of the text, as rows may share a doc_id.
     """
