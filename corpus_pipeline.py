@@ -9,7 +9,7 @@ there is no ORACLE_SQL; tests hold each stage against a brute-force version.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, linealign, neardup, packing, quality
@@ -34,10 +34,33 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id, once."""
-    dropped = neardup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    rows = docs.join(small_or_not(written(dropped)), "doc_id", "left_anti")
-    return rows.select(*docs.columns)
+    """Of each group of near duplicates the document with the smallest doc_id, once.
+
+    Of rows with equal sets of shingles one stays, also if they share a doc_id or have none. Different
+    texts of a kept doc_id stay, and rows without doc_id are compared on equal sets only.
+    """
+    found = written(neardup.classified(docs).select("doc_id", "n_shingles", "set_key", "kept"))
+    dropped = found.where("not kept").select("doc_id").distinct()
+    rows = docs.join(small_or_not(written(dropped)), "doc_id", "left_anti").select(*docs.columns)
+    # Sets of several rows that stay so far, or of a row without doc_id beside others.
+    repeated = (
+        found.where("n_shingles > 0")
+        .groupBy(F.col("set_key").alias("_set_key"))
+        .agg(F.count_if("kept").alias("_stay"), F.count("*").alias("_rows"), F.count("doc_id").alias("_ids"))
+        .where("_stay > 1 or _rows > _ids and _ids > 0")
+    )
+    repeated = small_or_not(written(repeated.select("_set_key", "_ids")))
+    ids = found.where("kept and doc_id is not null").join(repeated, F.col("set_key") == F.col("_set_key"), "left_semi")
+    ids = small_or_not(written(ids.select("doc_id").distinct()))
+    apart = rows.where("doc_id is not null").join(ids, "doc_id", "left_anti").select(*docs.columns)
+    looked_at = rows.join(ids, "doc_id", "left_semi").select(*docs.columns).unionByName(rows.where("doc_id is null"))
+    looked_at = neardup.with_set_keys(looked_at)
+    single = looked_at.join(repeated, "_set_key", "left_anti")
+    # A row without doc_id goes if any with one has its set.
+    groups = looked_at.join(repeated, "_set_key").where("doc_id is not null or _ids = 0")
+    order = Window.partitionBy("_set_key").orderBy(F.xxhash64(*docs.columns))
+    first = groups.withColumn("_n", F.row_number().over(order)).where("_n = 1")
+    return apart.unionByName(single.select(*docs.columns)).unionByName(first.select(*docs.columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

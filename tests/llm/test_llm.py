@@ -485,3 +485,17 @@ def test_pipeline_takes_odd_rows(spark, odd_docs):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SMALL)
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() > 0
+
+
+def test_pipeline_keeps_equal_texts_once(spark):
+    texts = [_prose(300 + i, 60) for i in range(5)]
+    near = texts[3] + " extra"
+    rows = [
+        (1, texts[0]), (1, texts[0]), (1, texts[1]), (2, texts[0]), (None, texts[0].upper()), (None, texts[2]), (None, texts[2]),
+        (3, texts[3]), (4, near), (None, near), (5, texts[4]), (6, None), (None, None), (None, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    got = corpus_pipeline.without_near_duplicates(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    expected = [(1, texts[0]), (1, texts[1]), (None, texts[2]), (3, texts[3]), (5, texts[4]), (6, None), (None, None), (None, "")]
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter(expected)
