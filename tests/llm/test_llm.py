@@ -99,6 +99,14 @@ def test_contaminated_finds_all_within_the_budget_and_no_clean_text(spark, odd_d
     assert decontaminate.contaminated(docs, items.where("false")).count() == 0
 
 
+def test_short_items_are_found_word_for_word(spark):
+    texts = {1: "So WHAT is \n 2+2? Four.", 2: "what is 2+3?", 3: "somewhat is 2+2?", 4: "what is 2+2?", 5: "what is 2+2? and what is 2+2?x", 6: "a pig", 7: "a pigeon"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    items = spark.createDataFrame([(1, "What is 2+2?"), (2, "a pig"), (3, " ")], "item_id long, text string")
+    got = {tuple(r) for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == {(1, 1, 0, 1, 15), (4, 1, 0, 1, 12), (5, 1, 0, 2, 12), (6, 2, 0, 1, 5)}
+
+
 # 2
 
 

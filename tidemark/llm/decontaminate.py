@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 # Edits allowed per character of an item.
 BUDGET = 0.08
-# Shorter items, in normalised characters, would be found in clean texts and are left out.
+# Shorter items, in normalised characters, would be found in clean texts with edits or inside words:
+# they are searched without edits and between word boundaries.
 SHORTEST = 32
 # Characters of items in one broadcast.
 CHUNK_CHARS = 2_000_000
@@ -38,7 +39,7 @@ class Pattern:
     def __init__(self, text: str, budget: float = BUDGET):
         self.text = text
         self.length = len(text)
-        self.budget = math.floor(budget * self.length)
+        self.budget = math.floor(budget * self.length) if self.length >= SHORTEST else 0
         self.masks: dict[str, int] = {}
         for i, c in enumerate(text):
             self.masks[c] = self.masks.get(c, 0) | 1 << i
@@ -75,6 +76,11 @@ class Pattern:
         return best, best_end
 
 
+def between_words(text: str, start: int, end: int) -> bool:
+    """Whether neither end of the stretch cuts a run of letters and digits."""
+    return not any(text[at - 1].isalnum() and text[at].isalnum() for at in (start, end) if 0 < at < len(text))
+
+
 class Matcher:
     """Finds every item of one chunk in a text."""
 
@@ -104,6 +110,8 @@ class Matcher:
         found = []
         for n, at in starts.items():
             pattern = self.patterns[n]
+            if pattern.length < SHORTEST:
+                at = {start for start in at if between_words(text, start, start + pattern.length)}
             k, reach = pattern.budget, pattern.length + pattern.budget
             # Hits whose windows overlap are looked at together.
             windows: list[list[int]] = []
@@ -132,7 +140,7 @@ def contaminated(
 
     ``edits`` is the fewest over its occurrences, ``occurrences`` counts the separate places,
     ``ends_at`` is where the best of them ends in the normalised text. Null texts and items hold
-    nothing; items under 32 normalised characters are left out, as clean texts would hold them.
+    nothing; items under 32 normalised characters are found without edits and as whole words only.
     Items with equal texts are found each; repeated rows of documents or items give repeated
     results.
     """
@@ -147,7 +155,7 @@ def contaminated(
     def one_pass(chunk: int) -> DataFrame:
         got = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == chunk).collect()
         texts = [(r["item_id"], normalise(r["text"])) for r in got]
-        texts = [(i, t) for i, t in texts if len(t) >= SHORTEST]
+        texts = [(i, t) for i, t in texts if t]
         shared = spark.sparkContext.broadcast(texts)
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
