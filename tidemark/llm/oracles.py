@@ -48,4 +48,29 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id
 FROM sets JOIN least ON doc_id = a
 """
 
-ORACLES = {"op9_odd_sketches": OP9, "op7_vector_approximation": OP7}
+OP12 = """
+WITH whole AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.id AS anchor_id, c.id, a.label = c.label AS same,
+           list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM whole a JOIN whole c ON c.id <> a.id
+    WHERE a.id % 100 = 0
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score
+    FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.id)::INTEGER AS rank,
+       n.id AS negative_id, positive_score, n.score AS negative_score
+FROM positives JOIN scored n USING (anchor_id)
+WHERE NOT n.same AND 80 * positive_score <= 100 * n.score AND n.score <= positive_score
+QUALIFY rank <= 5
+"""
+
+ORACLES = {"op9_odd_sketches": OP9, "op7_vector_approximation": OP7, "op12_shared_lists": OP12}

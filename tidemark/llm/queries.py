@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontaminate,
+    hardnegatives,
     html,
     linealign,
     neardup,
@@ -18,6 +19,7 @@ from tidemark.llm import (
     suffixdedup,
     tokencounts,
     vafile,
+    whitening,
 )
 from tidemark.llm.common import table
 
@@ -113,6 +115,16 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+def op12_shared_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hardnegatives.labelled_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label)
+    return hardnegatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -130,5 +142,7 @@ QUERIES = {
     "op8_patience_alignment": op8_patience_alignment,
     "op9_odd_sketches": op9_odd_sketches,
     "op10_hilbert_shards": op10_hilbert_shards,
+    "op11_block_whitening": op11_block_whitening,
+    "op12_shared_lists": op12_shared_lists,
     "pipeline": pipeline,
 }
