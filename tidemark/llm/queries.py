@@ -15,6 +15,7 @@ from tidemark.llm import (
     neardup,
     packing,
     quality,
+    sequencefiles,
     sharding,
     suffixdedup,
     tokencounts,
@@ -22,6 +23,7 @@ from tidemark.llm import (
     whitening,
 )
 from tidemark.llm.common import table
+from tidemark.session import scratch_dir
 
 SHARDS = 40
 
@@ -125,6 +127,13 @@ def op12_shared_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hardnegatives.hard_negatives(rows, F.col("id") % 100 == 0)
 
 
+def op13_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = scratch_dir(spark, "sequences")
+    files = sequencefiles.write_sequences(docs, tokenizer_path("word_bpe_49k.json"), out)
+    return sequencefiles.read_documents(files, docs.schema["doc_id"].dataType.simpleString())
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -144,5 +153,6 @@ QUERIES = {
     "op10_hilbert_shards": op10_hilbert_shards,
     "op11_block_whitening": op11_block_whitening,
     "op12_shared_lists": op12_shared_lists,
+    "op13_arrow_sequences": op13_arrow_sequences,
     "pipeline": pipeline,
 }
