@@ -1,15 +1,16 @@
 """Token ids in Arrow stream files of equal-length sequences, for zero-copy random access.
 
-Documents are encoded where they are read, dealt by ranges of their order and written one after the
-other into files of bounded size. A file is an Arrow stream of record batches with two columns of
-fixed-size lists: ``ids`` (uint32) and ``mask`` (uint8, 1 where a token is). All batches but the last
-hold the same number of sequences, so all take the same number of bytes: the place of any sequence
-follows from its number, and a memory map gives it without a copy. A second stream beside it lists
-the documents: doc_id, start (in the file) and n_tokens.
+Documents are dealt by ranges of their order, encoded, and written one after the other into files of
+bounded size. A file is an Arrow stream of record batches with two columns of fixed-size lists:
+``ids`` (uint16 if the vocabulary fits, else uint32) and ``mask`` (uint8, 1 where a token is). All
+batches but the last hold the same number of sequences, so all take the same number of bytes: the
+place of any sequence follows from its number, and a memory map gives it without a copy. A second
+stream beside it lists the documents: doc_id, start (in the file) and n_tokens.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,102 +25,109 @@ from tidemark.session import written
 
 END_ID = 1
 LENGTH = 1024
-# Sequences of a record batch: with 1,024 ids of 4 bytes and as many of the mask, 1.3 MB.
+# Sequences of a record batch: with 1,024 ids of 2 bytes and the mask, 0.8 MB.
 BATCH_SEQUENCES = 256
 # A file ends with the document that takes it over so many tokens.
 FILE_TOKENS = 1 << 23
-# Remembered words in a task. Others are encoded each time they occur.
+# Bytes of text dealt to one task.
+TASK_BYTES = 64 << 20
+# Remembered words, and parts of words, in a task. Others are encoded each time they occur.
 REMEMBERED = 400_000
 
+# Fixed values of the tokenizer file: how it cuts lower-case text.
+_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Latin characters and signs, which have no other normal form.
+_PLAIN = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+").fullmatch
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level alphabets show a byte that has no sign of its own as the next letter from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + n for n, b in enumerate(others)}
+
 
 class WordEncoder:
     """Ids of whole texts, equal to those of the tokenizer file, with a memory of frequent words.
 
-    Only for files that normalise and split in such a way that no token spans white space. Texts
-    with anything like a special token are encoded whole.
+    For tokenizer files that take lower case, cut as ``_PARTS`` does and let no token span white
+    space. Words of plain characters are cut here and their parts given to the file's model; other
+    words are encoded by the whole tokenizer, and so are texts with anything like a special token.
     """
 
     def __init__(self, path: str, kind: str):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind = Tokenizer.from_file(path), kind
+        self.model = self.tokenizer.model
+        self.parts = regex.compile(_PARTS).findall
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {"": b""}
+        self.known_parts: dict[str, bytes] = {}
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, word: str) -> bytes:
+        if not _PLAIN(word):
+            return self._whole(word)
+        out, known = [], self.known_parts
+        for part in self.parts(word.lower()):
+            ids = known.get(part)
+            if ids is None:
+                shown = part.encode().decode("latin1").translate(self.letters)
+                ids = self._bytes([t.id for t in self.model.tokenize(shown)])
+                if len(known) < REMEMBERED:
+                    known[part] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def __call__(self, text: str) -> bytes:
         """Ids as little-endian unsigned numbers."""
         if "<|" in text:
             return self._whole(text)
-        words, known = text.replace("\n", " ").replace("\t", " ").split(" "), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    if len(known) >= REMEMBERED:
-                        return b"".join([known[w] if w in known else self._whole(w) for w in words])
-                    known[w] = self._whole(w)
-            return b"".join([known[w] for w in words])
+        out, known = [], self.known
+        for word in text.replace("\n", " ").replace("\t", " ").split(" "):
+            ids = known.get(word)
+            if ids is None:
+                ids = self._word(word)
+                if len(known) < REMEMBERED:
+                    known[word] = ids
+            out.append(ids)
+        return b"".join(out)
 
 
 def narrowest(tokenizer: str, end_id: int) -> str:
-    """The type that ids take on their way to the files: 16 bits if all fit."""
+    """The type that holds every id: 16 bits if they do."""
     from tokenizers import Tokenizer
 
     return "<u2" if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
 
 
-def encoded(docs: DataFrame, tokenizer: str, end_id: int, kept_as: str) -> DataFrame:
-    """Written table ``doc_id, h, u, n, ids``: each document's ids with the end id.
-
-    Rows are ordered by doc_id (null first), then h, a hash of the text; u tells equal rows apart.
-    """
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = WordEncoder(tokenizer, kept_as), np.array([end_id], kept_as).tobytes()
-        size = len(end)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                some = batch.slice(start, 512)
-                ids = [encoder(t) + end for t in some.column("text").to_pylist()]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": some.column("doc_id"),
-                        "h": some.column("h"),
-                        "n": pa.array([len(i) // size for i in ids], pa.int64()),
-                        "ids": pa.array(ids, pa.binary()),
-                    }
-                )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    out = rows.mapInArrow(encode, f"doc_id {kind}, h long, n long, ids binary")
-    return written(out.withColumn("u", F.monotonically_increasing_id()))
-
-
 def _place(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def sequence_schema(length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint32(), length)), ("mask", pa.list_(pa.uint8(), length))])
+def sequence_schema(length: int, kind: str) -> pa.Schema:
+    ids = pa.from_numpy_dtype(np.dtype(kind))
+    return pa.schema([("ids", pa.list_(ids, length)), ("mask", pa.list_(pa.uint8(), length))])
 
 
 class _Writer:
     """One file and its list of documents. Both get their names when they are complete."""
 
-    def __init__(self, folder: str, name: str, attempt: str, length: int, kind: pa.DataType, kept_as: str):
+    def __init__(self, folder: str, name: str, attempt: str, length: int, doc_id: pa.DataType, kind: str):
         self.system, place = _place(folder)
         self.system.create_dir(place, recursive=True)
-        self.folder, self.path, self.length = folder, f"{place}/{name}", length
-        self.name, self.attempt = name, attempt
-        self.kept_as, self.id_bytes = kept_as, np.dtype(kept_as).itemsize
-        self.docs_schema = pa.schema([("doc_id", kind), ("start", pa.int64()), ("n_tokens", pa.int64())])
+        self.path, self.name, self.attempt = f"{place}/{name}", name, attempt
+        self.length, self.kind, self.schema = length, np.dtype(kind), sequence_schema(length, kind)
+        self.docs_schema = pa.schema([("doc_id", doc_id), ("start", pa.int64()), ("n_tokens", pa.int64())])
         self.out = self.system.open_output_stream(f"{self.path}.ids.{attempt}")
-        self.stream = pa.ipc.new_stream(self.out, sequence_schema(length))
+        self.stream = pa.ipc.new_stream(self.out, self.schema)
         self.docs_out = self.system.open_output_stream(f"{self.path}.docs.{attempt}")
         self.docs_stream = pa.ipc.new_stream(self.docs_out, self.docs_schema)
         self.held: list[bytes] = []
@@ -127,7 +135,7 @@ class _Writer:
         self.listed: list[tuple] = []
 
     def add(self, doc_id, ids: bytes) -> None:
-        n = len(ids) // self.id_bytes
+        n = len(ids) // self.kind.itemsize
         self.listed.append((doc_id, self.tokens, n))
         self.held.append(ids)
         self.n_held += n
@@ -135,7 +143,7 @@ class _Writer:
         self.documents += 1
         full = self.length * BATCH_SEQUENCES
         if self.n_held >= full:
-            whole = np.frombuffer(b"".join(self.held), self.kept_as)
+            whole = np.frombuffer(b"".join(self.held), self.kind)
             self.n_held = len(whole) % full
             for start in range(0, len(whole) - self.n_held, full):
                 self._batch(whole[start : start + full])
@@ -144,12 +152,12 @@ class _Writer:
             self._list()
 
     def _batch(self, ids: np.ndarray) -> None:
-        ids, mask = ids.astype("<u4"), np.ones(len(ids), np.uint8)
+        mask = np.ones(len(ids), np.uint8)
         missing = -len(ids) % self.length
         if missing:
             ids, mask = (np.concatenate([a, np.zeros(missing, a.dtype)]) for a in (ids, mask))
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(a), self.length) for a in (ids, mask)]
-        self.stream.write_batch(pa.record_batch(columns, schema=sequence_schema(self.length)))
+        self.stream.write_batch(pa.record_batch(columns, schema=self.schema))
 
     def _list(self) -> None:
         columns = [pa.array(c, f.type) for c, f in zip(zip(*self.listed), self.docs_schema)]
@@ -158,7 +166,7 @@ class _Writer:
 
     def close(self) -> None:
         if self.n_held:
-            self._batch(np.frombuffer(b"".join(self.held), self.kept_as))
+            self._batch(np.frombuffer(b"".join(self.held), self.kind))
         if self.listed:
             self._list()
         for stream, out, kind in ((self.stream, self.out, "ids"), (self.docs_stream, self.docs_out, "docs")):
@@ -187,16 +195,19 @@ def write_sequences(
     ``out`` is a folder all executors reach, by a plain path or any address pyarrow knows.
     """
     spark = docs.sparkSession
-    kept_as = narrowest(tokenizer, end_id)
-    rows = encoded(docs, tokenizer, end_id, kept_as)
-    tokens = rows.agg(F.sum("n")).first()[0] or 0
-    n = max(-(-tokens // file_tokens), spark.sparkContext.defaultParallelism)
-    order = ["doc_id", "h", "u"]
-    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "ids")
+    kind = narrowest(tokenizer, end_id)
+    text = F.coalesce("text", F.lit(""))
+    # The last column tells equal rows apart, so that no key is too large for a range.
+    order = {"h": F.xxhash64(text), "u": F.monotonically_increasing_id()}
+    rows = docs.select("doc_id", text.alias("text"), *[c.alias(k) for k, c in order.items()])
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(-(-size // TASK_BYTES), spark.sparkContext.defaultParallelism)
+    dealt = rows.repartitionByRange(n, "doc_id", *order).sortWithinPartitions("doc_id", *order).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         part, attempt = context.partitionId(), f"{context.taskAttemptId()}"
+        encoder, end = WordEncoder(tokenizer, kind), np.array([end_id], kind).tobytes()
         done, writer = [], None
 
         def finish():
@@ -204,12 +215,12 @@ def write_sequences(
             done.append((f"{out}/{writer.name}", part, len(done), writer.tokens, writer.documents))
 
         for batch in batches:
-            ids = batch.column("ids")
+            texts = batch.column("text")
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
                 if writer is None:
-                    kind = batch.schema.field("doc_id").type
-                    writer = _Writer(out, f"part-{part:06d}-{len(done):05d}", attempt, length, kind, kept_as)
-                writer.add(doc_id, ids[i].as_py())
+                    name = f"part-{part:06d}-{len(done):05d}"
+                    writer = _Writer(out, name, attempt, length, batch.schema.field("doc_id").type, kind)
+                writer.add(doc_id, encoder(texts[i].as_py()) + end)
                 if writer.tokens >= file_tokens:
                     finish()
                     writer = None
@@ -251,6 +262,7 @@ class SequenceFile:
             self._stride = first[1] - self._first
             # Eight bytes end a stream. All batches before the last one are as long as the first.
             self._last = (self._bytes.size - 8 - self._first - 1) // self._stride
+        self._held: tuple = (None, None)
         self._size = self._per_batch * self._last + (len(self._batch(self._last)[0]) if first else 0)
 
     def _batch_at(self, place: int):
@@ -263,10 +275,11 @@ class SequenceFile:
         return pa.ipc.read_record_batch(message, self.schema), source.tell()
 
     def _batch(self, number: int) -> tuple[np.ndarray, np.ndarray]:
-        batch, _ = self._batch_at(self._first + number * self._stride)
-        return tuple(
-            c.flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length) for c in batch.columns
-        )
+        if self._held[0] != number:
+            batch, _ = self._batch_at(self._first + number * self._stride)
+            views = [c.flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length) for c in batch.columns]
+            self._held = number, tuple(views)
+        return self._held[1]
 
     def __len__(self) -> int:
         return self._size
@@ -290,6 +303,7 @@ class SequenceFile:
 def read_documents(files: DataFrame, doc_id: str = "long") -> DataFrame:
     """Per document of the files: ``doc_id, start, n_tokens, ids_crc32``, each file read in one task.
 
+    The checksum is that of the ids as little-endian unsigned 32-bit numbers.
     ``doc_id`` is its type. The number of tasks follows the number of files.
     """
 
@@ -303,7 +317,7 @@ def read_documents(files: DataFrame, doc_id: str = "long") -> DataFrame:
                     for s, n in zip(starts.tolist(), counts.tolist()):
                         crc = 0
                         for ids in sequences.tokens(s, n):
-                            crc = zlib.crc32(ids, crc)
+                            crc = zlib.crc32(ids.astype("<u4"), crc)
                         sums.append(crc)
                     yield pa.RecordBatch.from_pydict(
                         {
