@@ -11,7 +11,9 @@ stream beside it lists the documents: doc_id, start (in the file) and n_tokens.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +33,21 @@ BATCH_SEQUENCES = 256
 FILE_TOKENS = 1 << 23
 # Bytes of text dealt to one task.
 TASK_BYTES = 64 << 20
-# Remembered words, and parts of words, in a task. Others are encoded each time they occur.
-REMEMBERED = 400_000
+# Remembered parts of words in a task. Others are encoded each time they occur.
+REMEMBERED = 600_000
 
-# Fixed values of the tokenizer file: how it cuts lower-case text.
-_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# Latin characters and signs, which have no other normal form.
-_PLAIN = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+").fullmatch
+# Latin characters and signs, which have no other normal form; "İ" has two in lower case.
+_LATIN = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x250)) if c != 0x130]
+_PLAIN = re.compile(f"[ \\n\\t{re.escape(''.join(_LATIN))}]*").fullmatch
+
+
+def _parts() -> re.Pattern[str]:
+    """How the tokenizer file cuts lower-case text, for plain characters."""
+    letters = re.escape("".join(c for c in _LATIN if unicodedata.category(c)[0] == "L"))
+    numbers = re.escape("".join(c for c in _LATIN if unicodedata.category(c)[0] == "N"))
+    # Fixed values of the tokenizer file.
+    endings = "'s|'t|'re|'ve|'m|'ll|'d"
+    return re.compile(f"{endings}|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -50,55 +60,42 @@ def _byte_letters() -> dict[int, int]:
 class WordEncoder:
     """Ids of whole texts, equal to those of the tokenizer file, with a memory of frequent words.
 
-    For tokenizer files that take lower case, cut as ``_PARTS`` does and let no token span white
-    space. Words of plain characters are cut here and their parts given to the file's model; other
-    words are encoded by the whole tokenizer, and so are texts with anything like a special token.
+    For tokenizer files that take lower case, cut as ``_parts`` does and let no token span white
+    space. Plain text is cut here and its parts given to the file's model; other words are encoded
+    by the whole tokenizer, and so are texts with anything like a special token.
     """
 
     def __init__(self, path: str, kind: str):
-        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind = Tokenizer.from_file(path), kind
+        self.tokenizer, self.code = Tokenizer.from_file(path), np.dtype(kind).char
         self.model = self.tokenizer.model
-        self.parts = regex.compile(_PARTS).findall
+        self.parts = _parts().findall
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {"": b""}
-        self.known_parts: dict[str, bytes] = {}
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        self.known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
-        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _word(self, word: str) -> bytes:
-        if not _PLAIN(word):
-            return self._whole(word)
-        out, known = [], self.known_parts
-        for part in self.parts(word.lower()):
-            ids = known.get(part)
-            if ids is None:
-                shown = part.encode().decode("latin1").translate(self.letters)
-                ids = self._bytes([t.id for t in self.model.tokenize(shown)])
-                if len(known) < REMEMBERED:
-                    known[part] = ids
-            out.append(ids)
-        return b"".join(out)
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        shown = part.encode().decode("latin1").translate(self.letters)
+        ids = array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+        if len(self.known) < REMEMBERED:
+            self.known[part] = ids
+        return ids
 
     def __call__(self, text: str) -> bytes:
-        """Ids as little-endian unsigned numbers."""
+        """Ids as unsigned numbers."""
         if "<|" in text:
             return self._whole(text)
-        out, known = [], self.known
-        for word in text.replace("\n", " ").replace("\t", " ").split(" "):
-            ids = known.get(word)
-            if ids is None:
-                ids = self._word(word)
-                if len(known) < REMEMBERED:
-                    known[word] = ids
-            out.append(ids)
-        return b"".join(out)
+        if not _PLAIN(text):
+            words = text.replace("\n", " ").replace("\t", " ").split(" ")
+            return b"".join([self(w) if _PLAIN(w) else self._whole(w) for w in words])
+        parts, known = self.parts(text.lower()), self.known
+        try:
+            return b"".join([known[p] for p in parts])
+        except KeyError:
+            return b"".join([known[p] if p in known else self._part(p) for p in parts])
 
 
 def narrowest(tokenizer: str, end_id: int) -> str:
