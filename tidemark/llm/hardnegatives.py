@@ -106,7 +106,9 @@ class Wanted:
     high: np.ndarray
 
 
-def _walk(wanted: Wanted, best: Best, base: int, same: bool, slice_: tuple, slack: float) -> None:
+def _walk(
+    wanted: Wanted, best: Best, base: int, same: bool, slice_: tuple, slack: float, step: int, together: int
+) -> None:
     """All anchors of a cluster over the cluster's list of one slice."""
     ids, labels, vectors, norms = slice_
     cosines = np.divide(vectors @ wanted.centre, norms, out=np.ones(len(norms)), where=norms > 0)
@@ -117,16 +119,16 @@ def _walk(wanted: Wanted, best: Best, base: int, same: bool, slice_: tuple, slac
     groups = wanted.low.shape[1]
     first = base + np.arange(len(wanted.rows)) * groups
     kth = np.stack([best.least()[first + g] for g in range(groups)], axis=1)
-    for at in range(0, len(order), STEP):
+    for at in range(0, len(order), step):
         # An anchor goes on while a candidate with the next bound could still come in somewhere.
         needed = np.where(wanted.low <= wanted.high, np.maximum(wanted.low, kth).astype(float), np.inf).min(axis=1)
         reach = wanted.norms * bounds[at]
         going = np.nonzero(reach + np.abs(reach) * 1e-9 + slack >= needed)[0]
         if not len(going):
             return
-        some = order[at : at + STEP]
-        for start in range(0, len(going), TOGETHER):
-            walking = going[start : start + TOGETHER]
+        some = order[at : at + step]
+        for start in range(0, len(going), together):
+            walking = going[start : start + together]
             scores = (wanted.vectors[walking] @ vectors[some].T).astype(np.int64)
             equal = wanted.labels[walking][:, None] == labels[some][None, :]
             allowed = equal & (wanted.ids[walking][:, None] != ids[some][None, :]) if same else ~equal
@@ -156,7 +158,7 @@ def _search(
                 norms = np.sqrt((vectors.astype(float) ** 2).sum(1))
                 slice_ = (part.column("id").to_numpy(), part.column("label").to_numpy(), vectors, norms)
                 for w, base in zip(wanted, bases):
-                    _walk(w, best, int(base), same, slice_, 1e-6 * width)
+                    _walk(w, best, int(base), same, slice_, 1e-6 * width, STEP, TOGETHER)
         group, place = np.nonzero(best.found)
         anchors = np.concatenate([np.repeat(w.rows, w.low.shape[1]) for w in wanted])
         parts = np.concatenate([np.tile(np.arange(w.low.shape[1]), len(w.rows)) for w in wanted])

@@ -2,7 +2,7 @@
 
 Documents are dealt by ranges of their order, encoded, and written one after the other into files of
 bounded size. A file is an Arrow stream of record batches with two columns of fixed-size lists:
-``ids`` (uint16 if the vocabulary fits, else uint32) and ``mask`` (uint8, 1 where a token is). All
+``ids`` (uint16 if the vocabulary fits, else uint32) and ``mask`` (bits, true where a token is). All
 batches but the last hold the same number of sequences, so all take the same number of bytes: the
 place of any sequence follows from its number, and a memory map gives it without a copy. A second
 stream beside it lists the documents: doc_id, start (in the file) and n_tokens.
@@ -27,7 +27,7 @@ from tidemark.session import written
 
 END_ID = 1
 LENGTH = 1024
-# Sequences of a record batch: with 1,024 ids of 2 bytes and the mask, 0.8 MB.
+# Sequences of a record batch: with 1,024 ids of 2 bytes and the mask, 0.6 MB.
 BATCH_SEQUENCES = 256
 # A file ends with the document that takes it over so many tokens.
 FILE_TOKENS = 1 << 23
@@ -111,16 +111,17 @@ def _place(path: str) -> tuple[fs.FileSystem, str]:
 
 def sequence_schema(length: int, kind: str) -> pa.Schema:
     ids = pa.from_numpy_dtype(np.dtype(kind))
-    return pa.schema([("ids", pa.list_(ids, length)), ("mask", pa.list_(pa.uint8(), length))])
+    return pa.schema([("ids", pa.list_(ids, length)), ("mask", pa.list_(pa.bool_(), length))])
 
 
 class _Writer:
     """One file and its list of documents. Both get their names when they are complete."""
 
-    def __init__(self, folder: str, name: str, attempt: str, length: int, doc_id: pa.DataType, kind: str):
+    def __init__(self, folder: str, name: str, attempt: str, length: int, doc_id: pa.DataType, kind: str, at_once: int):
         self.system, place = _place(folder)
         self.system.create_dir(place, recursive=True)
         self.path, self.name, self.attempt = f"{place}/{name}", name, attempt
+        self.at_once = at_once
         self.length, self.kind, self.schema = length, np.dtype(kind), sequence_schema(length, kind)
         self.docs_schema = pa.schema([("doc_id", doc_id), ("start", pa.int64()), ("n_tokens", pa.int64())])
         self.out = self.system.open_output_stream(f"{self.path}.ids.{attempt}")
@@ -138,7 +139,7 @@ class _Writer:
         self.n_held += n
         self.tokens += n
         self.documents += 1
-        full = self.length * BATCH_SEQUENCES
+        full = self.length * self.at_once
         if self.n_held >= full:
             whole = np.frombuffer(b"".join(self.held), self.kind)
             self.n_held = len(whole) % full
@@ -149,7 +150,7 @@ class _Writer:
             self._list()
 
     def _batch(self, ids: np.ndarray) -> None:
-        mask = np.ones(len(ids), np.uint8)
+        mask = np.ones(len(ids), bool)
         missing = -len(ids) % self.length
         if missing:
             ids, mask = (np.concatenate([a, np.zeros(missing, a.dtype)]) for a in (ids, mask))
@@ -216,7 +217,8 @@ def write_sequences(
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
                 if writer is None:
                     name = f"part-{part:06d}-{len(done):05d}"
-                    writer = _Writer(out, name, attempt, length, batch.schema.field("doc_id").type, kind)
+                    id_type = batch.schema.field("doc_id").type
+                    writer = _Writer(out, name, attempt, length, id_type, kind, BATCH_SEQUENCES)
                 writer.add(doc_id, encoder(texts[i].as_py()) + end)
                 if writer.tokens >= file_tokens:
                     finish()
@@ -271,22 +273,23 @@ class SequenceFile:
             return None
         return pa.ipc.read_record_batch(message, self.schema), source.tell()
 
-    def _batch(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+    def _batch(self, number: int) -> tuple[np.ndarray, pa.BooleanArray]:
         if self._held[0] != number:
             batch, _ = self._batch_at(self._first + number * self._stride)
-            views = [c.flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length) for c in batch.columns]
-            self._held = number, tuple(views)
+            ids = batch.column("ids").flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length)
+            self._held = number, (ids, batch.column("mask").flatten())
         return self._held[1]
 
     def __len__(self) -> int:
         return self._size
 
-    def __getitem__(self, number: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids and the mask of one sequence."""
+    def __getitem__(self, number: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """The ids and the mask of one sequence: a view of the ids, a slice of the mask's bits."""
         if not 0 <= number < self._size:
             raise IndexError(number)
         ids, mask = self._batch(number // self._per_batch)
-        return ids[number % self._per_batch], mask[number % self._per_batch]
+        at = number % self._per_batch
+        return ids[at], mask.slice(at * self.length, self.length)
 
     def tokens(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The ids from one place of the file to another, batch by batch."""
