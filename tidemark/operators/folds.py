@@ -30,19 +30,13 @@ from tidemark.operators.stretches import IS_ROW, STRETCH, TARGET_ROWS, Split, ch
 Combine = Callable[[tuple, tuple], tuple]
 
 
-def _walk(df: DataFrame, groups: Sequence[str], values: Sequence[str], fn: Combine, each_row: bool) -> DataFrame:
-    """Combine consecutive rows of a group; give the last value, or the value at every row.
-
-    What runs in the tasks is all defined in here, so that workers need nothing installed.
-    """
-    names = df.columns
-    at_group = [names.index(c) for c in groups]
-    at_value = [names.index(c) for c in values]
+def group_begins(at_group: Sequence[int]) -> Callable[[pa.RecordBatch], np.ndarray]:
+    """A function that tells where groups begin in sorted rows, by the columns at these places."""
 
     def starts(batch: pa.RecordBatch) -> np.ndarray:
         """Where a group begins. Missing equals missing, and NaN equals NaN."""
         changed = np.zeros(batch.num_rows, dtype=bool)
-        changed[0] = True
+        changed[:1] = True
         for i in at_group:
             left, right = batch.column(i)[:-1], batch.column(i)[1:]
             differ = pc.fill_null(pc.not_equal(left, right), False)
@@ -53,6 +47,20 @@ def _walk(df: DataFrame, groups: Sequence[str], values: Sequence[str], fn: Combi
             changed[1:] |= differ.to_numpy(zero_copy_only=False)
         return np.flatnonzero(changed)
 
+    return starts
+
+
+def _walk(df: DataFrame, groups: Sequence[str], values: Sequence[str], fn: Combine, each_row: bool) -> DataFrame:
+    """Combine consecutive rows of a group; give the last value, or the value at every row.
+
+    What runs in the tasks is all defined in here, so that workers need nothing installed.
+    """
+    names = df.columns
+    at_group = [names.index(c) for c in groups]
+    at_value = [names.index(c) for c in values]
+
+    starts = group_begins(at_group)
+
     def with_values(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
         arrays = list(batch.columns)
         for i, column in zip(at_value, zip(*rows)):
@@ -94,7 +102,9 @@ def _walk(df: DataFrame, groups: Sequence[str], values: Sequence[str], fn: Combi
 
 def _gather(df: DataFrame, groups: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Rows of a group in one task and in order, with the columns a walk over groups needs."""
-    return df.repartition(*groups).sortWithinPartitions(*groups, *order).select(*groups, *values)
+    # Without groups there is one row per stretch or task left by now.
+    gathered = df.repartition(*groups) if groups else df.repartition(1)
+    return gathered.sortWithinPartitions(*groups, *order).select(*groups, *values)
 
 
 def _place(order: Sequence[str]) -> list[Column]:

@@ -89,6 +89,11 @@ WITH {_traced(WIDE_BOUND)}
 SELECT event_type, window_start, CAST(sum(cents) AS BIGINT) AS cents, arg_min(t, (arrival, event_id)) AS t
 FROM split WHERE NOT is_late GROUP BY 1, 2""",
     "tumble_udaf_reduce": _FIRST_ARRIVED,
+    "tumble_udaf_combined": f"""
+WITH {_ARRIVALS}
+SELECT event_type, (t // {HOUR}) * {HOUR} AS window_start, CAST(sum(cents) AS BIGINT) AS cents,
+       arg_min(t, (arrival, event_id)) AS t, min(cents) AS least, max(cents) AS most
+FROM a GROUP BY 1, 2""",
     "tumble_count_avg": f"""
 SELECT event_type, (epoch_us(ts) // {HOUR}) * {HOUR} AS window_start, count(*) AS n,
        CAST(sum({_MONEY}) // count(*) AS BIGINT) AS mean

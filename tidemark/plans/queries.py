@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import cents, is_even, square, window_start
 from tidemark.operators import keyed, transforms, watermark, windows
+from tidemark.operators.combine import tumbling_combined
 from tidemark.operators.late import (
     late_correction,
     late_report,
@@ -206,6 +207,21 @@ def tumble_udaf_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.tumbling_fold(rows, ["event_type"], "t", ORDER, HOUR, ["cents", "t"], add_cents, associative=True)
 
 
+def tumble_udaf_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both reduces by user functions, folded before the shuffle: one in order, one in any order."""
+
+    def add_cents(first: tuple, second: tuple) -> tuple:
+        return (first[0] + second[0], first[1])
+
+    def least(a: tuple, b: tuple) -> tuple:
+        return (min(a[0], b[0]), max(a[1], b[1]))
+
+    rows = _arrivals(spark, sf_dir).withColumns({"least": F.col("cents"), "most": F.col("cents")})
+    ordered = tumbling_combined(rows, ["event_type"], "t", ORDER, HOUR, ["cents", "t"], add_cents)
+    either = tumbling_combined(rows, ["event_type"], "t", ORDER, HOUR, ["least", "most"], least, commutative=True)
+    return ordered.join(either, ["event_type", "window_start"])
+
+
 def tumble_count_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.tumbling_mean(_timed(_events(spark, sf_dir)), ["event_type"], "t", HOUR, "cents")
 
@@ -332,6 +348,7 @@ QUERIES: dict[str, Query] = {
     "tumble_event_sum": tumble_event_sum,
     "tumble_event_reduce": tumble_event_reduce,
     "tumble_udaf_reduce": tumble_udaf_reduce,
+    "tumble_udaf_combined": tumble_udaf_combined,
     "tumble_count_avg": tumble_count_avg,
     "count_window_sum": count_window_sum,
     "timestamp_assign": timestamp_assign,
