@@ -2,6 +2,7 @@ import random
 import time
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests import brute
@@ -251,16 +252,16 @@ def test_windows_after_a_failure_at_any_step(spark, to_files, tmp_path, sum_and_
     failing = {"on": True}
 
     def fail_before(write):
-        def wrapped(df_or_spark, where, *args):
+        def wrapped(df_or_spark, where, *args, **more):
             name = args[0] if isinstance(args[0], str) else "commit"
             at = args[1] if isinstance(args[0], str) else args[0]
             if failing["on"] and name == step and at == 1:
                 raise RuntimeError("lost")
-            return write(df_or_spark, where, *args)
+            return write(df_or_spark, where, *args, **more)
 
         return wrapped
 
-    for name in ("write_batch", "write_state", "commit"):
+    for name in ("write_batch", "write_keyed", "commit"):
         monkeypatch.setattr(f"tidemark.streaming.late.{name}", fail_before(getattr(state, name)))
 
     def run(rows, batch):
@@ -279,6 +280,79 @@ def test_windows_after_a_failure_at_any_step(spark, to_files, tmp_path, sum_and_
     assert got == main
 
 
+def _written_rows(spark, path):
+    try:
+        return spark.read.parquet(path).count()
+    except AnalysisException:
+        return 0
+
+
+@pytest.mark.parametrize("kind", ["sum_and_first", "sum_and_first_fold"])
+def test_a_batch_writes_only_the_windows_it_touches_or_closes(spark, tmp_path, monkeypatch, request, kind):
+    """40 keys stay open in one far window; each batch has one row of another key."""
+    monkeypatch.setattr(state, "SNAPSHOT_EVERY", 3)
+    rows = [(f"far{i}", 1, i) for i in range(40)]
+    job = window_job(spark, request.getfixturevalue(kind), delay=200_000)
+    root = str(tmp_path / "run")
+    each = job.batches(root)
+    each(from_rows(spark, rows, TRIPLES), 0)
+    for batch in range(1, 5):
+        each(from_rows(spark, [("near", 1, 3000 * batch)], TRIPLES).withColumn("seq", F.lit(100 + batch).cast("long")), batch)
+        opened = _written_rows(spark, f"{root}/open/part={batch % 6}")
+        assert opened == (1 if batch != 3 else 43)
+        assert _written_rows(spark, f"{root}/main/batch={batch}") == 0
+    # The watermark goes to 8,000: the far windows and the near ones at 2,000 and 6,000 are closed.
+    each(from_rows(spark, [("near", 1, 208_000)], TRIPLES).withColumn("seq", F.lit(200).cast("long")), 5)
+    assert _written_rows(spark, f"{root}/main/batch=5") == 40 + 2
+    assert _written_rows(spark, f"{root}/open/part=5") == 1
+    assert job.still_open(spark, root).count() == 3
+    assert job.main(spark, root).agg(F.sum("value")).first()[0] == 45
+
+
+def test_batches_leave_no_folders_behind(spark, tmp_path, sum_and_first, monkeypatch):
+    monkeypatch.setattr("tidemark.session.shared_dir", lambda spark: str(tmp_path / "shared"))
+    job, root = window_job(spark, sum_and_first), str(tmp_path / "run")
+    each = job.batches(root)
+    counts = []
+    for batch in range(6):
+        rows = [("k", 1, 1000 * batch + i) for i in range(4)]
+        each(from_rows(spark, rows, TRIPLES).withColumn("seq", F.col("seq") + batch * 10), batch)
+        counts.append(len([p for p in (tmp_path / "shared").rglob("*") if p.is_dir()]))
+    assert len(set(counts)) == 1
+
+
+@pytest.mark.parametrize("batches", [1, 3, 8])
+def test_a_fold_that_is_not_associative(spark, to_files, tmp_path, batches):
+    """Differences in arrival order, whatever the batches: a - b - c is not a - (b - c)."""
+    rows = shuffled_rows(60, seed=4)
+    late, _, _ = brute.late_windows(rows, SIZE, DELAY)
+    expected = {}
+    for at, (key, value, ts) in enumerate(rows):
+        if at not in late:
+            group = key, ts // SIZE * SIZE
+            expected[group] = expected[group] - value if group in expected else value
+    job = window_job(spark, Fold(("value",), lambda a, b: (a[0] - b[0],), False))
+    root = str(tmp_path / "run")
+    each = job.batches(root)
+    size = -(-len(rows) // batches)
+    df = from_rows(spark, rows, TRIPLES).repartition(3)
+    for batch in range(batches):
+        each(df.where((F.col("seq") >= batch * size) & (F.col("seq") < (batch + 1) * size)), batch)
+    got = {(r["key"], r["window_start"]): r["value"] for r in job.main(spark, root).collect()}
+    assert got == expected
+    assert sorted(r["seq"] for r in job.late(spark, root).collect()) == late
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 3])
+def test_running_fold_that_is_not_associative(spark, to_files, tmp_path, files_per_batch):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", None, "b"]), rng.randrange(50)) for _ in range(40)]
+    stream = stream_files(spark, to_files(from_rows(spark, rows, PAIRS), "seq", 4), KEYED, files_per_batch)
+    fold = Fold(("value",), lambda a, b: (a[0] - b[0],), False)
+    out = running_stream(stream, ["key"], ["seq"], fold, "minus", str(tmp_path / "run"), timeout=120)
+    assert [r["value"] for r in out.orderBy("seq").collect()] == brute.running(rows, lambda a, b: a - b)
+
+
 def test_continuous_late_windows(spark, to_files, tmp_path, sum_and_first):
     folder = to_files(from_rows(spark, WITH_LATE, TRIPLES), "seq", 2)
     job, root = window_job(spark, sum_and_first), str(tmp_path / "run")

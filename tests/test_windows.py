@@ -31,7 +31,7 @@ from tidemark.operators.late import (
     window_emission,
     window_facts,
 )
-from tidemark.operators.watermark import watermark_trace, with_event_time
+from tidemark.operators.watermark import watermark_trace, watermark_trace_inputs, with_event_time
 from tidemark.sources.tables import from_rows
 
 
@@ -249,3 +249,43 @@ def test_empty_input(spark):
     assert split.count() == 0 and late_rows(split).count() == 0
     assert watermark_trace(df, "ts_ms", ["seq"], DELAY).count() == 0
     assert window_emission(window_facts(df, "ts_ms", ["seq"], SIZE, DELAY), ["seq"]).count() == 0
+
+
+def _input_watermarks(rows, inputs, delay, idle):
+    """Row by row: (input, arrival, ts) in order of arrival."""
+    seen, came, kept, out = {}, {}, None, []
+    for source, at, ts in rows:
+        if out:
+            counting = [i for i in inputs if idle is None or at - came.get(i, rows[0][1]) <= idle]
+            if counting and all(i in seen for i in counting):
+                least = min(seen[i] for i in counting)
+                kept = least if kept is None else max(kept, least)
+        out.append(None if kept is None else kept - delay)
+        if source is not None:
+            seen[source] = max(seen.get(source, ts), ts)
+            came[source] = at
+    return out
+
+
+@pytest.mark.parametrize("idle", [None, 7, 30])
+def test_the_slowest_input_counts_until_it_is_idle(spark, idle):
+    rng = random.Random(6)
+    rows, at = [], 0
+    for i in range(160):
+        at += rng.randrange(4)
+        source = rng.choice(["a", "b"] if 50 < i < 110 else ["a", "b", "c", None])
+        rows.append((source, at, max(0, at * 10 - rng.randrange(60))))
+    df = from_rows(spark, rows, "source STRING, arrived BIGINT, ts BIGINT").repartition(4)
+    for target_rows, inputs in ((1_000_000, None), (10, ["a", "b", "c"])):
+        got = watermark_trace_inputs(df, "ts", ["arrived", "seq"], "source", 5, idle, inputs, target_rows)
+        assert [r["watermark"] for r in got.orderBy("seq").collect()] == _input_watermarks(rows, "abc", 5, idle)
+    # An input that never sends holds the watermark, or is released.
+    got = watermark_trace_inputs(df, "ts", ["arrived", "seq"], "source", 5, idle, ["a", "b", "c", "d"])
+    assert [r["watermark"] for r in got.orderBy("seq").collect()] == _input_watermarks(rows, "abcd", 5, idle)
+
+
+def test_watermark_without_inputs_or_rows(spark):
+    df = from_rows(spark, [(None, 1, 1)], "source STRING, arrived BIGINT, ts BIGINT")
+    assert [r["watermark"] for r in watermark_trace_inputs(df, "ts", ["arrived"], "source", 5).collect()] == [None]
+    none = watermark_trace_inputs(df.where("seq > 5"), "ts", ["arrived"], "source", 5, inputs=["a"])
+    assert none.count() == 0

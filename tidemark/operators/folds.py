@@ -28,6 +28,8 @@ from tidemark.operators.measures import carried_by_size
 from tidemark.operators.stretches import IS_ROW, STRETCH, TARGET_ROWS, Split, check_order, split_hot_keys, uncut
 
 Combine = Callable[[tuple, tuple], tuple]
+# Order columns of rows that stand for themselves.
+PLACE = "_place_"
 
 
 def group_begins(at_group: Sequence[int]) -> Callable[[pa.RecordBatch], np.ndarray]:
@@ -104,7 +106,8 @@ def _gather(df: DataFrame, groups: Sequence[str], order: Sequence[str], values:
     """Rows of a group in one task and in order, with the columns a walk over groups needs."""
     # Without groups there is one row per stretch or task left by now.
     gathered = df.repartition(*groups) if groups else df.repartition(1)
-    return gathered.sortWithinPartitions(*groups, *order).select(*groups, *values)
+    by = [*groups, *order]
+    return (gathered.sortWithinPartitions(*by) if by else gathered).select(*groups, *values)
 
 
 def _place(order: Sequence[str]) -> list[Column]:
@@ -178,19 +181,18 @@ def running_groups(
 
 @dataclass(frozen=True)
 class Fold:
-    """An associative function over named values, with the same methods as ``Measures``.
+    """A function over named values, with the same methods as ``Measures``.
 
-    Only for functions that are: parts of a group are merged, as those of earlier batches.
+    Parts of a group are one row with its values combined. If the function is not associative, the
+    rows of a batch cannot be combined by themselves: their parts are the rows, which are walked
+    after the value of the batches before. As rows arrive in the order of the batches, that value
+    is all that has to be kept.
     """
 
     values: tuple[str, ...]
     fn: Combine
     associative: bool
 
-    def __post_init__(self):
-        if not self.associative:
-            raise ValueError("parts of a group can only be merged by an associative function")
-
     @property
     def part_names(self) -> list[str]:
         return list(self.values)
@@ -198,16 +200,27 @@ class Fold:
     def parts(
         self, rows: DataFrame, groups: Sequence[str], order: Sequence[str], target_rows: int = TARGET_ROWS
     ) -> DataFrame:
+        if not self.associative:
+            check_order(rows, order)
+            return rows.select(*groups, *[F.col(c).alias(f"{PLACE}{i}") for i, c in enumerate(order)], *self.values)
         return reduce_groups(rows, groups, order, self.values, self.fn, target_rows, associative=True)
 
+    def groups(self, parts: DataFrame, groups: Sequence[str]) -> DataFrame:
+        """The groups there are parts of, each once."""
+        return parts if self.associative else parts.select(*groups).distinct()
+
     def merge(
         self, earlier: DataFrame | None, later: DataFrame, groups: Sequence[str], target_rows: int = TARGET_ROWS
     ) -> DataFrame:
-        """Two rows per group at most, so nothing can be hot."""
-        if earlier is None:
+        """If associative, two rows per group at most, so nothing can be hot."""
+        places = [c for c in later.columns if c.startswith(PLACE)]
+        if earlier is None and not places:
             return later
-        both = later.withColumn(IS_ROW, F.lit(1)).unionByName(earlier.withColumn(IS_ROW, F.lit(0)))
-        return _walk(_gather(both, groups, [IS_ROW], self.values), groups, self.values, self.fn, each_row=False)
+        both = later.withColumn(IS_ROW, F.lit(1))
+        if earlier is not None:
+            both = both.unionByName(earlier.withColumn(IS_ROW, F.lit(0)), allowMissingColumns=True)
+        gathered = _gather(both, groups, [IS_ROW, *places], self.values)
+        return _walk(gathered, groups, self.values, self.fn, each_row=False)
 
     def result(self, parts: DataFrame, groups: Sequence[str]) -> DataFrame:
         return parts.select(*groups, *self.values)
@@ -220,7 +233,9 @@ class Fold:
         carried: DataFrame | None = None,
         target_rows: int = TARGET_ROWS,
     ) -> DataFrame:
-        return running_groups(rows, keys, order, self.values, self.fn, carried, target_rows, associative=True)
+        return running_groups(
+            rows, keys, order, self.values, self.fn, carried, target_rows, associative=self.associative
+        )
 
     def running_schema(self, rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> StructType:
         return rows.select(*dict.fromkeys([*keys, *order, *self.values])).schema

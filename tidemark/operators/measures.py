@@ -84,6 +84,10 @@ class Measures:
         started = rows.select(*dict.fromkeys([*groups, *order]), *self.started())
         return started.groupBy(*groups).agg(*self.merged(order_key(order)))
 
+    def groups(self, parts: DataFrame, groups: Sequence[str]) -> DataFrame:
+        """The groups there are parts of, each once."""
+        return parts
+
     def merge(
         self, earlier: DataFrame | None, later: DataFrame, groups: Sequence[str], target_rows: int = TARGET_ROWS
     ) -> DataFrame:

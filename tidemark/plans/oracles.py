@@ -9,6 +9,7 @@ from __future__ import annotations
 HOUR = 3_600_000_000
 LATE_BOUND = 900_000_000
 WIDE_BOUND = 7_200_000_000
+IDLE = 1_800_000_000
 
 _MONEY = "CAST(round(value * 100) AS BIGINT)"
 
@@ -108,6 +109,25 @@ SELECT user_id, window_no, CAST(sum(cents) AS BIGINT) AS cents, count(*) = 10 AS
 FROM numbered GROUP BY 1, 2""",
     "timestamp_assign": "SELECT event_id, epoch_us(ts) // 1000 AS t_ms FROM events",
     "watermark_trace": f"WITH {_TRACED} SELECT event_id, watermark FROM traced",
+    "watermark_trace_inputs": f"""
+WITH {_ARRIVALS}, inputs AS (
+    SELECT DISTINCT event_type AS input FROM a
+), each AS (
+    SELECT event_id, arrival, input,
+           max(CASE WHEN event_type = input THEN t END) OVER met AS seen,
+           max(CASE WHEN event_type = input THEN arrival END) OVER met AS came, min(arrival) OVER met AS begun
+    FROM a CROSS JOIN inputs
+    WINDOW met AS (PARTITION BY input ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), least AS (
+    SELECT event_id, arrival,
+           CASE WHEN count(seen) = count(*) THEN min(seen) END AS all_least,
+           CASE WHEN count(*) FILTER (WHERE counts AND seen IS NULL) = 0 THEN min(seen) FILTER (WHERE counts) END AS least
+    FROM (SELECT *, coalesce(arrival - coalesce(came, begun) <= {IDLE}, true) AS counts FROM each)
+    GROUP BY event_id, arrival
+)
+SELECT event_id, max(least) OVER so_far - {LATE_BOUND} AS watermark,
+       max(all_least) OVER so_far - {LATE_BOUND} AS without_release
+FROM least WINDOW so_far AS (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "no_watermark_open_windows": f"""
 SELECT event_type, (epoch_us(ts) // {HOUR}) * {HOUR} AS window_start, count(*) AS n, false AS emitted
 FROM events GROUP BY 1, 2""",
@@ -131,6 +151,12 @@ WITH {_TRACED}
 SELECT CASE WHEN is_late THEN 'late' ELSE 'main' END AS sink, event_type, window_start, count(*) AS n,
        CAST(sum(cents) AS BIGINT) AS cents
 FROM split GROUP BY 1, 2, 3""",
+    "late_windows_fold_stream": f"""
+WITH {_TRACED}
+SELECT event_type, window_start,
+       CAST(2 * arg_min(cents, (arrival, event_id)) - sum(cents) AS BIGINT) AS cents,
+       arg_min(t, (arrival, event_id)) AS t
+FROM split WHERE NOT is_late GROUP BY 1, 2""",
     "late_report": f"""
 WITH {_TRACED}
 SELECT event_type, count(*) AS n_late, CAST(sum(cents) AS BIGINT) AS late_cents

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import cents, is_even, square, window_start
 from tidemark.operators import keyed, transforms, watermark, windows
 from tidemark.operators.combine import tumbling_combined
+from tidemark.operators.folds import Fold
 from tidemark.operators.late import (
     late_correction,
     late_report,
@@ -33,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 HOUR = 3_600_000_000
 LATE_BOUND = 900_000_000
 WIDE_BOUND = 7_200_000_000
+IDLE = 1_800_000_000
 COUNT_WINDOW = 10
 ORDER = ["arrival", "event_id"]
 
@@ -245,6 +247,15 @@ def watermark_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return watermark.watermark_trace(rows, "t", ORDER, LATE_BOUND).select("event_id", "watermark")
 
 
+def watermark_trace_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event type is an input of its own, released after half an hour without a row."""
+    rows = _arrivals(spark, sf_dir).select("event_id", "event_type", "t", "arrival")
+    traced = watermark.watermark_trace_inputs(rows, "t", ORDER, "event_type", LATE_BOUND, idle=IDLE)
+    plain = watermark.watermark_trace_inputs(rows, "t", ORDER, "event_type", LATE_BOUND)
+    held = plain.select("event_id", F.col("watermark").alias("without_release"))
+    return traced.select("event_id", "watermark").join(held, "event_id")
+
+
 def no_watermark_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_windows(_arrivals(spark, sf_dir), ["event_type"], "t", HOUR, n=F.count("*"))
 
@@ -261,6 +272,20 @@ def late_main_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return on_time_windows(_split(spark, sf_dir), ["event_type"], n=F.count("*"), cents=F.sum("cents"))
 
 
+def late_windows_fold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reduce on a stream that is not associative: the first value less all later ones."""
+
+    def minus(first: tuple, second: tuple) -> tuple:
+        return (first[0] - second[0], first[1])
+
+    rows = _arrivals(spark, sf_dir)
+    root = scratch_dir(spark, "late_windows_fold_stream")
+    job = LateWindows(rows.schema, ["event_type"], "t", ORDER, HOUR, LATE_BOUND, Fold(("cents", "t"), minus, False))
+    for _ in append_in_turns(rows, f"{root}/in", "arrival"):
+        job.run(stream_files(spark, f"{root}/in", rows.schema), "late_windows_fold_stream", root)
+    return job.main(spark, root).select("event_type", "window_start", "cents", "t")
+
+
 def _late_windows(rows: DataFrame, name: str, root: str) -> LateWindows:
     """Run the rows in several turns; the job reads its outputs below ``root``."""
     sums = Measures({"n": Measure("count", F.lit(1)), "cents": Measure("sum", F.col("cents"))})
@@ -353,11 +378,13 @@ QUERIES: dict[str, Query] = {
     "count_window_sum": count_window_sum,
     "timestamp_assign": timestamp_assign,
     "watermark_trace": watermark_trace,
+    "watermark_trace_inputs": watermark_trace_inputs,
     "no_watermark_open_windows": no_watermark_open_windows,
     "window_emission": window_emission_query,
     "late_side_output": late_side_output,
     "late_main_output": late_main_output,
     "late_two_sinks": late_two_sinks,
+    "late_windows_fold_stream": late_windows_fold_stream,
     "late_report": late_report_query,
     "late_correction": late_correction_query,
     "late_correction_stream": late_correction_stream,

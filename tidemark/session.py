@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,16 +53,44 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def _jvm_path(spark: SparkSession, path: str):
+    """A path and the file system it is on."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for one run, below the shared one. It is removed when the driver ends."""
     path = f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(jvm_path)
+    jvm_path, system = _jvm_path(spark, path)
+    system.deleteOnExit(jvm_path)
     return path
 
 
+# The folder that tables settled inside ``passing`` go to.
+_PASSING: ContextVar[str | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables settled in here are removed at the end, as a batch of a stream is done with them by then."""
+    path = f"{shared_dir(spark)}/tidemark/passing-{uuid.uuid4().hex}"
+    token = _PASSING.set(path)
+    try:
+        yield
+    finally:
+        _PASSING.reset(token)
+        jvm_path, system = _jvm_path(spark, path)
+        system.delete(jvm_path, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute a small derived table once and read it from the shared folder from then on."""
+    folder = _PASSING.get()
+    if folder:
+        path = f"{folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from tidemark.operators.folds import Fold
 from tidemark.operators.measures import Measures
 from tidemark.operators.stretches import TARGET_ROWS
+from tidemark.session import passing
 from tidemark.streaming.runner import finish, start_batches
 from tidemark.streaming.state import commit, read_all_keyed, read_batches, read_keyed, write_batch, write_keyed
 
@@ -53,11 +54,15 @@ def running_batches(
         spark = rows.sparkSession
         rows, parts = rows.persist(), None
         try:
-            parts = reduce.parts(rows, keys, order, target_rows).persist()
-            carried = read_keyed(spark, root, "totals", batch - 1, parts.schema, keys, parts) if batch > 0 else None
-            write_batch(reduce.running(rows, keys, order, carried, target_rows), root, "running", batch)
-            write_keyed(reduce.merge(carried, parts, keys), root, "totals", batch, keys)
-            commit(spark, root, batch)
+            with passing(spark):
+                parts = reduce.parts(rows, keys, order, target_rows).persist()
+                carried, touched = None, reduce.groups(parts, keys)
+                if batch > 0:
+                    schema = parts.select(*keys, *reduce.part_names).schema
+                    carried = read_keyed(spark, root, "totals", batch - 1, schema, keys, touched)
+                write_batch(reduce.running(rows, keys, order, carried, target_rows), root, "running", batch)
+                write_keyed(reduce.merge(carried, parts, keys), root, "totals", batch, keys)
+                commit(spark, root, batch)
         finally:
             rows.unpersist()
             if parts is not None:

@@ -2,7 +2,9 @@
 
 Built-in streaming aggregates drop late rows silently and decide per batch. Here each batch is
 split row by row, going on from the largest event time of the batches before, so the result does
-not depend on how the input is cut into batches. Open windows are kept as partial aggregates.
+not depend on how the input is cut into batches. Open windows are kept as partial aggregates, and
+as changes: a batch reads and writes the windows its rows are in and those it closes. That a window
+was closed needs no mark of its own, as the largest event time of each batch is kept with it.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
@@ -20,15 +22,17 @@ from tidemark.operators.folds import Fold
 from tidemark.operators.late import late_rows, late_split
 from tidemark.operators.measures import Measures
 from tidemark.operators.stretches import TARGET_ROWS
+from tidemark.session import passing
 from tidemark.streaming.runner import ALL_THERE_IS, finish, start_batches
 from tidemark.streaming.state import (
     commit,
     last_commit,
+    read_all_keyed,
     read_batches,
     read_commit,
-    read_state,
+    read_keyed,
     write_batch,
-    write_state,
+    write_keyed,
 )
 
 MAIN, LATE, OPEN = "main", "late", "open"
@@ -57,6 +61,13 @@ class LateWindows:
             return rows.select(*self.groups, *self.reduce.values).schema
         return self.reduce.parts(rows, self.groups, self.order).schema
 
+    def _closed(self, max_ts: int | None) -> Column:
+        """Whether a window is closed once ``max_ts`` was seen."""
+        if max_ts is None:
+            return F.lit(False)
+        # A comparison of the bare column, which a scan of sorted files can use to skip them.
+        return F.coalesce(F.col("window_start") <= F.lit(max_ts - self.delay - self.size).cast("long"), F.lit(False))
+
     def batches(self, root: str, target_rows: int = TARGET_ROWS) -> Callable[[DataFrame, int], None]:
         """The batch function. A batch may be run again after a failure at any point."""
 
@@ -64,30 +75,37 @@ class LateWindows:
             spark = rows.sparkSession
             before = read_commit(spark, root, batch - 1)["max_ts"] if batch > 0 else None
             rows = rows.persist()
-            held = None
+            parts = held = None
             try:
                 split = late_split(
                     rows, self.ts, self.order, self.size, self.delay, seen=before, target_rows=target_rows
                 )
                 write_batch(late_rows(split), root, LATE, batch)
                 on_time = split.where(~F.col("is_late"))
-                parts = self.reduce.parts(on_time, self.groups, self.order, target_rows)
-                kept = read_state(spark, root, OPEN, batch - 1, parts.schema) if batch > 0 else None
-                held = self.reduce.merge(kept, parts, self.groups).persist()
-
+                parts = self.reduce.parts(on_time, self.groups, self.order, target_rows).persist()
                 newest = rows.agg(F.max(self.ts)).first()[0]
                 newest = max((x for x in (before, newest) if x is not None), default=None)
-                ends = F.col("window_start") + F.lit(self.size).cast("long")
-                closed = F.coalesce(ends <= F.lit(newest).cast("long") - F.lit(self.delay), F.lit(False))
+                closed, open_before, open_now = self._closed(newest), ~self._closed(before), ~self._closed(newest)
+                kept = None
+                if batch > 0:
+                    schema, touched = self._parts_schema(spark), self.reduce.groups(parts, self.groups)
+                    kept = read_keyed(
+                        spark, root, OPEN, batch - 1, schema, self.groups, touched, alive=open_before, also=closed
+                    )
+                held = self.reduce.merge(kept, parts, self.groups).persist()
                 write_batch(held.where(closed), root, MAIN, batch)
-                write_state(held.where(~closed), root, OPEN, batch)
+                write_keyed(held.where(~closed), root, OPEN, batch, self.groups, alive=open_now, by="window_start")
                 commit(spark, root, batch, newest)
             finally:
-                rows.unpersist()
-                if held is not None:
-                    held.unpersist()
+                for table in (rows, parts, held):
+                    if table is not None:
+                        table.unpersist()
+
+        def alone(rows: DataFrame, batch: int) -> None:
+            with passing(rows.sparkSession):
+                each(rows, batch)
 
-        return each
+        return alone
 
     def start(
         self,
@@ -124,8 +142,8 @@ class LateWindows:
     def still_open(self, spark: SparkSession, root: str) -> DataFrame:
         """Windows that no watermark has closed yet."""
         last = last_commit(spark, root)
-        schema = self._parts_schema(spark)
-        held = spark.createDataFrame([], schema) if last is None else read_state(spark, root, OPEN, last, schema)
+        newest = None if last is None else read_commit(spark, root, last)["max_ts"]
+        held = read_all_keyed(spark, root, OPEN, self._parts_schema(spark), self.groups, alive=~self._closed(newest))
         return self.reduce.result(held, self.groups)
 
     def main(self, spark: SparkSession, root: str, end_of_input: str = "flush") -> DataFrame:

@@ -5,9 +5,9 @@ run again after a failure gives the same result. Folders are used in turns, so s
 longer needed is overwritten. ``commits/batch=N`` is written last and marks the batch as done;
 readers take only batches up to the newest mark.
 
-State that is small or changes as a whole is one table per batch (``write_state``). State with a
-row per key is kept as changes: a batch writes the keys it touched, and now and then all of them
-(``write_keyed``).
+State has a row per key and is kept as changes: a batch writes the keys it touched, and now and
+then all of them. Keys that have come to an end are told by a condition on their columns, which
+readers and full writes apply; nothing is written for them.
 """
 
 from __future__ import annotations
@@ -16,10 +16,11 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tidemark.operators.sizes import fits_broadcast
 from tidemark.operators.stretches import same_keys
 
 # Batches from one full write of keyed state to the next.
@@ -36,16 +37,6 @@ def write_batch(df: DataFrame, root: str, table: str, batch: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/{table}/batch={batch}")
 
 
-def write_state(df: DataFrame, root: str, table: str, batch: int) -> None:
-    """The state after a batch; takes the place of the one two batches ago."""
-    df.write.mode("overwrite").parquet(f"{root}/{table}/version={batch % 2}")
-
-
-def read_state(spark: SparkSession, root: str, table: str, batch: int, schema: StructType) -> DataFrame:
-    """The state after ``batch``."""
-    return spark.read.schema(schema).parquet(f"{root}/{table}/version={batch % 2}")
-
-
 def _keyed_path(root: str, table: str, batch: int) -> str:
     return f"{root}/{table}/part={batch % (2 * SNAPSHOT_EVERY)}"
 
@@ -66,32 +57,63 @@ def _newest(versions: DataFrame, keys: Sequence[str], schema: StructType) -> Dat
 
 
 def read_keyed(
-    spark: SparkSession, root: str, table: str, batch: int, schema: StructType, keys: Sequence[str], touched: DataFrame
+    spark: SparkSession,
+    root: str,
+    table: str,
+    batch: int,
+    schema: StructType,
+    keys: Sequence[str],
+    touched: DataFrame,
+    alive: Column | None = None,
+    also: Column | None = None,
 ) -> DataFrame:
-    """The state after ``batch`` of the keys in ``touched``, which has one row per key.
+    """The state after ``batch`` of the keys in ``touched``, which has one row per key, and of those ``also``.
 
-    The rest of the state is only scanned.
+    The rest of the state is only scanned, without what is not ``alive``.
     """
-    few = touched.count() <= BROADCAST_KEYS
     wanted = touched.select(*[F.col(k).alias(f"_wanted_{k}") for k in keys])
+    wanted = F.broadcast(wanted) if fits_broadcast(wanted, BROADCAST_KEYS) else wanted
     held = _versions(spark, root, table, batch, schema)
-    held = held.join(F.broadcast(wanted) if few else wanted, same_keys(keys, "_wanted_"), "left_semi")
-    return _newest(held, keys, schema)
+    held = held if alive is None else held.where(alive)
+    same = same_keys(keys, "_wanted_")
+    if also is None:
+        return _newest(held.join(wanted, same, "left_semi"), keys, schema)
+    rest = held.where(~also).join(wanted, same, "left_semi")
+    return _newest(held.where(also).unionByName(rest), keys, schema)
 
 
-def read_all_keyed(spark: SparkSession, root: str, table: str, schema: StructType, keys: Sequence[str]) -> DataFrame:
+def read_all_keyed(
+    spark: SparkSession, root: str, table: str, schema: StructType, keys: Sequence[str], alive: Column | None = None
+) -> DataFrame:
     """The state of all keys after the newest finished batch."""
     last = last_commit(spark, root)
     if last is None:
         return spark.createDataFrame([], schema)
-    return _newest(_versions(spark, root, table, last, schema), keys, schema)
-
-
-def write_keyed(changed: DataFrame, root: str, table: str, batch: int, keys: Sequence[str]) -> None:
-    """Write the state of the keys a batch changed, or of all keys if a full write is due."""
+    held = _versions(spark, root, table, last, schema)
+    return _newest(held if alive is None else held.where(alive), keys, schema)
+
+
+def write_keyed(
+    changed: DataFrame,
+    root: str,
+    table: str,
+    batch: int,
+    keys: Sequence[str],
+    alive: Column | None = None,
+    by: str | None = None,
+) -> None:
+    """Write the state of the keys a batch changed, or of all keys if a full write is due.
+
+    A full write leaves out what is not ``alive``. The files are laid out by ranges of the column
+    ``by``, so that conditions on it skip most of them.
+    """
     if batch > 0 and batch % SNAPSHOT_EVERY == 0:
         held = _versions(changed.sparkSession, root, table, batch - 1, changed.schema)
+        held = held if alive is None else held.where(alive)
         changed = _newest(held.unionByName(changed.withColumn(VERSION, F.lit(batch))), keys, changed.schema)
+        changed = changed if alive is None else changed.where(alive)
+    if by is not None:
+        changed = changed.repartitionByRange(by).sortWithinPartitions(by)
     changed.write.mode("overwrite").parquet(_keyed_path(root, table, batch))
 
 
