@@ -70,6 +70,18 @@ def _edit_distance_anywhere(pattern, text):
     return min(row)
 
 
+@pytest.mark.parametrize("kind", ["int", "smallint", "string", "long"])
+def test_item_ids_of_any_type(spark, kind):
+    text = _prose(9, 60)
+    docs = spark.createDataFrame([(1, "x " + text + " y"), (None, text)], "doc_id int, text string")
+    items = spark.createDataFrame([(5, text), (None, text)], "item_id int, text string")
+    items = items.select(F.col("item_id").cast(kind), "text")
+    got = decontaminate.contaminated(docs, items)
+    five = "5" if kind == "string" else 5
+    found = sorted(((r["doc_id"], r["item_id"]) for r in got.collect()), key=str)
+    assert found == sorted([(1, five), (1, None), (None, five), (None, None)], key=str)
+
+
 def test_bit_parallel_distance_is_the_edit_distance():
     rng = random.Random(3)
     for _ in range(200):
@@ -429,6 +441,19 @@ def test_near_duplicates_of_odd_rows(spark, odd_docs, no_docs):
     assert neardup.near_duplicates(no_docs).count() == 0
 
 
+def test_each_text_of_a_repeated_id_brings_its_links(spark):
+    rows = []
+    for i in range(12):
+        first, second = _prose(100 + i, 80), _prose(200 + i, 80)
+        near = (first if i % 2 else second) + " more"
+        rows += [(i, first), (i, second), (100 + i, near), (200 + i, second + " again" if i % 3 == 0 else _prose(300 + i, 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(docs).collect()}
+    for i in range(12):
+        assert {(i, i), (100 + i, i), (200 + i, i if i % 3 == 0 else 200 + i)} <= got
+    assert len(got) == 36
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7)]
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

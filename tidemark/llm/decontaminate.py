@@ -18,6 +18,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Edits allowed per character of an item.
 BUDGET = 0.08
@@ -151,6 +152,7 @@ def contaminated(
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     chunks = max(1, math.ceil(chars / chunk_chars))
     rows = docs.select("doc_id", "text").where("text is not null")
+    item_type = to_arrow_type(benchmark.schema["item_id"].dataType)
 
     def one_pass(chunk: int) -> DataFrame:
         got = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == chunk).collect()
@@ -168,7 +170,7 @@ def contaminated(
                             out[name].append(value)
                 arrays = [
                     pa.array(out["doc_id"], batch.schema.field("doc_id").type),
-                    pa.array(out["item_id"]) if out["item_id"] else pa.array([], pa.int64()),
+                    pa.array(out["item_id"], item_type),
                     pa.array(out["edits"], pa.int32()),
                     pa.array(out["occurrences"], pa.int32()),
                     pa.array(out["ends_at"], pa.int64()),
