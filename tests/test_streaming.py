@@ -18,6 +18,7 @@ from tests.data import (
     WITH_LATE,
     WITH_LATE_WINDOWS,
     WORD_ONES,
+    WORD_SUMS,
     WORD_SUMS_SO_FAR,
 )
 from tests.test_windows import shuffled_rows
@@ -27,7 +28,7 @@ from tidemark.operators.transforms import flat_map_words
 from tidemark.operators.watermark import with_event_time
 from tidemark.operators.windows import tumble
 from tidemark.sources.tables import from_rows, stamp_arrival, stream_files
-from tidemark.streaming import state
+from tidemark.streaming import clock, state
 from tidemark.streaming.keyed import running_batches, running_stream, update_totals
 from tidemark.streaming.late import LateWindows
 from tidemark.streaming.runner import (
@@ -114,7 +115,7 @@ def test_totals_kept_up_to_date(spark, to_files, tmp_path, monkeypatch, files_pe
     monkeypatch.setattr(state, "SNAPSHOT_EVERY", snapshot_every)
     stream = stream_files(spark, to_files(from_rows(spark, WORD_ONES, PAIRS), "seq", 8), KEYED, files_per_batch)
     out = update_totals(stream, ["key"], {"value": F.sum("value")}, "totals", str(tmp_path / "run"), 120)
-    assert {r["key"]: r["value"] for r in out.collect()} == {"hello": 3, "world": 1, "spark": 2, "is": 1, "cool": 1}
+    assert {r["key"]: r["value"] for r in out.collect()} == WORD_SUMS
 
 
 def test_totals_go_on_after_a_failure(spark, to_files, tmp_path, monkeypatch):
@@ -133,7 +134,7 @@ def test_totals_go_on_after_a_failure(spark, to_files, tmp_path, monkeypatch):
         update_totals(stream, ["key"], {"value": F.sum("value")}, "first", root, 120)
     out = update_totals(stream, ["key"], {"value": F.sum("value")}, "second", root, 120)
     assert failed == [2]
-    assert {r["key"]: r["value"] for r in out.collect()} == {"hello": 3, "world": 1, "spark": 2, "is": 1, "cool": 1}
+    assert {r["key"]: r["value"] for r in out.collect()} == WORD_SUMS
 
 
 @pytest.mark.parametrize("files_per_batch, snapshot_every, broadcast_keys", [(1, 2, 500_000), (1, 3, 0), (100, 16, 0)])
@@ -407,3 +408,30 @@ def test_built_in_windows_one_row_per_batch(spark, to_files, tmp_path):
         assert got == {w[:3] for w in WITH_LATE_WINDOWS}
     finally:
         spark.conf.set(ONE_AGGREGATE, before)
+
+
+def _clocked(spark, folder, root, size_us, hold_ms=0):
+    add = lambda a, b: (a[0] + b[0],)
+    stream = stamp_arrival(stream_files(spark, folder, KEYED, 1))
+    given_out = clock.clock_windows(stream, ["key"], "arrival", size_us, ["value"], add, hold_ms)
+    query = clock.start_clock(given_out, "clock", root)
+    return query, lambda: clock.whole_windows(spark, given_out, "clock", root, ["key"], ["value"], add)
+
+
+def test_the_clock_closes_the_last_window(spark, to_files, tmp_path):
+    """No further row comes, and the windows come out all the same."""
+    rows = [*SENSORS, (None, 7), (None, 8)]
+    query, windows = _clocked(spark, to_files(from_rows(spark, rows, PAIRS), "seq", 2), str(tmp_path / "run"), 3_000_000)
+    clock.run_out(query, 120)
+    out = windows().collect()
+    assert all(r["window_start"] % 3_000_000 == 0 for r in out)
+    for key in ("sensor_1", "sensor_2", None):
+        assert sum(r["value"] for r in out if r["key"] == key) == sum(v for k, v in rows if k == key)
+
+
+def test_windows_are_held_until_they_end(spark, to_files, tmp_path):
+    folder, root = to_files(from_rows(spark, SENSORS, PAIRS), "seq", 1), str(tmp_path / "run")
+    query, windows = _clocked(spark, folder, root, 3_600_000_000, hold_ms=7_200_000)
+    with pytest.raises(TimeoutError, match="open windows"):
+        clock.run_out(query, 25)
+    assert windows().count() == 0

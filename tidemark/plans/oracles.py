@@ -178,6 +178,7 @@ FROM main FULL OUTER JOIN late USING (event_type, window_start)""",
 ORACLES |= {
     "flat_map_udf": ORACLES["flat_map_words"],
     "tumble_arrival_stream": ORACLES["tumble_arrival_sum"],
+    "tumble_arrival_clock": ORACLES["tumble_arrival_sum"],
     "late_correction_stream": ORACLES["late_correction"],
     "keyed_sum_rolling_cut": ORACLES["keyed_sum_rolling"],
     "tumble_udaf_reduce_cut": ORACLES["tumble_udaf_reduce"],

@@ -25,6 +25,7 @@ from tidemark.operators.late import (
 from tidemark.operators.measures import Measure, Measures
 from tidemark.session import scratch_dir
 from tidemark.sources.tables import append_in_turns, arrivals, read_table, stream_files
+from tidemark.streaming.clock import clock_windows, run_out, start_clock, whole_windows
 from tidemark.streaming.keyed import running_stream, update_totals
 from tidemark.streaming.late import LateWindows
 from tidemark.streaming.runner import run_to_files
@@ -191,6 +192,23 @@ def tumble_arrival_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.main(spark, root).select("event_type", "window_start", "cents")
 
 
+def tumble_arrival_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same windows, each given out by a timer, as no row comes after the last ones."""
+
+    def add(first: tuple, second: tuple) -> tuple:
+        return (first[0] + second[0],)
+
+    rows = _arrivals(spark, sf_dir)
+    name, root, query = "tumble_arrival_clock", scratch_dir(spark, "tumble_arrival_clock"), None
+    for _ in append_in_turns(rows, f"{root}/in", "arrival"):
+        if query is None:
+            stream = stream_files(spark, f"{root}/in", rows.schema)
+            given_out = clock_windows(stream, ["event_type"], "arrival", HOUR, ["cents"], add)
+            query = start_clock(given_out, name, root)
+    run_out(query)
+    return whole_windows(spark, given_out, name, root, ["event_type"], ["cents"], add)
+
+
 def tumble_event_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.tumbling_sum(_timed(_events(spark, sf_dir)), ["event_type"], "t", HOUR, "cents")
 
@@ -370,6 +388,7 @@ QUERIES: dict[str, Query] = {
     "keyed_aggregate": keyed_aggregate,
     "tumble_arrival_sum": tumble_arrival_sum,
     "tumble_arrival_stream": tumble_arrival_stream,
+    "tumble_arrival_clock": tumble_arrival_clock,
     "tumble_event_sum": tumble_event_sum,
     "tumble_event_reduce": tumble_event_reduce,
     "tumble_udaf_reduce": tumble_udaf_reduce,
