@@ -4,7 +4,7 @@ Each stage is (name, function of spark, docs, sf_dir); its result is written as
 again as the next stage's docs. All but the last return the columns of documents.
 
 No stage is plain SQL (learned vectors, patience diff, sketches, edit distances and token ids), so
-there is no ORACLE_SQL; tests hold each stage against a brute-force version.
+there is no ORACLE_SQL. Tests hold near-dedup against a brute-force version, the others on made cases.
 """
 
 from __future__ import annotations
