@@ -10,6 +10,7 @@ HOUR = 3_600_000_000
 LATE_BOUND = 900_000_000
 WIDE_BOUND = 7_200_000_000
 IDLE = 1_800_000_000
+BATCH = 120 * HOUR
 
 _MONEY = "CAST(round(value * 100) AS BIGINT)"
 
@@ -33,6 +34,17 @@ def _traced(bound: int) -> str:
 
 _TRACED = _traced(LATE_BOUND)
 
+# Late by what the batches before have seen, where arrivals of five days make a batch.
+_BATCHED = f"""{_ARRIVALS}, met AS (
+    SELECT arrival // {BATCH} AS batch, max(max(t)) OVER (
+               ORDER BY arrival // {BATCH} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {LATE_BOUND} AS watermark
+    FROM a GROUP BY 1
+), split AS (
+    SELECT a.*, (t // {HOUR}) * {HOUR} AS window_start,
+           coalesce((t // {HOUR} + 1) * {HOUR} <= watermark, false) AS is_late
+    FROM a JOIN met ON met.batch = arrival // {BATCH}
+)"""
+
 _SRC = f"SELECT event_id, user_id, event_type, {_MONEY} AS cents FROM events"
 _KEYED_SUM = f"SELECT event_type, CAST(sum({_MONEY}) AS BIGINT) AS cents FROM events GROUP BY event_type"
 _ROLLING = f"""
@@ -107,6 +119,20 @@ WITH numbered AS (
 )
 SELECT user_id, window_no, CAST(sum(cents) AS BIGINT) AS cents, count(*) = 10 AS complete
 FROM numbered GROUP BY 1, 2""",
+    "tumble_event_built_in": f"""
+WITH {_BATCHED}
+SELECT event_type, window_start, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents
+FROM split WHERE NOT is_late GROUP BY 1, 2""",
+    "late_batch_stream": f"""
+WITH {_BATCHED}
+SELECT CASE WHEN is_late THEN 'late' ELSE 'main' END AS sink, event_type, window_start, count(*) AS n,
+       CAST(sum(cents) AS BIGINT) AS cents
+FROM split GROUP BY 1, 2, 3""",
+    "late_changes_stream": f"""
+WITH {_ARRIVALS}
+SELECT event_type, (t // {HOUR}) * {HOUR} AS window_start, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents,
+       CAST(1 AS BIGINT) AS results
+FROM a GROUP BY 1, 2""",
     "timestamp_assign": "SELECT event_id, epoch_us(ts) // 1000 AS t_ms FROM events",
     "watermark_trace": f"WITH {_TRACED} SELECT event_id, watermark FROM traced",
     "watermark_trace_inputs": f"""
@@ -182,6 +208,7 @@ ORACLES |= {
     "late_correction_stream": ORACLES["late_correction"],
     "keyed_sum_rolling_cut": ORACLES["keyed_sum_rolling"],
     "tumble_udaf_reduce_cut": ORACLES["tumble_udaf_reduce"],
+    "count_window_stream": ORACLES["count_window_sum"],
     "count_window_sum_cut": ORACLES["count_window_sum"],
     "late_main_output_salted": ORACLES["late_main_output"],
 }

@@ -24,8 +24,10 @@ from tidemark.operators.late import (
 )
 from tidemark.operators.measures import Measure, Measures
 from tidemark.session import scratch_dir
-from tidemark.sources.tables import append_in_turns, arrivals, read_table, stream_files
+from tidemark.sources.tables import append_by, append_in_turns, arrivals, read_table, stream_files
+from tidemark.streaming.builtin import append_windows, appended
 from tidemark.streaming.clock import clock_windows, run_out, start_clock, whole_windows
+from tidemark.streaming.counts import CountWindows
 from tidemark.streaming.keyed import running_stream, update_totals
 from tidemark.streaming.late import LateWindows
 from tidemark.streaming.runner import run_to_files
@@ -37,6 +39,8 @@ LATE_BOUND = 900_000_000
 WIDE_BOUND = 7_200_000_000
 IDLE = 1_800_000_000
 COUNT_WINDOW = 10
+# Arrivals of five days make a batch where lateness goes by batches.
+BATCH = 120 * HOUR
 ORDER = ["arrival", "event_id"]
 
 
@@ -251,6 +255,15 @@ def count_window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.count_windows(rows, ["user_id"], ["event_id"], "cents", COUNT_WINDOW)
 
 
+def count_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _money(_events(spark, sf_dir)).select("event_id", "user_id", "cents")
+    root = scratch_dir(spark, "count_window_stream")
+    job = CountWindows(rows.schema, ["user_id"], ["event_id"], "cents", COUNT_WINDOW)
+    for _ in append_in_turns(rows, f"{root}/in", "event_id"):
+        job.run(stream_files(spark, f"{root}/in", rows.schema), "count_window_stream", root)
+    return job.windows(spark, root)
+
+
 # Event time, watermarks, late rows
 
 
@@ -313,6 +326,56 @@ def _late_windows(rows: DataFrame, name: str, root: str) -> LateWindows:
     return job
 
 
+def _both_sinks(job: LateWindows, spark: SparkSession, root: str) -> DataFrame:
+    """Sums of the main and of the late output."""
+    groups = ["event_type", "window_start"]
+    main = job.main(spark, root).select(*groups, "n", "cents")
+    late = job.late(spark, root).withColumn("window_start", window_start("t", HOUR)).groupBy(*groups)
+    late = late.agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
+    return main.select(F.lit("main").alias("sink"), "*").unionByName(late.select(F.lit("late").alias("sink"), "*"))
+
+
+def tumble_event_built_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spark's own windows with a watermark; those open at the end come from its state store."""
+    rows = _arrivals(spark, sf_dir)
+    name, root = "tumble_event_built_in", scratch_dir(spark, "tumble_event_built_in")
+    sums = {"n": F.count(F.lit(1)), "cents": F.sum("cents")}
+    for _ in append_by(rows, f"{root}/in", F.call_function("div", F.col("arrival"), F.lit(BATCH))):
+        stream = stream_files(spark, f"{root}/in", rows.schema).withColumn("ts", F.timestamp_micros("t"))
+        stream = stream.withWatermark("ts", "15 minutes")
+        schema = append_windows(stream, ["event_type"], "ts", "1 hour", sums, name, root)
+    found = appended(spark, schema, ["event_type"], name, root)
+    return found.select("event_type", F.unix_micros("window_start").alias("window_start"), "n", "cents")
+
+
+def late_batch_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lateness by batches, but late rows are kept: they are the second sink."""
+    rows = _arrivals(spark, sf_dir)
+    root = scratch_dir(spark, "late_batch_stream")
+    sums = Measures({"n": Measure("count", F.lit(1)), "cents": Measure("sum", F.col("cents"))})
+    job = LateWindows(rows.schema, ["event_type"], "t", ORDER, HOUR, LATE_BOUND, sums, granularity="batch")
+    for _ in append_by(rows, f"{root}/in", F.call_function("div", F.col("arrival"), F.lit(BATCH))):
+        job.run(stream_files(spark, f"{root}/in", rows.schema), "late_batch_stream", root)
+    return _both_sinks(job, spark, root)
+
+
+def late_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left per window when all changes are applied, and how many results that is."""
+    rows = _arrivals(spark, sf_dir)
+    root = scratch_dir(spark, "late_changes_stream")
+    sums = Measures({"n": Measure("count", F.lit(1)), "cents": Measure("sum", F.col("cents"))})
+    job = LateWindows(rows.schema, ["event_type"], "t", ORDER, HOUR, LATE_BOUND, sums, changes=True)
+    for _ in append_in_turns(rows, f"{root}/in", "arrival"):
+        job.run(stream_files(spark, f"{root}/in", rows.schema), "late_changes_stream", root)
+    opened = job.still_open(spark, root).withColumn("change", F.lit(1))
+    changes = job.change_stream(spark, root).drop("batch").unionByName(opened)
+    return changes.groupBy("event_type", "window_start").agg(
+        F.sum(F.col("change") * F.col("n")).alias("n"),
+        F.sum(F.col("change") * F.col("cents")).alias("cents"),
+        F.sum("change").alias("results"),
+    )
+
+
 def late_correction_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "late_correction_stream")
     job = _late_windows(_arrivals(spark, sf_dir), "late_correction_stream", root)
@@ -323,11 +386,7 @@ def late_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _arrivals(spark, sf_dir)
     root = scratch_dir(spark, "late_two_sinks")
     job = _late_windows(rows, "late_two_sinks", root)
-    groups = ["event_type", "window_start"]
-    main = job.main(spark, root).select(*groups, "n", "cents")
-    late = job.late(spark, root).withColumn("window_start", window_start("t", HOUR)).groupBy(*groups)
-    late = late.agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
-    return main.select(F.lit("main").alias("sink"), "*").unionByName(late.select(F.lit("late").alias("sink"), "*"))
+    return _both_sinks(job, spark, root)
 
 
 def late_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,10 +450,12 @@ QUERIES: dict[str, Query] = {
     "tumble_arrival_clock": tumble_arrival_clock,
     "tumble_event_sum": tumble_event_sum,
     "tumble_event_reduce": tumble_event_reduce,
+    "tumble_event_built_in": tumble_event_built_in,
     "tumble_udaf_reduce": tumble_udaf_reduce,
     "tumble_udaf_combined": tumble_udaf_combined,
     "tumble_count_avg": tumble_count_avg,
     "count_window_sum": count_window_sum,
+    "count_window_stream": count_window_stream,
     "timestamp_assign": timestamp_assign,
     "watermark_trace": watermark_trace,
     "watermark_trace_inputs": watermark_trace_inputs,
@@ -403,10 +464,12 @@ QUERIES: dict[str, Query] = {
     "late_side_output": late_side_output,
     "late_main_output": late_main_output,
     "late_two_sinks": late_two_sinks,
+    "late_batch_stream": late_batch_stream,
     "late_windows_fold_stream": late_windows_fold_stream,
     "late_report": late_report_query,
     "late_correction": late_correction_query,
     "late_correction_stream": late_correction_stream,
+    "late_changes_stream": late_changes_stream,
     "keyed_sum_rolling_cut": keyed_sum_rolling_cut,
     "tumble_udaf_reduce_cut": tumble_udaf_reduce_cut,
     "count_window_sum_cut": count_window_sum_cut,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -64,6 +64,18 @@ def append_in_turns(rows: DataFrame, folder: str, by: str, turns: int = 3) -> It
         yield i
 
 
+def append_by(rows: DataFrame, folder: str, turn: Column) -> Iterator[int]:
+    """Append the rows to a folder by a whole number that says which go together, lowest first.
+
+    The numbers that occur are collected, so there should be some hundred at most. Rows without
+    one come in none of the turns.
+    """
+    turns = rows.select(turn.alias("turn")).where("turn is not null").distinct()
+    for number in sorted(r["turn"] for r in turns.collect()):
+        rows.where(turn == number).write.mode("append").parquet(folder)
+        yield number
+
+
 def stamp_arrival(stream: DataFrame, out: str = "arrival") -> DataFrame:
     """Add the time at which a row is taken in (epoch microseconds), for windows on the clock.
 

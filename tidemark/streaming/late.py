@@ -2,7 +2,8 @@
 
 Built-in streaming aggregates drop late rows silently and decide per batch. Here each batch is
 split row by row, going on from the largest event time of the batches before, so the result does
-not depend on how the input is cut into batches. Open windows are kept as partial aggregates, and
+not depend on how the input is cut into batches. With ``granularity="batch"`` lateness is decided as
+built-in aggregates do, by what the batches before have seen. Open windows are kept as partial aggregates, and
 as changes: a batch reads and writes the windows its rows are in and those it closes. That a window
 was closed needs no mark of its own, as the largest event time of each batch is kept with it.
 """
@@ -15,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tidemark.functions.columns import window_start
 from tidemark.operators.folds import Fold
@@ -36,11 +37,17 @@ from tidemark.streaming.state import (
 )
 
 MAIN, LATE, OPEN = "main", "late", "open"
+# What was given out per window so far, and the changes to it.
+GIVEN, CHANGES = "given", "changes"
 
 
 @dataclass(frozen=True)
 class LateWindows:
-    """A reduce per key and window of ``size``, with late rows apart."""
+    """A reduce per key and window of ``size``, with late rows apart.
+
+    ``granularity`` is "row" or "batch": whether a row is late by the rows, or by the batches, that
+    came before it. With ``changes`` each batch also writes what it changes in the results.
+    """
 
     schema: StructType
     keys: Sequence[str]
@@ -49,6 +56,12 @@ class LateWindows:
     size: int
     delay: int
     reduce: Measures | Fold
+    granularity: str = "row"
+    changes: bool = False
+
+    def __post_init__(self) -> None:
+        if self.granularity not in ("row", "batch"):
+            raise ValueError(f"granularity must be 'row' or 'batch', not {self.granularity!r}")
 
     @property
     def groups(self) -> list[str]:
@@ -68,6 +81,37 @@ class LateWindows:
         # A comparison of the bare column, which a scan of sorted files can use to skip them.
         return F.coalesce(F.col("window_start") <= F.lit(max_ts - self.delay - self.size).cast("long"), F.lit(False))
 
+    def _split(self, rows: DataFrame, before: int | None, target_rows: int) -> DataFrame:
+        """Rows with their window and whether they are late, where ``before`` was seen in earlier batches."""
+        if self.granularity == "batch":
+            placed = rows.withColumn("window_start", window_start(self.ts, self.size))
+            return placed.withColumn("is_late", self._closed(before))
+        return late_split(rows, self.ts, self.order, self.size, self.delay, seen=before, target_rows=target_rows)
+
+    def _write_changes(
+        self, closing: DataFrame, late: DataFrame, root: str, batch: int, target_rows: int
+    ) -> list[DataFrame]:
+        """Take back the old result of each window that late rows change, and give the new one.
+
+        A window closes once and has late rows only after that, so what was given out before and
+        what closes now are different windows. Returns the tables to unpersist.
+        """
+        spark = closing.sparkSession
+        late_parts = self.reduce.parts(late, self.groups, self.order, target_rows).persist()
+        earlier, old = closing, None
+        if batch > 0:
+            touched = self.reduce.groups(late_parts, self.groups)
+            schema = self._parts_schema(spark)
+            old = read_keyed(spark, root, GIVEN, batch - 1, schema, self.groups, touched).persist()
+            earlier = closing.unionByName(old)
+        new = self.reduce.merge(earlier, late_parts, self.groups).persist()
+        changes = self.reduce.result(new, self.groups).withColumn("change", F.lit(1))
+        if old is not None:
+            changes = changes.unionByName(self.reduce.result(old, self.groups).withColumn("change", F.lit(-1)))
+        write_batch(changes, root, CHANGES, batch)
+        write_keyed(new, root, GIVEN, batch, self.groups, by="window_start")
+        return [t for t in (late_parts, old, new) if t is not None]
+
     def batches(self, root: str, target_rows: int = TARGET_ROWS) -> Callable[[DataFrame, int], None]:
         """The batch function. A batch may be run again after a failure at any point."""
 
@@ -76,10 +120,9 @@ class LateWindows:
             before = read_commit(spark, root, batch - 1)["max_ts"] if batch > 0 else None
             rows = rows.persist()
             parts = held = None
+            used: list[DataFrame] = []
             try:
-                split = late_split(
-                    rows, self.ts, self.order, self.size, self.delay, seen=before, target_rows=target_rows
-                )
+                split = self._split(rows, before, target_rows)
                 write_batch(late_rows(split), root, LATE, batch)
                 on_time = split.where(~F.col("is_late"))
                 parts = self.reduce.parts(on_time, self.groups, self.order, target_rows).persist()
@@ -95,9 +138,12 @@ class LateWindows:
                 held = self.reduce.merge(kept, parts, self.groups).persist()
                 write_batch(held.where(closed), root, MAIN, batch)
                 write_keyed(held.where(~closed), root, OPEN, batch, self.groups, alive=open_now, by="window_start")
+                if self.changes:
+                    late = split.where("is_late")
+                    used = self._write_changes(held.where(closed), late, root, batch, target_rows)
                 commit(spark, root, batch, newest)
             finally:
-                for table in (rows, parts, held):
+                for table in (rows, parts, held, *used):
                     if table is not None:
                         table.unpersist()
 
@@ -139,6 +185,15 @@ class LateWindows:
         held = both.groupBy(*self.groups).agg(F.sum("main").alias("main"), F.sum("late").alias("late"))
         return held.withColumn("corrected", F.coalesce("main", F.lit(0)) + F.coalesce("late", F.lit(0)))
 
+    def change_stream(self, spark: SparkSession, root: str) -> DataFrame:
+        """The results as changes: ``change`` 1 gives a row, -1 takes one back that was given before.
+
+        A window has at most one change of each kind per ``batch``, so a reader that keeps the newest
+        batch it applied per window takes no change twice.
+        """
+        schema = self.reduce.result(spark.createDataFrame([], self._parts_schema(spark)), self.groups).schema
+        return read_batches(spark, root, CHANGES, StructType([*schema, StructField("change", IntegerType())]))
+
     def still_open(self, spark: SparkSession, root: str) -> DataFrame:
         """Windows that no watermark has closed yet."""
         last = last_commit(spark, root)
