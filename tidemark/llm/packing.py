@@ -31,6 +31,8 @@ SEQUENCE = 1024
 QUEUES = 1_024
 # Remembered units of text in a task. Others are encoded each time they occur.
 REMEMBERED = 400_000
+# Documents cut at once.
+CUT_ROWS = 512
 
 END_ID = 0
 _ODD_SPACE = re.compile(r"\s\s|[\x1c-\x1f\x85]|<\|")
@@ -225,15 +227,19 @@ def _cut(batches: Iterator[pa.RecordBatch], shared: tuple, window: int) -> Itera
     mixture = Mixture(counts, weights, window)
     # States of neighbouring windows, worked out a stretch at a time.
     stretch = 256
-    memory: dict[int, np.ndarray] = {}
+    memory: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def states(block: int) -> np.ndarray:
-        """What the queues have sent after each window of a stretch, from its start to its end."""
+    def states(block: int) -> tuple[np.ndarray, np.ndarray]:
+        """What the queues have sent after each window of a stretch, from its start to its end, and
+        the tokens that stand before each queue's in its windows."""
         if block not in memory:
             if len(memory) >= 64:
                 memory.pop(next(iter(memory)))
             first = block * stretch
-            memory[block] = mixture.after(np.arange(first, min(first + stretch, mixture.windows) + 1))
+            sent = mixture.after(np.arange(first, min(first + stretch, mixture.windows) + 1))
+            shares = np.diff(sent, axis=0)
+            # Queue by queue in memory, as a document looks at one.
+            memory[block] = np.asfortranarray(sent), np.asfortranarray(np.cumsum(shares, axis=1) - shares)
         return memory[block]
 
     def window_of(token: int, q: int) -> int:
@@ -242,7 +248,7 @@ def _cut(batches: Iterator[pa.RecordBatch], shared: tuple, window: int) -> Itera
         block = min(high, int(token / max(1, counts[q]) * mixture.windows) // stretch)
         tries = 0
         while True:
-            sent = states(block)[:, q]
+            sent = states(block)[0][:, q]
             if token < sent[0]:
                 high, near = block - 1, block - 1
             elif token >= sent[-1]:
@@ -253,37 +259,68 @@ def _cut(batches: Iterator[pa.RecordBatch], shared: tuple, window: int) -> Itera
             tries += 1
             block = near if tries < 3 else (low + high) // 2
 
-    names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "ids")
+    def pieces(token: int, n: int, q: int) -> tuple[list[np.ndarray], ...]:
+        """Windows, ends (from ``token``) and offsets of the n tokens of a queue that begin at ``token``."""
+        w, done, found = window_of(token, q), 0, ([], [], [])
+        while done < n:
+            block, i = divmod(w, stretch)
+            sent, ahead = states(block)
+            own = sent[i:, q]
+            last = min(len(own) - 1, int(np.searchsorted(own, token + n, side="left")))
+            ends = np.minimum(own[1 : last + 1] - token, n)
+            # Where the queue's tokens of a window begin: after those of the queues before it.
+            begins = ahead[i : i + last, q].copy()
+            begins[0] += max(0, token + done - int(own[0]))
+            some = np.flatnonzero(np.diff(ends, prepend=done))
+            for table, values in zip(found, (w + some, ends[some], begins[some])):
+                table.append(values)
+            w, done = (block + 1) * stretch, int(ends[-1])
+        return found
+
     for batch in batches:
-        kinds = {"doc_id": batch.schema.field("doc_id").type, "source": pa.string(), "ids": pa.binary()}
-        out: dict[str, list] = {n: [] for n in names}
-        for row in batch.to_pylist():
-            q = at[row["queue"]]
-            ids = np.frombuffer(row["ids"], "<u2")
-            wide = memoryview(ids.astype("<u4").tobytes())
-            narrow = row["ids"]
-            first, done, n = row["first"], 0, row["n"]
-            w = window_of(first, q)
-            while done < n:
-                sent, i = states(w // stretch), w % stretch
-                end, begin = sent[i + 1], sent[i]
-                until = min(n, int(end[q]) - first)
-                if until > done:
-                    offset = int((end[:q] - begin[:q]).sum()) + first + done - int(begin[q])
-                    piece = (
-                        row["doc_id"], done, until - done, zlib.crc32(wide[4 * done : 4 * until]), n, w, offset,
-                        row["source"], narrow[2 * done : 2 * until],
-                    )
-                    for name, value in zip(names, piece):
-                        out[name].append(value)
-                    done = until
-                w += 1
-            if len(out["doc_id"]) >= 20_000:
-                yield _batch(out, kinds)
-                out = {n: [] for n in names}
-        if out["doc_id"]:
-            yield _batch(out, kinds)
-
-
-def _batch(out: dict[str, list], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({n: pa.array(v, kinds.get(n, pa.int64())) for n, v in out.items()})
+        for start in range(0, batch.num_rows, CUT_ROWS):
+            yield _cut_rows(batch.slice(start, CUT_ROWS), at, pieces)
+
+
+def _cut_rows(batch: pa.RecordBatch, at: dict[int, int], pieces) -> pa.RecordBatch:
+    """The pieces of a few documents. As they follow each other, their ids are those of the documents."""
+    texts = batch.column("ids").to_pylist()
+    counts = batch.column("n").to_numpy()
+    found: tuple[list[np.ndarray], ...] = ([], [], [])
+    per_row, sums = np.zeros(len(texts), np.int64), []
+    for row, (q, token, n, ids) in enumerate(
+        zip(batch.column("queue").to_pylist(), batch.column("first").to_pylist(), counts.tolist(), texts)
+    ):
+        got = pieces(token, n, at[q])
+        for table, values in zip(found, got):
+            table += values
+        wide = memoryview(np.frombuffer(ids, "<u2").astype("<u4").tobytes())
+        begin = 0
+        for ends in got[1]:
+            for end in (4 * ends).tolist():
+                sums.append(zlib.crc32(wide[begin:end]))
+                begin = end
+            per_row[row] += len(ends)
+    windows, ends, offsets = (np.concatenate(t) if t else np.zeros(0, np.int64) for t in found)
+    rows = np.repeat(np.arange(len(texts)), per_row)
+    starts = np.zeros(len(ends), np.int64)
+    starts[1:] = np.where(rows[1:] == rows[:-1], ends[:-1], 0)
+    lengths = ends - starts
+    cuts = np.concatenate([[0], np.cumsum(lengths)]) * 2
+    ids = pa.Array.from_buffers(
+        pa.large_binary(), len(lengths), [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(b"".join(texts))]
+    )
+    taken = pa.array(rows)
+    return pa.RecordBatch.from_pydict(
+        {
+            "doc_id": batch.column("doc_id").take(taken),
+            "start": pa.array(starts),
+            "length": pa.array(lengths),
+            "ids_crc32": pa.array(sums, pa.int64()),
+            "doc_tokens": pa.array(counts[rows]),
+            "sequence_id": pa.array(windows),
+            "offset": pa.array(offsets),
+            "source": batch.column("source").take(taken),
+            "ids": ids.cast(pa.binary()),
+        }
+    )
