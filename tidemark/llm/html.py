@@ -53,6 +53,7 @@ CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
     "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "thead", "tbody"),
 }
+CLOSABLE = frozenset(("p", *(name for names in CLOSES.values() for name in names)))
 CLOSE_STOPS = frozenset("ul ol dl table article section main body html div nav aside footer header form".split())
 
 _TAG = re.compile(
@@ -65,14 +66,18 @@ _WORD = re.compile(r"[a-z0-9]+")
 class Page:
     """Elements in the order of their start tags, and runs of text with their element and block."""
 
-    __slots__ = ("names", "parents", "dropped", "digests", "runs", "in_article")
+    __slots__ = ("names", "parents", "dropped", "digests", "runs", "outermost", "open", "levels")
 
     def __init__(self, source: str):
         self.names = ["#page"]
         self.parents = [-1]
         self.dropped = [False]
-        self.in_article = [False]
+        # Per element the outermost article, and the outermost main, that it is in or is itself.
+        self.outermost = {"article": [0], "main": [0]}
         self.digests = [0]
+        # Open elements by name, and depths of those that can be closed without a tag, by the stops they are in.
+        self.open: dict[str, int] = {}
+        self.levels: list[dict[str, list[int]]] = [{}]
         self.runs: list[tuple[int, int, str]] = []
         hashers = [xxhash.xxh64()]
         stack = [0]
@@ -90,7 +95,13 @@ class Page:
                 node, digest = stack.pop(), hashers.pop().digest()
                 self.digests[node] = int.from_bytes(digest, "big", signed=True)
                 hashers[-1].update(digest)
-                if self.names[node] not in INLINE:
+                name = self.names[node]
+                self.open[name] -= 1
+                if name in CLOSE_STOPS:
+                    self.levels.pop()
+                elif name in CLOSABLE:
+                    self.levels[-1][name].pop()
+                if name not in INLINE:
                     block += 1
 
         find = _TAG.search
@@ -102,14 +113,14 @@ class Page:
                 continue
             name = name.lower()
             if m[1]:
-                for depth in range(len(stack) - 1, 0, -1):
+                for depth in range(len(stack) - 1, 0, -1) if self.open.get(name) else ():
                     if self.names[stack[depth]] == name:
                         close(depth)
                         break
                 continue
             if name not in INLINE:
                 block += 1
-                self._close_open(name, stack, close)
+                self._close_open(name, close)
             attributes = m[3]
             if name in VOID:
                 if name == "br":
@@ -119,11 +130,17 @@ class Page:
             node = len(self.names)
             self.names.append(name)
             self.parents.append(parent)
-            inside = self.in_article[parent] or name == "article"
-            self.in_article.append(inside)
-            self.dropped.append(self.dropped[parent] or _is_dropped(name, attributes, self.in_article[parent]))
+            in_article = self.outermost["article"][parent] > 0
+            for wanted, outermost in self.outermost.items():
+                outermost.append(outermost[parent] or (node if name == wanted else 0))
+            self.dropped.append(self.dropped[parent] or _is_dropped(name, attributes, in_article))
             self.digests.append(0)
             stack.append(node)
+            self.open[name] = self.open.get(name, 0) + 1
+            if name in CLOSE_STOPS:
+                self.levels.append({})
+            elif name in CLOSABLE:
+                self.levels[-1].setdefault(name, []).append(len(stack) - 1)
             hashers.append(xxhash.xxh64(f"<{name} {attributes.strip()}>".encode("utf-8", "surrogatepass")))
             if name in RAW:
                 end = re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I).search(source, at)
@@ -136,16 +153,10 @@ class Page:
         close(1)
         self.digests[0] = int.from_bytes(hashers[0].digest(), "big", signed=True)
 
-    def _close_open(self, name: str, stack: list[int], close) -> None:
+    def _close_open(self, name: str, close) -> None:
         """A block closes an open paragraph; items and cells close the one before."""
-        closes = (*CLOSES.get(name, ()), "p")
-        lowest = None
-        for depth in range(len(stack) - 1, 0, -1):
-            open_name = self.names[stack[depth]]
-            if open_name in closes:
-                lowest = depth
-            elif open_name in CLOSE_STOPS:
-                break
+        depths = [self.levels[-1].get(open_name) for open_name in (*CLOSES.get(name, ()), "p")]
+        lowest = min((d[0] for d in depths if d), default=None)
         if lowest is not None:
             close(lowest)
 
@@ -153,16 +164,10 @@ class Page:
         """The element that holds the article: the longest outermost article, else main, else the page."""
         sizes: dict[int, int] = {}
         for wanted in ("article", "main"):
+            outermost = self.outermost[wanted]
             for node, _, run in self.runs:
-                if self.dropped[node]:
-                    continue
-                outermost = None
-                while node > 0:
-                    if self.names[node] == wanted:
-                        outermost = node
-                    node = self.parents[node]
-                if outermost is not None:
-                    sizes[outermost] = sizes.get(outermost, 0) + len(run)
+                if outermost[node] and not self.dropped[node]:
+                    sizes[outermost[node]] = sizes.get(outermost[node], 0) + len(run)
             if sizes:
                 return max(sizes, key=lambda n: (sizes[n], -n))
         return 0
@@ -221,7 +226,8 @@ def _is_dropped(name: str, attributes: str, in_article: bool) -> bool:
         if key == "style" and "display:none" in value.replace(" ", ""):
             return True
         if key in ("class", "id", "role"):
-            words = set(_WORD.findall(value))
+            # Inside an article a name such as "related-work" says what the text is about.
+            words = set(value.split() if in_article else _WORD.findall(value))
             if words & DROPPED_WORDS or (not in_article and words & HEADER_WORDS):
                 return True
     return False
@@ -280,7 +286,9 @@ def main_text(pages: DataFrame, share: float = TEMPLATE_SHARE, least: int = TEMP
     """``page_id, url, text, n_chars`` of every row, from its whole html.
 
     Character references are decoded, white space in a block is one space, blocks are joined by a
-    line end. Null or empty html gives an empty text. A page without a host has no site, so only
+    line end. Null or empty html gives an empty text. Very long and deeply nested pages are read in
+    time in proportion to their length. Inside an article only whole class, id and role words such as
+    "sidebar" say that an element is no part of it. A page without a host has no site, so only
     its own markup counts. Repeated rows give a row each.
     """
     templates = small_or_not(written(site_templates(pages, share, least)))
