@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -232,6 +233,24 @@ def test_main_text_of_single_pages():
     assert _article('<p title="a>b">x</p> 1 < 2') == "x\n1 < 2"
 
 
+def test_names_inside_an_article_count_as_whole_words():
+    page = """<div id="top-banner">no</div><article><h1>T</h1><section id="related-work">a</section>
+    <p class="search-algorithms notice-period">b</p><div class="box sidebar">no</div><p role="note">c</p></article>"""
+    assert _article(page) == "T\na\nb\nc"
+
+
+@pytest.mark.parametrize("page", ["<div>x", "<b>", "<p>x</q>", "<ul><li>x", "</b>", "<table><tr><td>"])
+def test_deeply_nested_pages_take_time_in_proportion(page):
+    def taken(n):
+        begun = time.process_time()
+        read = html.Page("<article>" + page * n + "<p>end")
+        assert read.text().endswith("end") and read.countable()
+        return time.process_time() - begun
+
+    taken(2_000)
+    assert taken(32_000) < 40 * max(taken(4_000), 0.005)
+
+
 def test_site_templates_are_deleted_and_copies_are_not_templates(spark):
     rows = [(i, f"http://Site.example/{i}", f"<div><p>shared strip</p><p>own {i}</p></div>") for i in range(20)]
     rows += [(100 + i, "http://copy.example/a", "<div><p>an article</p><p>its end</p></div>") for i in range(20)]
@@ -332,6 +351,12 @@ def test_top_k_is_exact_with_ties_nulls_and_short_vectors(spark, copies):
     assert vafile.top_k(vafile.whole_vectors(df.where("false"), "vec_id", "embedding"), F.lit(True)).count() == 0
 
 
+def test_top_k_refuses_sums_that_doubles_do_not_hold(spark):
+    df = spark.createDataFrame([(i, [2.0**20 + i, 1.0]) for i in range(3)], "vec_id long, embedding array<double>")
+    with pytest.raises(OverflowError, match="inner products"):
+        vafile.top_k(vafile.whole_vectors(df, "vec_id", "embedding"), F.lit(True))
+
+
 # 8
 
 
