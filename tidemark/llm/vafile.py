@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import written
 
-CELL_BITS = 5
+# A cell number takes a byte.
+CELL_BITS = 8
 # Queries in one broadcast: with 1,000 components of 8 bytes, 16 MB.
 QUERY_BLOCK = 2_048
 # Candidate rows bounded at once.
@@ -56,8 +57,9 @@ def top_k(rows: DataFrame, queries: Column, k: int = 10, cell_bits: int = CELL_B
     ``rows`` has whole-number vectors (``id, v``) as ``whole_vectors`` makes them; ``queries`` tells
     which of them are queries. Candidates are all rows but those with the query's own id. Ties go
     to the smaller id; fewer candidates give fewer rows. Missing components of shorter vectors
-    count as zero. Repeated rows of one id and vector count once. Sums of products must stay below
-    2**53, where doubles are exact.
+    count as zero. Repeated rows of one id and vector count once; an id with several vectors brings
+    each as a query and as a candidate, so its lists share one ``query_id``. Sums of products that
+    could reach 2**53, where doubles are no longer exact, are an error.
     """
     spark = rows.sparkSession
     rows = written(rows.distinct())
@@ -73,6 +75,11 @@ def top_k(rows: DataFrame, queries: Column, k: int = 10, cell_bits: int = CELL_B
         F.array(*[F.min(p) for p in places]).alias("lo"), F.array(*[F.max(p) for p in places]).alias("hi")
     ).first()
     low, high = np.array(ends["lo"], float), np.array(ends["hi"], float)
+    largest = float((np.maximum(np.abs(low), np.abs(high)) ** 2).sum())
+    if largest >= 2.0**53:
+        raise OverflowError(f"inner products may reach {largest:.3g}; those from 2**53 on would not be exact")
+    if not 1 <= cell_bits <= 8:
+        raise ValueError("cells have 1 to 8 bits")
     cells = 1 << cell_bits
     # Whole-number cell edges: cell c of a component holds [low + c * step, low + (c + 1) * step - 1].
     step = np.maximum(1.0, np.ceil((high - low + 1) / cells))
