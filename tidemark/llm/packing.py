@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from tidemark.session import written
 SEQUENCE = 1024
 # Queues: sources beyond the largest share queues by hash, so a task's table of them is bounded.
 QUEUES = 1_024
-# Remembered units of text in a task. Others are encoded each time they occur.
+# Units of text remembered in a task, of each kind. Others are encoded each time they occur.
 REMEMBERED = 400_000
 # Documents cut at once.
 CUT_ROWS = 512
@@ -38,6 +38,20 @@ END_ID = 0
 _ODD_SPACE = re.compile(r"\s\s|[\x1c-\x1f\x85]|<\|")
 
 
+class Remembered(dict):
+    """Ids of units by their text, worked out where they are met first; ``lead`` stands before each."""
+
+    def __init__(self, encode: Callable[[str], bytes], lead: str = ""):
+        super().__init__()
+        self.encode, self.lead = encode, lead
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.encode(self.lead + unit)
+        if len(self) < REMEMBERED:
+            self[unit] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts, equal to those of the tokenizer file, with a memory of frequent words.
 
@@ -51,8 +65,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b"", "\n": self._whole("\n")}
-        self.words = self._ranks(ranks_path) if ranks_path else self._whole
+        words = self._ranks(ranks_path) if ranks_path else self._whole
+        self.line_end = self._whole("\n")
+        # Units that begin a line, and the others, which follow a space.
+        self.first, self.spaced = Remembered(words), Remembered(words, " ")
 
     @staticmethod
     def _ranks(path: str):
@@ -76,22 +92,13 @@ class Encoder:
         """Ids as little-endian unsigned 16-bit numbers."""
         if _ODD_SPACE.search(text):
             return self._whole(text)
-        known, out = self.known, []
-        for n, line in enumerate(text.split("\n")):
-            if n:
-                out.append(known["\n"])
-            parts = line.split(" ")
-            parts[1:] = [" " + p for p in parts[1:]]
-            try:
-                out += [known[p] for p in parts]
-            except KeyError:
-                for p in parts:
-                    ids = known.get(p)
-                    if ids is None:
-                        ids = self.words(p)
-                        if len(known) < REMEMBERED:
-                            known[p] = ids
-                    out.append(ids)
+        out = []
+        for line in text.split("\n"):
+            units = iter(line.split(" "))
+            out += (self.line_end, self.first[next(units)])
+            out += map(self.spaced.__getitem__, units)
+        # The first line has no line end before it.
+        out[0] = b""
         return b"".join(out)
 
 
