@@ -204,3 +204,25 @@ def test_unknown_granularity(spark, sums):
     job = window_job(spark, sums)
     with pytest.raises(ValueError, match="granularity"):
         LateWindows(job.schema, ["key"], "ts_ms", ["seq"], SIZE, DELAY, sums, granularity="hour")
+
+
+def test_late_rows_are_logged_while_running(spark, tmp_path, sums, caplog):
+    rows = shuffled_rows(90, seed=2)
+    late, _, _ = brute.late_windows(rows, SIZE, DELAY)
+    job, root = window_job(spark, sums), str(tmp_path / "run")
+    each, seen = job.batches(root), []
+    df = from_rows(spark, rows, TRIPLES)
+
+    def watched(rows, batch):
+        each(rows, batch)
+        seen.append(job.logged(spark, root).count())
+
+    with caplog.at_level("INFO", "tidemark.streaming.late"):
+        for batch, some in enumerate((df.where("seq < 30"), df.where("false"), df.where("seq >= 30"))):
+            watched(some, batch)
+    assert seen == [1, 2, 3]
+    got = {r["batch"]: (r["n_rows"], r["n_late"]) for r in job.logged(spark, root).collect()}
+    early = sum(at < 30 for at in late)
+    assert got == {0: (30, early), 1: (0, 0), 2: (60, len(late) - early)}
+    assert job.logged(spark, root).agg(F.max("max_ts")).first()[0] == max(t for *_, t in rows)
+    assert [r.levelname for r in caplog.records] == ["WARNING" if early else "INFO", "INFO", "WARNING"]

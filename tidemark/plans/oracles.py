@@ -128,6 +128,11 @@ WITH {_BATCHED}
 SELECT CASE WHEN is_late THEN 'late' ELSE 'main' END AS sink, event_type, window_start, count(*) AS n,
        CAST(sum(cents) AS BIGINT) AS cents
 FROM split GROUP BY 1, 2, 3""",
+    "late_log_stream": f"""
+WITH {_TRACED}
+SELECT dense_rank() OVER (ORDER BY arrival // {BATCH}) - 1 AS batch, count(*) AS n_rows,
+       CAST(count(*) FILTER (is_late) AS BIGINT) AS n_late, max(max(t)) OVER (ORDER BY arrival // {BATCH}) AS max_ts
+FROM split GROUP BY arrival // {BATCH}""",
     "late_changes_stream": f"""
 WITH {_ARRIVALS}
 SELECT event_type, (t // {HOUR}) * {HOUR} AS window_start, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents,

@@ -359,6 +359,17 @@ def late_batch_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both_sinks(job, spark, root)
 
 
+def late_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each batch had, as it is logged while the stream runs."""
+    rows = _arrivals(spark, sf_dir)
+    root = scratch_dir(spark, "late_log_stream")
+    sums = Measures({"cents": Measure("sum", F.col("cents"))})
+    job = LateWindows(rows.schema, ["event_type"], "t", ORDER, HOUR, LATE_BOUND, sums)
+    for _ in append_by(rows, f"{root}/in", F.call_function("div", F.col("arrival"), F.lit(BATCH))):
+        job.run(stream_files(spark, f"{root}/in", rows.schema), "late_log_stream", root)
+    return job.logged(spark, root)
+
+
 def late_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left per window when all changes are applied, and how many results that is."""
     rows = _arrivals(spark, sf_dir)
@@ -465,6 +476,7 @@ QUERIES: dict[str, Query] = {
     "late_main_output": late_main_output,
     "late_two_sinks": late_two_sinks,
     "late_batch_stream": late_batch_stream,
+    "late_log_stream": late_log_stream,
     "late_windows_fold_stream": late_windows_fold_stream,
     "late_report": late_report_query,
     "late_correction": late_correction_query,

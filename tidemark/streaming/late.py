@@ -10,10 +10,11 @@ was closed needs no mark of its own, as the largest event time of each batch is
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
@@ -39,6 +40,11 @@ from tidemark.streaming.state import (
 MAIN, LATE, OPEN = "main", "late", "open"
 # What was given out per window so far, and the changes to it.
 GIVEN, CHANGES = "given", "changes"
+# What each batch had, for watching a stream while it runs.
+LOG = "log"
+LOG_SCHEMA = StructType([StructField(n, LongType()) for n in ("n_rows", "n_late", "max_ts")])
+
+log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -112,6 +118,12 @@ class LateWindows:
         write_keyed(new, root, GIVEN, batch, self.groups, by="window_start")
         return [t for t in (late_parts, old, new) if t is not None]
 
+    def _log(self, spark: SparkSession, root: str, batch: int, n_rows: int, n_late: int, newest: int | None) -> None:
+        level = logging.WARNING if n_late else logging.INFO
+        log.log(level, "%s, batch %d: %d of %d rows late", root, batch, n_late, n_rows)
+        entry = spark.createDataFrame([(n_rows, n_late, newest)], LOG_SCHEMA)
+        write_batch(entry.coalesce(1), root, LOG, batch)
+
     def batches(self, root: str, target_rows: int = TARGET_ROWS) -> Callable[[DataFrame, int], None]:
         """The batch function. A batch may be run again after a failure at any point."""
 
@@ -123,10 +135,13 @@ class LateWindows:
             used: list[DataFrame] = []
             try:
                 split = self._split(rows, before, target_rows)
-                write_batch(late_rows(split), root, LATE, batch)
+                # Counted as they are written, so that nothing is read for it.
+                counted = Observation()
+                late_now = late_rows(split).observe(counted, F.count(F.lit(1)).alias("n"))
+                write_batch(late_now, root, LATE, batch)
                 on_time = split.where(~F.col("is_late"))
                 parts = self.reduce.parts(on_time, self.groups, self.order, target_rows).persist()
-                newest = rows.agg(F.max(self.ts)).first()[0]
+                n_rows, newest = rows.agg(F.count("*"), F.max(self.ts)).first()
                 newest = max((x for x in (before, newest) if x is not None), default=None)
                 closed, open_before, open_now = self._closed(newest), ~self._closed(before), ~self._closed(newest)
                 kept = None
@@ -141,6 +156,7 @@ class LateWindows:
                 if self.changes:
                     late = split.where("is_late")
                     used = self._write_changes(held.where(closed), late, root, batch, target_rows)
+                self._log(spark, root, batch, n_rows, counted.get.get("n", 0), newest)
                 commit(spark, root, batch, newest)
             finally:
                 for table in (rows, parts, held, *used):
@@ -175,6 +191,10 @@ class LateWindows:
         """The late rows, as they came in."""
         return read_batches(spark, root, LATE, self.schema).drop("batch")
 
+    def logged(self, spark: SparkSession, root: str) -> DataFrame:
+        """Per finished batch its rows, how many of them were late, and the largest event time by then."""
+        return read_batches(spark, root, LOG, LOG_SCHEMA)
+
     def corrected(self, spark: SparkSession, root: str, value: str, end_of_input: str = "flush") -> DataFrame:
         """Per key and window the sum given out, what came late, and both; ``value`` is a sum of this name."""
         late = self.late(spark, root).select(
