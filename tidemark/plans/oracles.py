@@ -62,6 +62,7 @@ FROM a GROUP BY 1, 2"""
 ORACLES: dict[str, str] = {
     "src_bounded": _SRC,
     "src_stream": _SRC,
+    "src_rows_stream": _SRC,
     "map_double": _DOUBLE,
     "map_square_filter_even": """
 SELECT event_id, user_id * user_id AS squared FROM events WHERE (user_id * user_id) % 2 = 0""",

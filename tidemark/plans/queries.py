@@ -24,13 +24,14 @@ from tidemark.operators.late import (
 )
 from tidemark.operators.measures import Measure, Measures
 from tidemark.session import scratch_dir
+from tidemark.sources.rows import lay_rows, stream_rows
 from tidemark.sources.tables import append_by, append_in_turns, arrivals, read_table, stream_files
 from tidemark.streaming.builtin import append_windows, appended
 from tidemark.streaming.clock import clock_windows, run_out, start_clock, whole_windows
 from tidemark.streaming.counts import CountWindows
 from tidemark.streaming.keyed import running_stream, update_totals
 from tidemark.streaming.late import LateWindows
-from tidemark.streaming.runner import run_to_files
+from tidemark.streaming.runner import drain, run_to_files, start_files, stop_after
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +86,23 @@ def src_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_turns(rows, "event_id", root, lambda stream: run_to_files(stream, "events_out", root))
 
 
+def src_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as a stream by row offsets, an eighth a batch, stopped and started again on the way."""
+    root = scratch_dir(spark, "src_rows_stream")
+    rows = _money(_events(spark, sf_dir))
+    lay_rows(rows, ["event_id"], f"{root}/in")
+    step = rows.count() // 8 + 1
+
+    def start():
+        stream = stream_rows(spark, f"{root}/in", rows.schema, f"{root}/progress", step)
+        now = {"processingTime": "0 seconds"}
+        return start_files(stream, "rows_out", f"{root}/out", f"{root}/checkpoint", trigger=now)
+
+    stop_after(start(), 4)
+    drain(start())
+    return spark.read.schema(rows.schema).parquet(f"{root}/out")
+
+
 # Element-wise
 
 
@@ -442,6 +460,7 @@ def late_main_output_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "src_bounded": src_bounded,
     "src_stream": src_stream,
+    "src_rows_stream": src_rows_stream,
     "map_double": map_double,
     "map_square_filter_even": map_square_filter_even,
     "map_udf": map_udf,

@@ -6,6 +6,7 @@ Without a trigger a stream takes the input that is there and ends. With one, suc
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +71,19 @@ def drain(query: StreamingQuery) -> None:
         query.stop()
 
 
+def stop_after(query: StreamingQuery, batches: int, timeout: float = 3600) -> None:
+    """Stop a continuous stream once it has done some batches; a failure is raised here."""
+    until = time.monotonic() + timeout
+    try:
+        while (query.lastProgress or {"batchId": -1})["batchId"] + 1 < batches:
+            if query.awaitTermination(0.1):
+                return
+            if time.monotonic() > until:
+                raise TimeoutError(f"stream {query.name!r} had not done {batches} batches after {timeout} s")
+    finally:
+        query.stop()
+
+
 def run_to_files(stream: DataFrame, name: str, root: str, timeout: float | None = None) -> DataFrame:
     """Run a stream to the end of its input and read its sink back."""
     out = f"{root}/{name}"
