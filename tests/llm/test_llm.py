@@ -456,6 +456,30 @@ def test_near_duplicates_are_those_of_full_sets(spark, large):
     assert got == _near(texts)
 
 
+def test_a_pair_with_one_band_in_common_is_found_in_a_large_bucket(spark):
+    """All other entries share that one bucket as well, so neither of the two is first compared with the other."""
+    rng = random.Random(3700)
+    first = [f"w{rng.randrange(10**6)}" for _ in range(39)]
+    second = first[:-5] + [f"x{rng.randrange(10**6)}" for _ in range(5)]
+    shingler = neardup.Shingler()
+
+    def bands(words):
+        return neardup.band_keys(neardup.samples(shingler(" ".join(words))))
+
+    common = set(bands(first)) & set(bands(second))
+    assert len(common) == 1
+    texts = {100: " ".join(first), 101: " ".join(second)}
+    while len(texts) < 42:
+        # Far from both and from each other.
+        other = first[:-16] + [f"y{rng.randrange(10**6)}" for _ in range(16)]
+        if common <= set(bands(other)):
+            texts[len(texts) + 100] = " ".join(other)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for large in (5, 2_000):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(docs, large).collect()}
+        assert got == _near(texts) and got[101] == (35, 100) and got[102][1] == 102
+
+
 def test_near_duplicates_of_odd_rows(spark, odd_docs, no_docs):
     rows = neardup.near_duplicates(odd_docs).collect()
     assert len(rows) == odd_docs.count()

@@ -50,7 +50,7 @@ LEAST_FINE = 0.66
 WHOLE_SHINGLES = 8_192
 # A pair is ruled out beyond so many deviations of the ones that sets at the threshold differ in.
 WHOLE_DEVIATIONS = 6
-# Buckets with more entries left are divided by their other bands.
+# Buckets with more entries left are compared in blocks of about so many with all the others.
 LARGE_BUCKET = 2_000
 REMEMBERED = 400_000
 
@@ -335,45 +335,41 @@ def classified(docs: DataFrame, large_bucket: int = LARGE_BUCKET) -> DataFrame:
     # Then entries of different components in the buckets that still have several.
     placed = members.select("bucket", "id").join(found, "id", "left")
     placed = written(placed.withColumn("component", F.coalesce("component", "id")))
-    open_buckets = (
-        placed.groupBy("bucket")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-        .where("lo < hi")
-        .select("bucket", "size")
-    )
-    left = placed.join(open_buckets, "bucket")
-    small = left.where(F.col("size") <= large_bucket).select("bucket", "id", "component")
-    divided = (
-        left.where(F.col("size") > large_bucket)
-        .join(entries.select("id", "bands"), "id")
-        .select("bucket", "id", "component", F.explode("bands").alias("second"))
-        .where("second != bucket")
-        .select(F.xxhash64("bucket", "second").alias("bucket"), "id", "component")
-    )
-    rest = written(small.unionByName(divided))
     # The largest component of a bucket needs no look inside: only the other entries are compared, with all.
-    largest = (
-        rest.groupBy("bucket", "component")
+    open_buckets = (
+        placed.groupBy("bucket", "component")
         .agg(F.count("*").alias("n"))
         .groupBy("bucket")
-        .agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("components"))
+        .agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("components"), F.sum("n").alias("size"))
         .where("components > 1")
-        .select("bucket", F.col("most.component").alias("largest"))
+        .select(
+            "bucket",
+            F.col("most.component").alias("largest"),
+            F.ceil((F.col("size") - F.col("most.n")) / large_bucket).cast("int").alias("blocks"),
+        )
     )
-    rest = written(rest.join(largest, "bucket").withColumn("apart", F.col("component") != F.col("largest")).drop("largest"))
+    rest = placed.join(open_buckets, "bucket").withColumn("apart", F.col("component") != F.col("largest"))
+    rest = written(rest.drop("largest"))
     fine = _fine_sketches(docs, entries, written(rest.select("id").distinct()))
-    rest = written(rest.join(light.join(fine, "id"), "id"))
-    facts = ("component", "apart", "n_shingles", "odd", "whole", "fine")
-    a, b = [rest.select("bucket", F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in facts]) for s in "ab"]
+    rest = rest.join(entries.select("id", "n_shingles", "bands", "odd").join(fine, "id"), "id")
+    # Entries of different components meet in every bucket they share; the first of them is enough.
+    earlier = F.slice("bands", F.lit(1), (F.array_position("bands", F.col("bucket")) - 1).cast("int"))
+    rest = written(rest.withColumn("earlier", earlier).drop("bands"))
+    facts = ("component", "apart", "n_shingles", "odd", "whole", "fine", "earlier")
+    in_block = {"a": F.pmod(F.hash("id"), "blocks"), "b": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))}
+    a, b = [
+        rest.select("bucket", in_block[s].alias("block"), F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in facts])
+        for s in "ab"
+    ]
     crossing = (
         a.where("apart_a")
-        .join(b, "bucket")
+        .join(b, ["bucket", "block"])
         .where("component_a != component_b and (a < b or not apart_b)")
         .where(_similar_size("n_shingles_a", "n_shingles_b"))
+        .where(~F.arrays_overlap("earlier_a", "earlier_b"))
         .where(similarity_estimate(F.col("odd_a"), F.col("odd_b")) >= LEAST_ESTIMATE)
         .where(_fine_may_link())
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
     )
     links = links.unionByName(_confirmed(docs, entries, crossing))
     # A doc_id with several texts holds its entries together.
