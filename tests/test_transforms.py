@@ -79,3 +79,18 @@ def test_user_functions_on_series_and_frames(spark):
         return frame[frame["x"] % 2 == 1]
 
     assert column(transforms.map_frames(df, keep_odd, "seq BIGINT, x INT"), "x") == [1, 3, 5]
+
+
+def test_user_functions_get_frames_of_a_bounded_size(spark):
+    rows = [(i, None if i % 50 == 7 else "x" * (3_000_000 if i == 120 else 10_000)) for i in range(300)]
+    df = spark.createDataFrame(rows, "i long, s string").coalesce(1)
+
+    def sizes(frame):
+        assert list(frame.index) == list(range(len(frame)))
+        texts = frame["s"].dropna()
+        return pd.DataFrame({"first": frame["i"].iloc[:1], "n": len(frame), "chars": sum(len(s) for s in texts)})
+
+    got = transforms.map_frames(df, sizes, "first long, n long, chars long").collect()
+    assert sum(r["n"] for r in got) == 300 and sum(r["chars"] for r in got) == 293 * 10_000 + 3_000_000
+    assert [r["n"] for r in got if r["chars"] > transforms.FRAME_SIZE] == [1]
+    assert len(got) < 12

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import words
 
+# Characters, bytes and array elements of the rows a user function gets at once.
+FRAME_SIZE = 1 << 20
+
 
 def map_columns(df: DataFrame, keep: list[str], **computed: Column) -> DataFrame:
     """Element to element: the kept columns plus the computed ones."""
@@ -45,12 +48,31 @@ def map_series(df: DataFrame, column: str, fn: Callable[[pd.Series], pd.Series],
     return df.withColumn(out, F.pandas_udf(fn, out_type)(F.col(column)))
 
 
-def map_frames(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """A user function from frame to frame; it may change the number of rows."""
+def map_frames(
+    df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, frame_size: int = FRAME_SIZE
+) -> DataFrame:
+    """A user function from frame to frame; it may change the number of rows.
+
+    It is given rows whose texts, bytes and arrays have about ``frame_size`` elements together, or
+    one row that has more, so what it makes of a frame does not grow with the batches it came in.
+    """
+
+    def pieces(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        start, held = 0, 0
+        sizes = [0] * len(frame)
+        for column in frame.select_dtypes(exclude=["number", "bool", "datetime", "timedelta"]).columns:
+            sizes = [n + (len(v) if hasattr(v, "__len__") else 0) for n, v in zip(sizes, frame[column])]
+        for at, size in enumerate(sizes):
+            if at > start and held + size > frame_size:
+                yield frame.iloc[start:at].reset_index(drop=True)
+                start, held = at, 0
+            held += size
+        yield frame if start == 0 else frame.iloc[start:].reset_index(drop=True)
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield fn(frame)
+            for piece in pieces(frame):
+                yield fn(piece)
 
     return df.mapInPandas(each, schema)
 
