@@ -92,5 +92,5 @@ def test_user_functions_get_frames_of_a_bounded_size(spark):
 
     got = transforms.map_frames(df, sizes, "first long, n long, chars long").collect()
     assert sum(r["n"] for r in got) == 300 and sum(r["chars"] for r in got) == 293 * 10_000 + 3_000_000
-    assert [r["n"] for r in got if r["chars"] > transforms.FRAME_SIZE] == [1]
+    assert [r["n"] for r in got if r["chars"] > 1 << 20] == [1]
     assert len(got) < 12

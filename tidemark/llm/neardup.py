@@ -314,21 +314,21 @@ def classified(docs: DataFrame, large_bucket: int = LARGE_BUCKET) -> DataFrame:
     # An entry is a set of shingles. A doc_id can be the smallest of several, so each has a number.
     entries = written(entries.withColumn("id", F.monotonically_increasing_id()))
     keyed = entries.select("id", F.explode("bands").alias("bucket"))
-    shared = (
-        keyed.groupBy("bucket")
-        .agg(F.count("*").alias("size"), F.min("id").alias("lo"), F.max("id").alias("hi"))
-        .where("lo < hi")
-    )
+    shared = keyed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = written(keyed.join(shared, "bucket"))
+    # The hub of a bucket is the entry that shares bands with most: of copies with changes the least changed one.
+    met = members.groupBy("id").agg(F.sum("size").alias("met"))
+    ends = members.join(met, "id").groupBy("bucket").agg(F.max(F.struct("met", "id")).alias("hub"), F.min("id").alias("lo"))
+    members = written(members.join(ends.select("bucket", F.col("hub.id").alias("hub"), "lo"), "bucket"))
     light = entries.select("id", "n_shingles", "odd")
-    # First each entry with the smallest entry it shares most bands with.
-    most_shared = members.where("id != lo").groupBy("id", "lo").agg(F.count("*").alias("n"))
-    first = most_shared.groupBy("id").agg(F.max(F.struct("n", "lo")).alias("best"))
-    links = _confirmed(docs, entries, _close(first.select(F.col("id").alias("a"), F.col("best.lo").alias("b")), light))
-    # Entries not linked by that, with the most similar of all ends of their buckets.
+    # First each entry with the hub it shares most bands with.
+    most_shared = members.where("id != hub").groupBy("id", "hub").agg(F.count("*").alias("n"))
+    first = most_shared.groupBy("id").agg(F.max(F.struct("n", "hub")).alias("best"))
+    links = _confirmed(docs, entries, _close(first.select(F.col("id").alias("a"), F.col("best.hub").alias("b")), light))
+    # Entries not linked by that, with the most similar of their buckets' hubs and first entries.
     linked = written(links.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     left = members.join(linked, "id", "left_anti")
-    ends = left.select(F.col("id").alias("a"), F.explode(F.array("lo", "hi")).alias("b")).where("a != b").distinct()
+    ends = left.select(F.col("id").alias("a"), F.explode(F.array("hub", "lo")).alias("b")).where("a != b").distinct()
     nearest = _close(ends, light).groupBy("a").agg(F.max(F.struct("estimate", "b")).alias("best"))
     links = written(links.unionByName(_confirmed(docs, entries, nearest.select("a", "best.b"))))
     found = components(links)
