@@ -155,12 +155,19 @@ def similarity_estimate(a: Column, b: Column, n_bits: int = BITS, count: int = S
     return 1 - (-F.lit(n_bits / 2) * F.log(1 - share)) / (2 * count)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows a few hundred at a time, so that what is made of them stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 512):
+            yield batch.slice(start, 512)
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, set_key, bands, odd``; equal sets have equal keys."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
-        for batch in batches:
+        for batch in _slices(batches):
             sizes, keys, bands, odds = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingler(text)
@@ -195,7 +202,7 @@ def with_set_keys(docs: DataFrame) -> DataFrame:
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [shingler(t) for t in batch.column(at).to_pylist()]
             own = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else b"" for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, own], names=[*batch.schema.names, "_set_key"])
@@ -214,14 +221,12 @@ def _sets(docs: DataFrame, entries: DataFrame, ids: DataFrame) -> DataFrame:
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                some = batch.slice(start, 512)
-                sets = [shingler(t).tobytes() for t in some.column("text").to_pylist()]
-                keys = [xxhash.xxh3_128_digest(s) for s in sets]
-                yield pa.RecordBatch.from_pydict(
-                    {"set_key": pa.array(keys, pa.binary()), "shingles": pa.array(sets, pa.binary())}
-                )
+        for batch in _slices(batches):
+            sets = [shingler(t).tobytes() for t in batch.column("text").to_pylist()]
+            keys = [xxhash.xxh3_128_digest(s) for s in sets]
+            yield pa.RecordBatch.from_pydict(
+                {"set_key": pa.array(keys, pa.binary()), "shingles": pa.array(sets, pa.binary())}
+            )
 
     texts = docs.select("doc_id", "text").join(wanted.select("doc_id"), "doc_id", "left_semi")
     found = texts.mapInArrow(collect, "set_key binary, shingles binary").dropDuplicates(["set_key"])
@@ -233,7 +238,7 @@ def _fine_sketches(docs: DataFrame, entries: DataFrame, ids: DataFrame) -> DataF
     kind = pa.list_(pa.int64())
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [np.frombuffer(s.as_buffer(), _U) for s in batch.column("shingles")]
             whole = [whole_sketch(s) if len(s) <= WHOLE_SHINGLES else None for s in sets]
             fine = [
@@ -257,7 +262,7 @@ def _confirmed(docs: DataFrame, entries: DataFrame, pairs: DataFrame) -> DataFra
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             linked = []
             for s, t in zip(batch.column("s"), batch.column("t")):
                 x, y = np.frombuffer(s.as_buffer(), _U), np.frombuffer(t.as_buffer(), _U)
