@@ -333,6 +333,33 @@ def test_repeats_are_removed_as_by_brute_force(spark, contents):
     assert suffixdedup.without_repeats(docs.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("contents", [1, 6, 48])
+def test_frequent_passages_are_cut_into_cells_not_strings(spark, contents):
+    """A passage in more texts than an array is built over, with few different bytes beside it."""
+    rng = random.Random(12)
+    passage = _prose(77, 60)
+    texts = ["ab" * 900, "ab" * 300 + "c" + "ab" * 300]
+    for n in range(130):
+        near = "".join(rng.choice("xy") for _ in range(rng.randint(1, 6)))
+        after = "".join(rng.choice("xy") for _ in range(rng.randint(0, 6)))
+        texts.append(_prose(3000 + n, 8) + near + passage[rng.choice([0, 0, 0, 40]) :] + after + _prose(5000 + n, rng.randint(0, 30)))
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = suffixdedup.without_repeats(docs, contents=contents).collect()
+    got = sorted((r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in rows)
+    assert got == sorted(_without_repeats(texts, 200))
+    ranges = suffixdedup.repeated_ranges(docs, contents=contents)
+    assert "Generate" not in ranges._jdf.queryExecution().toString()
+
+
+def test_rows_of_a_repeated_content_do_not_meet(spark):
+    """Of a batch, one row stands for a content's occurrences; the others are known to be repeated."""
+    text = _prose(3, 80)
+    docs = spark.createDataFrame([(i, text) for i in range(80)], "doc_id long, text string").coalesce(1)
+    found = suffixdedup._occurrences(docs, 200, 100).collect()
+    assert Counter(r["n"] for r in found).keys() == {0, 80}
+    assert max(Counter(r["key"] for r in found).values()) == 1
+
+
 # 7
 
 

@@ -2,10 +2,11 @@
 
 A string of ``length`` bytes is known by its anchor, the k-gram of the smallest hash in it. Equal
 strings have equal anchors, so only strings around an anchor that occurs again can be repeated.
-Spark counts anchors; around each repeated one, the text that holds all strings of that anchor is
-taken once per different content. A content that occurs again is repeated throughout. Where an
-anchor has several contents, their suffix array tells which strings they share: suffixes with a
-common prefix of ``length`` bytes are neighbours in it.
+Spark groups anchors by hash; the content of one is the text that holds all its strings. A content
+that occurs again is repeated throughout. Where an anchor has several contents, they are cut into
+cells of strings that start near each other and so hold a common core. Equal cells are repeated
+throughout, cells whose core stands once are not. The suffix array of the different cells of a core
+tells which strings they share: suffixes with a common prefix of a string's length are neighbours in it.
 
 The suffix array is built by linear grouping. Suffixes are grouped by first byte; groups are
 processed in descending order. Each suffix of a group looks, along previous-smaller pointers, for
@@ -14,9 +15,8 @@ their prefix lengthened by the group's and move to a new group behind their old
 done, suffixes are grouped and ordered by their longest Lyndon prefix, and the order inside each
 group follows from emitting them in rising order; nothing is renamed or sorted again.
 
-Anchors with more contents than one task should hold are decided by counting instead, cells of
-neighbouring strings first and then single strings, so a passage in a third of all documents costs
-partial aggregates.
+A core with more cells than one task should hold has them cut into smaller cells with longer cores, in
+the end into single strings.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import small_or_not
@@ -34,9 +34,9 @@ from tidemark.session import written
 
 LENGTH = 200
 ANCHOR = 100
-# Different contents of one anchor that a suffix array is built over.
+# Different cells of one core that a suffix array is built over.
 CONTENTS = 48
-# Strings that start within so many bytes of each other are looked at together first.
+# Strings that start within so many bytes of each other are looked at together first. Smaller cells are quarters.
 CELL = 16
 # Bytes hashed at once; positions inside must fit the low bits of a key.
 CHUNK = 1 << 18
@@ -201,125 +201,172 @@ def _as_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+# Anchors told apart in a task at once.
+TOGETHER = 1 << 20
+
+
 def _occurrences(docs: DataFrame, length: int, anchor: int) -> DataFrame:
-    """``h, content, doc_id, mark, place, lo, hi``: every anchor with a hash of all its strings' text."""
+    """``key, content, n, doc_id, mark, at``: every anchor with a hash of all its strings' text.
+
+    Where a content stands several times in a batch, one row has their number as ``n`` and its hash as
+    ``key``. The others are known to be repeated: they have n = 0 and keys of their own, so that a
+    frequent anchor does not meet in one task.
+    """
+
+    def rows_of(batch: pa.RecordBatch, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        h, content, at, which = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        order = np.lexsort((content, h))
+        h, content, at, which = h[order], content[order], at[order], which[order]
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (content[1:] != content[:-1])])
+        firsts = np.flatnonzero(new)
+        n = np.zeros(len(h), np.int32)
+        n[firsts] = np.diff(np.concatenate([firsts, [len(h)]]))
+        with np.errstate(over="ignore"):
+            h[~new] += (at[~new].astype(_U) + which[~new].astype(_U) + _U(1)) * _U(_BASE)
+        # Rows in the order of the texts are smaller in a shuffle.
+        back = np.argsort(order)
+        for start in range(0, len(h), 1 << 16):
+            some = back[start : start + (1 << 16)]
+            taken = pa.array(which[some])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "key": pa.array(h[some].view(np.int64)),
+                    "content": pa.array(content[some].view(np.int64)),
+                    "n": pa.array(n[some]),
+                    "doc_id": batch.column("doc_id").take(taken),
+                    "mark": batch.column("mark").take(taken),
+                    "at": pa.array(at[some]),
+                }
+            )
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Anchors(length, anchor)
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
+            parts, held = [], 0
             for start in range(0, batch.num_rows, 256):
-                some = batch.slice(start, 256)
-                found, contents, counts = [], [], []
-                for text in some.column("text").to_pylist():
+                for i, text in enumerate(batch.column("text").slice(start, 256).to_pylist(), start):
                     data = _as_bytes(text)
                     h, place, lo, hi = find(data)
-                    found.append((h, place, lo, hi))
-                    counts.append(len(h))
-                    digest = xxhash.xxh3_64_intdigest
-                    contents += [digest(data[a : b + length]) for a, b in zip(lo.tolist(), hi.tolist())]
-                which = pa.array(np.repeat(np.arange(len(counts)), counts))
-                h, place, lo, hi = (np.concatenate([f[i] for f in found]) for i in range(4))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "h": pa.array(h.view(np.int64)),
-                        "content": pa.array(np.array(contents, _U).view(np.int64)),
-                        "doc_id": some.column("doc_id").take(which),
-                        "mark": some.column("mark").take(which),
-                        "place": pa.array(place),
-                        "lo": pa.array(lo),
-                        "hi": pa.array(hi),
-                    }
-                )
-
+                    contents = [digest(data[a : b + length]) for a, b in zip(lo.tolist(), hi.tolist())]
+                    at = _packed(*(x.astype(np.int64) for x in (place, lo, hi)))
+                    parts.append((h, np.array(contents, _U), at, np.full(len(h), i, np.int64)))
+                    held += len(h)
+                if held >= TOGETHER:
+                    yield from rows_of(batch, parts)
+                    parts, held = [], 0
+            if held:
+                yield from rows_of(batch, parts)
+
+    if length - anchor >= 1 << 16:
+        raise ValueError("strings may be longer than anchors by at most 65,535 bytes")
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.where(F.octet_length("text") >= length).select(*_key(), "text")
-    return rows.mapInArrow(anchors, f"h long, content long, doc_id {kind}, mark int, place int, lo int, hi int")
+    return rows.mapInArrow(anchors, f"key long, content long, n int, doc_id {kind}, mark int, at long")
+
+
+def _packed(place: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """First start, and the distances from it to the anchor and to the last start, as one number."""
+    return lo << 32 | (place - lo) << 16 | (hi - lo)
 
 
 def _same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["mark"] == b["mark"])
 
 
-def _texts_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``wanted`` with ``bytes``: the text from ``lo`` to the end of the string at ``hi``."""
-    names = ["h", "content", "n", "variants", "place", "lo", "hi"]
-    lists = wanted.groupBy("doc_id", "mark").agg(F.collect_list(F.struct(*names)).alias("items"))
+def _split(
+    h: int, core: int, left: bytes, right: bytes, first: int, cell: int, size: int
+) -> Iterator[tuple[int, bytes, bytes, int, int]]:
+    """The cells of ``size`` strings of a larger cell: ``core, left, right, first, cell`` of each.
+
+    A cell has strings that start 0 to cell - 1 bytes before its core, and all hold the core. ``left`` and
+    ``right`` are the bytes around it that belong to its strings.
+    """
+    for low in range(0, cell, size):
+        high = min(low + size, cell)
+        # Bytes of the larger cell's right side that all strings here hold.
+        inner = cell - high
+        if low > len(left) or inner > len(right):
+            continue
+        at = len(left) - low
+        around = left[at:] + right[:inner]
+        key = xxhash.xxh3_64_intdigest(b"%d %d %d " % (h, core, low) + around)
+        start = max(0, len(left) - high + 1)
+        yield key - (1 << 63), left[start:at], right[inner : cell - 1 - low], first + start, high - low
+
+
+_CELL = "h long, core long, n long, doc_id {kind}, mark int, first long, cell int, left binary, right binary"
+
+
+def _cells_batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), kind, pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    names = ["h", "core", "n", "doc_id", "mark", "first", "cell", "left", "right"]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 9, kinds)], names=names)
+
+
+def _cells_of(docs: DataFrame, wanted: DataFrame, length: int, anchor: int, size: int) -> DataFrame:
+    """Contents ``wanted (h, n, doc_id, mark, at)`` as cells around their anchor."""
+    lists = wanted.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("h", "n", "at")).alias("items"))
     lists = small_or_not(written(lists))
-    rows = docs.select(*_key(), "text")
+    rows = docs.where(F.octet_length("text") >= length).select(*_key(), "text")
     joined = rows.join(lists, _same_row(rows, lists)).select(rows["doc_id"], rows["mark"], "text", "items")
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
+                out = []
                 some = batch.slice(start, 256)
-                items = some.column("items")
-                counts = np.diff(items.offsets.to_numpy())
-                which = pa.array(np.repeat(np.arange(some.num_rows), counts))
-                flat = items.flatten()
-                columns = {c: flat.field(c) for c in names}
-                texts = [_as_bytes(t) for t in some.column("text").to_pylist()]
-                places = zip(which.to_pylist(), columns["lo"].to_pylist(), columns["hi"].to_pylist())
-                columns["bytes"] = pa.array([texts[i][a : b + length] for i, a, b in places], pa.binary())
-                keys = {c: some.column(c).take(which) for c in ("doc_id", "mark")}
-                yield pa.RecordBatch.from_pydict(columns | keys)
-
-    fields = "h long, content long, n long, variants long, place int, lo int, hi int, bytes binary"
-    # Repeated rows give the same pieces again.
-    return joined.mapInArrow(cut, f"{fields}, doc_id {kind}, mark int").dropDuplicates(["h", "content"])
-
-
-def _could_share(
-    contents: list[bytes], places: list[int], length: int, anchor: int, cell: int = CELL
-) -> list[tuple[int, int]]:
-    """For each content the range that can hold strings it shares, empty if there are none.
-
-    Strings that start in the same cell before the anchor have bytes in common at fixed places
-    around it. Where no other content has the same bytes there, no string of the cell is shared.
+                for doc_id, mark, text, items in zip(*(some.column(c).to_pylist() for c in range(4))):
+                    data = _as_bytes(text)
+                    for item in items:
+                        h, lo = item["h"], item["at"] >> 32
+                        place, hi = lo + (item["at"] >> 16 & 0xFFFF), lo + (item["at"] & 0xFFFF)
+                        left, right = data[lo:place], data[place + anchor : hi + length]
+                        for core, a, b, first, cell in _split(h, 0, left, right, lo, length - anchor + 1, size):
+                            out.append((h, core, item["n"], doc_id, mark, first, cell, a, b))
+                yield _cells_batch(out, batch.schema.field("doc_id").type)
+
+    return joined.mapInArrow(cut, _CELL.format(kind=docs.schema["doc_id"].dataType.simpleString()))
+
+
+def _smaller(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 4096):
+            out = []
+            for r in batch.slice(start, 4096).to_pylist():
+                for core, left, right, first, cell in _split(
+                    r["h"], r["core"], r["left"], r["right"], r["first"], r["cell"], size
+                ):
+                    out.append((r["h"], core, r["total"], r["doc_id"], r["mark"], first, cell, left, right))
+            yield _cells_batch(out, batch.schema.field("doc_id").type)
+
+
+def _array_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shared strings of cells that occur once, from different cells in the order of their cores.
+
+    Cells of one core differ beside it only, so it is one symbol of their suffix array.
     """
-    bounds = [[len(c), 0] for c in contents]
-    for low in range(0, length - anchor + 1, cell):
-        core = {}
-        for n, (content, place) in enumerate(zip(contents, places)):
-            # Every string that starts low to low + cell - 1 bytes before the anchor.
-            start, stop = place - low, place - low + length - cell + 1
-            if start >= 0 and stop <= len(content):
-                core.setdefault(content[start:stop], []).append(n)
-        for sharing in core.values():
-            if len(sharing) > 1:
-                for n in sharing:
-                    bounds[n][0] = min(bounds[n][0], max(0, places[n] - low - cell + 1))
-                    bounds[n][1] = max(bounds[n][1], min(len(contents[n]), places[n] - low + length))
-    return [(a, max(a, b)) for a, b in bounds]
-
-
-def _array_ranges(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> Iterator[pa.RecordBatch]:
-    """Shared strings of contents that occur once, from batches in the order of the anchors."""
     held: list[dict] = []
 
     def decided() -> list[tuple]:
-        contents, places = [r["bytes"] for r in held], [r["place"] - r["lo"] for r in held]
-        ranges = _could_share(contents, places, length, anchor)
-        some = [i for i, (a, b) in enumerate(ranges) if b - a >= length]
-        starts = shared_starts([contents[i][slice(*ranges[i])] for i in some], length) if len(some) > 1 else []
+        contents = [(*r["left"], 256, *r["right"]) for r in held]
         out = []
-        for i, found in zip(some, starts):
-            if held[i]["n"] == 1 and found:
-                first = held[i]["lo"] + ranges[i][0]
+        for r, found in zip(held, shared_starts(contents, held[0]["cell"])):
+            if r["total"] == 1 and found:
                 edges = np.flatnonzero(np.diff(found) > 1)
                 runs = zip([found[0], *(found[e + 1] for e in edges)], [*(found[e] for e in edges), found[-1]])
-                out += [(held[i]["doc_id"], held[i]["mark"], first + a, first + b) for a, b in runs]
+                out += [(r["doc_id"], r["mark"], r["first"] + a, r["first"] + b) for a, b in runs]
         return out
 
     for batch in batches:
         out = []
         for row in batch.to_pylist():
-            if held and held[0]["h"] != row["h"]:
+            if held and (held[0]["h"], held[0]["core"]) != (row["h"], row["core"]):
                 out += decided()
                 held = []
             held.append(row)
-        yield _ranges_batch(out, batch.schema.field("doc_id").type)
         kind = batch.schema.field("doc_id").type
+        yield _ranges_batch(out, kind)
     if held:
         yield _ranges_batch(decided(), kind)
 
@@ -330,30 +377,16 @@ def _ranges_batch(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "mark", "first", "last"])
 
 
-def _cells(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Strings of contents in cells by their distance to the anchor, with a hash of each."""
-    digest = xxhash.xxh3_128_digest
-    for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            some = batch.slice(start, 256)
-            which, firsts, keys, strings = [], [], [], []
-            rows = zip(*(some.column(c).to_pylist() for c in ("bytes", "place", "lo", "hi")))
-            for n, (content, place, lo, hi) in enumerate(rows):
-                at = lo
-                while at <= hi:
-                    # The cell ends where the distance to the anchor is a whole number of cells.
-                    last = min(hi, place - (place - at) // CELL * CELL)
-                    which.append(n)
-                    firsts.append(at)
-                    keys.append(digest(content[at - lo : last - lo + length]))
-                    strings.append([digest(content[i : i + length]) for i in range(at - lo, last - lo + 1)])
-                    at = last + 1
-            taken = pa.array(which, pa.int64())
-            columns = {c: some.column(c).take(taken) for c in ("doc_id", "mark", "n")}
-            columns["first"] = pa.array(firsts, pa.int64())
-            columns["cell"] = pa.array(keys, pa.binary())
-            columns["strings"] = pa.array(strings, pa.list_(pa.binary()))
-            yield pa.RecordBatch.from_pydict(columns)
+def _counted(rows: DataFrame, group: list[str], content: list[str], order: list[str]) -> DataFrame:
+    """Adds ``total``, the sum of ``n`` over rows of equal content; ``one``, true for one row of them;
+    ``kinds``, the contents of the group; ``alone``, whether one of them has a total of 1."""
+    same = Window.partitionBy(*group, *content)
+    whole = Window.partitionBy(*group)
+    rows = rows.repartition(*group).withColumn("one", F.row_number().over(same.orderBy(*order)) == 1)
+    every = same.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("total", F.sum("n").over(every))
+    kinds = F.sum(F.col("one").cast("long")).over(whole)
+    return rows.withColumns({"kinds": kinds, "alone": F.max(F.col("total") == 1).over(whole)})
 
 
 def repeated_ranges(
@@ -363,46 +396,38 @@ def repeated_ranges(
 
     ``mark`` is a hash of the text, as rows may share a doc_id.
     """
-    everything = written(_occurrences(docs, length, anchor))
-    again = everything.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    held = written(everything.join(again, "h"))
-    # One row for each different content of an anchor, with a place where it stands.
-    variants = written(
-        held.groupBy("h", "content").agg(
-            F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "place", "lo", "hi")).alias("at")
-        )
-    )
-    several = variants.groupBy("h").agg(F.count("*").alias("variants"), F.min("n").alias("least"))
+    everything = _counted(_occurrences(docs, length, anchor), ["key"], ["content"], ["doc_id", "mark", "at"])
     # A content that occurs again needs no look; it is evidence for contents that occur once.
-    open_anchors = several.where("variants > 1 and least = 1").select("h", "variants")
-    wanted = written(variants.join(open_anchors, "h").select("h", "content", "n", "at.*", "variants"))
-    whole = held.join(variants.where("n > 1").select("h", "content"), ["h", "content"]).select(
-        "doc_id", "mark", F.col("lo").cast("long").alias("first"), F.col("hi").cast("long").alias("last")
+    looked_at = F.col("one") & (F.col("kinds") > 1) & F.col("alone")
+    held = everything.where((F.col("total") != 1) | looked_at).select(
+        "doc_id", "mark", "at", F.when(looked_at, F.col("key")).alias("h"), F.col("total").alias("n")
+    )
+    held = written(held)
+    first = F.shiftright("at", 32)
+    found = held.where("n != 1").select(
+        "doc_id", "mark", first.alias("first"), (first + F.col("at").bitwiseAND(0xFFFF)).alias("last")
     )
-    texts = written(_texts_of(docs, wanted, length))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, mark int, first long, last long"
-    # An anchor here has a bounded number of contents, so its rows fit the task that holds them.
-    few = texts.where(F.col("variants") <= contents).repartition("h").sortWithinPartitions("h")
-    by_array = few.mapInArrow(lambda batches: _array_ranges(batches, length, anchor), schema)
-    cells = written(
-        texts.where(F.col("variants") > contents).mapInArrow(
-            lambda batches: _cells(batches, length),
-            f"doc_id {kind}, mark int, n long, first long, cell binary, strings array<binary>",
-        )
-    )
-    # Most cells of a passage recur as a whole; the strings of the others are looked at singly.
-    often = cells.groupBy("cell").agg(F.sum("n").alias("times")).where("times > 1").select("cell")
-    once = cells.where("n = 1")
-    by_cell = once.join(often, "cell").select(
-        "doc_id", "mark", "first", (F.col("first") + F.size("strings") - 1).alias("last")
-    )
-    single = once.join(often, "cell", "left_anti").select("doc_id", "mark", "first", F.posexplode("strings").alias("i", "string"))
-    spread = cells.select("n", F.explode("strings").alias("string"))
-    repeated = spread.groupBy("string").agg(F.sum("n").alias("times")).where("times > 1").select("string")
-    at = F.col("first") + F.col("i")
-    by_string = single.join(repeated, "string").select("doc_id", "mark", at.alias("first"), at.alias("last"))
-    return whole.unionByName(by_array).unionByName(by_cell).unionByName(by_string)
+    cells = _cells_of(docs, held.where("h is not null"), length, anchor, CELL)
+    size = CELL
+    while True:
+        # Equal cells recur as a whole. Where a core has different ones, they are looked at further.
+        cells = _counted(cells, ["h", "core"], ["left", "right"], ["doc_id", "mark", "first"])
+        differ = F.col("one") & (F.col("kinds") > 1) & F.col("alone")
+        cells = written(cells.where(differ | (F.col("total") > 1) & (F.col("n") == 1)).withColumn("differ", differ))
+        last = F.col("first") + F.length("left") + F.length("right") - F.col("cell") + 1
+        again = cells.where("total > 1 and n = 1").select("doc_id", "mark", "first", last.alias("last"))
+        # A core here has a bounded number of different cells, so its rows fit the task that holds them.
+        few = cells.where(F.col("differ") & (F.col("kinds") <= contents))
+        few = few.repartition("h", "core").sortWithinPartitions("h", "core")
+        found = found.unionByName(again).unionByName(few.mapInArrow(_array_ranges, schema))
+        many = cells.where(F.col("differ") & (F.col("kinds") > contents))
+        if size == 1 or many.isEmpty():
+            return found
+        # More of them share less: smaller cells have longer cores. A cell of one string has nothing beside it.
+        size = max(1, size // 4)
+        cells = many.mapInArrow(lambda batches, size=size: _smaller(batches, size), _CELL.format(kind=kind))
 
 
 def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
